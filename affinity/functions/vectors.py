@@ -1,0 +1,15 @@
+"""Dense vector helpers on ARRAY<DOUBLE> columns (higher-order functions)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def sq_norm(v: Column) -> Column:
+    return F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x)
+
+
+def normalized(v: Column, norm: Column) -> Column:
+    """v / |v|; callers drop zero-norm vectors first."""
+    return F.transform(v, lambda x: x / norm)

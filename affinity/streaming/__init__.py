@@ -1,0 +1,7 @@
+"""Streaming.
+
+The pipeline this library re-implements is batch only: every input is a
+bounded table read once per run, and it has no watermark, event-time window,
+state or late-data handling.  Nothing is built here on purpose; the daily
+ETL is re-run per day (or over a day range) instead.
+"""
