@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.llr import independent, llr
 from ..functions.sampling import keep_sampled, sample_hash
 from ..params import CcoParams
+from ..session import materialize
 
 EDGE = ("event", "user_id", "product_id")
 CCO_COLUMNS = ("event", "product_id", "other_id", "llr", "rank")
@@ -94,6 +95,8 @@ def with_item_counts(s: DataFrame) -> DataFrame:
 
 def _context(triples: DataFrame, p: CcoParams):
     e = edges(triples, p)
+    if p.checkpoint:
+        e = materialize(e)
     primary = primary_event(e, p)
     users = primary_users(e, primary, p)
     n = users.select(F.count(F.lit(1))).scalar()
@@ -114,27 +117,32 @@ def cooccurrence_counts(triples: DataFrame, p: CcoParams) -> DataFrame:
     it.  ``llr`` is unrounded.
     """
     e, primary, users, n = _context(triples, p)
-    s = with_item_counts(downsample(restricted(e, users), p))
     # Split a user whose primary list is long over several join keys: the
     # primary side is hashed into `salts` buckets, the other side copied
     # into each.  Users at or under `hot_user_items` keep one bucket.
     cap_primary = _by_event(primary, {i.name: i.max_events for i in p.indicators}, "long")
     salts = F.greatest(F.lit(1), F.ceil(F.least(F.col("n_primary"), cap_primary)
                                         / F.lit(p.hot_user_items)).cast("int"))
-    a_side = s.where(F.col("event") == primary).select(
+    s = (with_item_counts(downsample(restricted(e, users), p))
+         .select("event", "user_id", "product_id", "n_item", salts.alias("salts"),
+                 (F.col("event") == primary).alias("is_primary"), n.alias("n")))
+    if p.checkpoint:
+        # both join sides and N read this one materialised table
+        s = materialize(s)
+    a_side = s.where("is_primary").select(
         "user_id", F.col("product_id").alias("x"), F.col("n_item").alias("a"),
-        F.pmod(F.xxhash64("product_id"), salts).cast("int").alias("salt"))
+        F.pmod(F.xxhash64("product_id"), F.col("salts")).cast("int").alias("salt"))
     b_side = s.select(
         "event", "user_id", F.col("product_id").alias("y"), F.col("n_item").alias("b"),
-        F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+        "is_primary", "n", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     pairs = (a_side.join(b_side, ["user_id", "salt"])
-             .where((F.col("event") != primary) | (F.col("x") != F.col("y")))
-             .groupBy("event", "x", "y", "a", "b")
+             .where(~F.col("is_primary") | (F.col("x") != F.col("y")))
+             .groupBy("event", "x", "y", "a", "b", "n")
              .agg(F.count(F.lit(1)).alias("k11")))
     return pairs.select(
         "event", F.col("x").alias("product_id"), F.col("y").alias("other_id"), "k11", "a", "b",
-        n.cast("long").alias("n"),
-        llr(F.col("k11"), F.col("a"), F.col("b"), n).alias("llr"))
+        F.col("n").cast("long").alias("n"),
+        llr(F.col("k11"), F.col("a"), F.col("b"), F.col("n")).alias("llr"))
 
 
 def top_correlators(counts: DataFrame, p: CcoParams) -> DataFrame:

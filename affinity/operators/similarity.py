@@ -9,14 +9,14 @@ The all-pairs product inside a category grows as n_c^2, and one category
 may hold a large share of all items.  It is computed as a blocked matrix
 product, the way a distributed GEMM is:
 
-* vectors are normalised once (JVM-side), zero vectors dropped;
 * each category is hashed into ``ceil(n_c / block_size)`` blocks, so no
   group ever exceeds about one block of rows;
 * every unordered block pair (i <= j) of a category is one cogroup task:
-  numpy computes the block of dot products (BLAS) and emits, per row and
-  per direction, only the candidates that can still be in the row's top-k
-  (score >= k-th best - 1e-5, a superset that keeps the final ranking on
-  5-decimal scores exact);
+  numpy normalises the rows (dropping zero vectors), computes the block
+  of dot products (BLAS), rounds them to 5
+  places and emits, per row and per direction, the row's exact top-k in
+  the final order (score desc, partner id asc), so the union over blocks
+  holds every item's global top-k;
 * a row_number window keeps the k best per item over all its blocks.
 
 Work is spread over (#blocks)^2 / 2 tasks per category; no item pair is
@@ -31,14 +31,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import category_of_path, tokens
-from ..functions.vectors import normalized, sq_norm
 from ..params import NEIGHBOURS, W2V_DIM, W2V_MIN_COUNT
 from ..sources.tables import CatalogueTables
 
 SIM_COLUMNS = ("product_id", "cat_path", "other_id", "score", "rank")
 _CAND_SCHEMA = "cat4cat string, product_id long, cat_path string, other_id long, score double"
-# Slack that keeps every candidate whose 5-decimal score can tie the k-th.
-_SLACK = 1e-5
 
 
 def item_desc(cat: CatalogueTables) -> DataFrame:
@@ -71,12 +68,27 @@ def text_vectors(items: DataFrame, dim: int = W2V_DIM, min_count: int = W2V_MIN_
         "product_id", "cat_path", "cat4cat", vector_to_array("text_vec").alias("vec"))
 
 
+def round5(x: np.ndarray) -> np.ndarray:
+    """Round half away from zero to 5 places (SQL ``round(x, 5)`` on doubles)."""
+    return np.sign(x) * np.floor(np.abs(x) * 1e5 + 0.5) / 1e5
+
+
 def _row_candidates(s: np.ndarray, rows: pd.DataFrame, cols: pd.DataFrame, k: int,
                     cat: str) -> pd.DataFrame:
+    """Exact top-k of each row of ``s`` by (score desc, column id asc).
+
+    ``cols`` must be sorted by product_id; excluded cells are -inf.  Ties at
+    the k-th score are filled in id order, so a row keeps exactly
+    min(k, #finite) candidates and the union over blocks contains the
+    global top-k.
+    """
     finite = np.isfinite(s)
     if s.shape[1] > k:
         kth = -np.partition(-s, k - 1, axis=1)[:, k - 1]
-        keep = finite & (s >= (kth - _SLACK)[:, None])
+        greater = s > kth[:, None]
+        tie = (s == kth[:, None]) & finite
+        need = k - greater.sum(axis=1)
+        keep = (greater | (tie & (np.cumsum(tie, axis=1) <= need[:, None]))) & finite
     else:
         keep = finite
     i, j = np.nonzero(keep)
@@ -89,15 +101,34 @@ def _row_candidates(s: np.ndarray, rows: pd.DataFrame, cols: pd.DataFrame, k: in
     })
 
 
+_EMPTY = pd.DataFrame({"cat4cat": pd.Series([], dtype=object),
+                       "product_id": pd.Series([], dtype="int64"),
+                       "cat_path": pd.Series([], dtype=object),
+                       "other_id": pd.Series([], dtype="int64"),
+                       "score": pd.Series([], dtype="float64")})
+
+
+def _unit_rows(block: pd.DataFrame):
+    """Rows sorted by id, as unit vectors; zero (or non-finite) vectors dropped."""
+    block = block.sort_values("product_id", kind="stable", ignore_index=True)
+    m = np.stack(block["vec"].to_numpy()).astype(np.float64, copy=False)
+    norm = np.linalg.norm(m, axis=1)
+    ok = np.isfinite(norm) & (norm > 0)
+    if not ok.all():
+        block, m, norm = block[ok].reset_index(drop=True), m[ok], norm[ok]
+    return block, m / norm[:, None]
+
+
 def _block_pair(k: int):
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({c: [] for c in ("cat4cat", "product_id", "cat_path",
-                                                  "other_id", "score")})
+            return _EMPTY.copy()
         cat, bi, bj = key
-        lm = np.stack(left["unit"].to_numpy())
-        rm = np.stack(right["unit"].to_numpy())
-        s = lm @ rm.T
+        left, lm = _unit_rows(left)
+        right, rm = _unit_rows(right)
+        if left.empty or right.empty:
+            return _EMPTY.copy()
+        s = round5(lm @ rm.T)
         same = left["product_id"].to_numpy()[:, None] == right["product_id"].to_numpy()[None, :]
         s[same] = -np.inf
         out = [_row_candidates(s, left, right, k, cat)]
@@ -115,16 +146,15 @@ def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS,
     score is the cosine rounded to 5 places; rank orders by score desc,
     then partner id.  Zero vectors have no cosine and are dropped.
     """
-    sq = sq_norm(F.col("vec"))
+    # Normalisation and the zero-vector check run vectorised inside the
+    # block task (numpy), once per row per block pair.
     v = (vectors.where(F.col("vec").isNotNull() & F.col("cat4cat").isNotNull())
-         .withColumn("sq", sq).where(F.col("sq") > 0)
-         .select("product_id", "cat_path", "cat4cat",
-                 normalized(F.col("vec"), F.sqrt("sq")).alias("unit")))
+         .select("product_id", "cat_path", "cat4cat", "vec"))
     sizes = v.groupBy("cat4cat").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(block_size)).cast("int").alias("nb"))
     vb = v.join(sizes, "cat4cat").withColumn(
         "blk", F.pmod(F.xxhash64("product_id", "cat_path"), F.col("nb")).cast("int"))
-    cols = ["product_id", "cat_path", "unit"]
+    cols = ["product_id", "cat_path", "vec"]
     left = vb.select("cat4cat", F.col("blk").alias("bi"),
                      F.explode(F.sequence(F.col("blk"), F.col("nb") - 1)).alias("bj"), *cols)
     # Fresh attribute ids on one side: both sides derive from `vb`.
@@ -136,8 +166,7 @@ def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS,
             .applyInPandas(_block_pair(k), _CAND_SCHEMA))
     w = Window.partitionBy("cat4cat", "product_id", "cat_path").orderBy(
         F.desc("score"), F.asc("other_id"))
-    return (cand.withColumn("score", F.round("score", 5))
-            .withColumn("rank", F.row_number().over(w))
+    return (cand.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
             .select(*SIM_COLUMNS))
 

@@ -92,13 +92,15 @@ class CcoParams:
     ``min_events`` is the minimum number of distinct primary items a user
     needs; ``seed`` feeds the deterministic sampler; ``hot_user_items`` is
     the number of sampled primary items above which a user's pair work is
-    split over several tasks.
+    split over several tasks; ``checkpoint`` materialises the edge tables
+    that several branches of the plan read (see ``session.materialize``).
     """
 
     indicators: tuple[Indicator, ...] = field(default_factory=indicator_params)
     min_events: int = 1
     seed: int = CCO_SEED
     hot_user_items: int = 2000
+    checkpoint: bool = True
 
     @property
     def names(self) -> tuple[str, ...]:

@@ -64,3 +64,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Cut lineage: reliable checkpoint into the shared checkpoint folder.
+
+    Used where one intermediate table feeds several branches of a plan
+    (scalar subqueries, both sides of a self-join): it is computed once,
+    and a lost executor later costs a re-read, not a recomputation.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
