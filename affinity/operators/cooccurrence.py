@@ -123,8 +123,11 @@ def cooccurrence_counts(triples: DataFrame, p: CcoParams) -> DataFrame:
     cap_primary = _by_event(primary, {i.name: i.max_events for i in p.indicators}, "long")
     salts = F.greatest(F.lit(1), F.ceil(F.least(F.col("n_primary"), cap_primary)
                                         / F.lit(p.hot_user_items)).cast("int"))
+    # Pair rows carry the event as its small integer position (cheaper to
+    # hash, sort and shuffle than the name); the name is restored at the end.
+    code = _by_event(F.col("event"), {name: i for i, name in enumerate(p.names)})
     s = (with_item_counts(downsample(restricted(e, users), p))
-         .select("event", "user_id", "product_id", "n_item", salts.alias("salts"),
+         .select(code.alias("ev"), "user_id", "product_id", "n_item", salts.alias("salts"),
                  (F.col("event") == primary).alias("is_primary"), n.alias("n")))
     if p.checkpoint:
         # both join sides and N read this one materialised table
@@ -133,15 +136,16 @@ def cooccurrence_counts(triples: DataFrame, p: CcoParams) -> DataFrame:
         "user_id", F.col("product_id").alias("x"), F.col("n_item").alias("a"),
         F.pmod(F.xxhash64("product_id"), F.col("salts")).cast("int").alias("salt"))
     b_side = s.select(
-        "event", "user_id", F.col("product_id").alias("y"), F.col("n_item").alias("b"),
+        "ev", "user_id", F.col("product_id").alias("y"), F.col("n_item").alias("b"),
         "is_primary", "n", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     pairs = (a_side.join(b_side, ["user_id", "salt"])
              .where(~F.col("is_primary") | (F.col("x") != F.col("y")))
-             .groupBy("event", "x", "y", "a", "b", "n")
+             .groupBy("ev", "x", "y", "a", "b", "n")
              .agg(F.count(F.lit(1)).alias("k11")))
+    name = F.element_at(F.array(*[F.lit(x) for x in p.names]), F.col("ev") + 1)
     return pairs.select(
-        "event", F.col("x").alias("product_id"), F.col("y").alias("other_id"), "k11", "a", "b",
-        F.col("n").cast("long").alias("n"),
+        name.alias("event"), F.col("x").alias("product_id"), F.col("y").alias("other_id"),
+        "k11", "a", "b", F.col("n").cast("long").alias("n"),
         llr(F.col("k11"), F.col("a"), F.col("b"), F.col("n")).alias("llr"))
 
 
