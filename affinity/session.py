@@ -8,12 +8,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on.  AQE re-plans joins from runtime sizes
-# (broadcast only when the measured side is small), coalesces small shuffle
-# partitions and splits skewed ones; dynamic overwrite makes partitioned
-# writes idempotent per partition.
+# Settings every job relies on.  Broadcasts are decided only by AQE from
+# measured shuffle sizes (never from file-size estimates, which undercount
+# compressed data); AQE also coalesces small shuffle partitions and splits
+# skewed ones; dynamic overwrite makes partitioned writes idempotent per
+# partition.
 CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
