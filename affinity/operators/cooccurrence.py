@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.llr import independent, llr
+from ..functions.rounding import round_half_away
 from ..functions.sampling import keep_sampled, sample_hash
 from ..params import CcoParams
 from ..session import materialize
@@ -109,13 +110,8 @@ def sampled_edges(triples: DataFrame, p: CcoParams) -> DataFrame:
     return downsample(restricted(e, users), p)
 
 
-def cooccurrence_counts(triples: DataFrame, p: CcoParams) -> DataFrame:
-    """(event, product_id, other_id, k11, a, b, n, llr) for every co-occurring pair.
-
-    ``product_id`` is the primary item, ``other_id`` the item of ``event``.
-    The primary event's own diagonal (x = y) is excluded; cross events keep
-    it.  ``llr`` is unrounded.
-    """
+def _pairs(triples: DataFrame, p: CcoParams) -> DataFrame:
+    """(ev, x, y, a, b, n, k11) with ``ev`` the event's position in ``p.names``."""
     e, primary, users, n = _context(triples, p)
     # Split a user whose primary list is long over several join keys: the
     # primary side is hashed into `salts` buckets, the other side copied
@@ -138,45 +134,51 @@ def cooccurrence_counts(triples: DataFrame, p: CcoParams) -> DataFrame:
     b_side = s.select(
         "ev", "user_id", F.col("product_id").alias("y"), F.col("n_item").alias("b"),
         "is_primary", "n", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    pairs = (a_side.join(b_side, ["user_id", "salt"])
-             .where(~F.col("is_primary") | (F.col("x") != F.col("y")))
-             .groupBy("ev", "x", "y", "a", "b", "n")
-             .agg(F.count(F.lit(1)).alias("k11")))
-    name = F.element_at(F.array(*[F.lit(x) for x in p.names]), F.col("ev") + 1)
-    return pairs.select(
-        name.alias("event"), F.col("x").alias("product_id"), F.col("y").alias("other_id"),
-        "k11", "a", "b", F.col("n").cast("long").alias("n"),
-        llr(F.col("k11"), F.col("a"), F.col("b"), F.col("n")).alias("llr"))
+    return (a_side.join(b_side, ["user_id", "salt"])
+            .where(~F.col("is_primary") | (F.col("x") != F.col("y")))
+            .groupBy("ev", "x", "y", "a", "b", "n")
+            .agg(F.count(F.lit(1)).alias("k11")))
 
 
-def top_correlators(counts: DataFrame, p: CcoParams) -> DataFrame:
-    """Rank the pairs of ``cooccurrence_counts`` and keep the top-k per item.
+def _event_name(p: CcoParams) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in p.names]), F.col("ev") + 1)
+
+
+def _llr_col() -> Column:
+    return llr(F.col("k11"), F.col("a"), F.col("b"), F.col("n"))
+
+
+def cooccurrence_counts(triples: DataFrame, p: CcoParams) -> DataFrame:
+    """(event, product_id, other_id, k11, a, b, n, llr) for every co-occurring pair.
+
+    ``product_id`` is the primary item, ``other_id`` the item of ``event``.
+    The primary event's own diagonal (x = y) is excluded; cross events keep
+    it.  ``llr`` is unrounded.
+    """
+    return _pairs(triples, p).select(
+        _event_name(p).alias("event"), F.col("x").alias("product_id"),
+        F.col("y").alias("other_id"), "k11", "a", "b", F.col("n").cast("long").alias("n"),
+        _llr_col().alias("llr"))
+
+
+def cross_occurrence(triples: DataFrame, p: CcoParams) -> DataFrame:
+    """(event, product_id, other_id, llr, rank): top correlators per event.
 
     Exactly independent pairs (LLR 0) are not correlators.  Ranking is on the
-    rounded LLR with ties broken by partner id, so it is deterministic.
+    LLR rounded to 5 places with ties broken by partner id, so it is
+    deterministic.
     """
-    caps = {i.name: i.max_correlators for i in p.indicators}
+    caps = {i: ind.max_correlators for i, ind in enumerate(p.indicators)}
     kmax = max(caps.values())
-    scored = (counts.where(~independent(F.col("k11"), F.col("a"), F.col("b"), F.col("n")))
-              .select("event", "product_id", "other_id", F.round("llr", 5).alias("llr")))
-    w = Window.partitionBy("event", "product_id").orderBy(F.desc("llr"), F.asc("other_id"))
+    scored = (_pairs(triples, p)
+              .where(~independent(F.col("k11"), F.col("a"), F.col("b"), F.col("n")))
+              .select("ev", "x", "y", round_half_away(_llr_col(), 5).alias("llr")))
+    w = Window.partitionBy("ev", "x").orderBy(F.desc("llr"), F.asc("y"))
     ranked = scored.withColumn("rank", F.row_number().over(w))
     # The literal bound lets Spark insert a per-partition group limit before
     # the shuffle; the per-event bound applies when caps differ.
     ranked = ranked.where(F.col("rank") <= kmax)
     if len(set(caps.values())) > 1:
-        ranked = ranked.where(F.col("rank") <= _by_event(F.col("event"), caps))
-    return ranked.select(*CCO_COLUMNS)
-
-
-def cross_occurrence(triples: DataFrame, p: CcoParams) -> DataFrame:
-    """(event, product_id, other_id, llr, rank): top correlators per event."""
-    return top_correlators(cooccurrence_counts(triples, p), p)
-
-
-def primary_of(triples: DataFrame, p: CcoParams) -> DataFrame:
-    """One row: the primary event type chosen for ``triples``."""
-    e = edges(triples, p)
-    return e.select(F.min_by("event", _by_event(F.col("event"),
-                                                 {n: i for i, n in enumerate(p.names)}))
-                    .alias("primary_event"))
+        ranked = ranked.where(F.col("rank") <= _by_event(F.col("ev"), caps))
+    return ranked.select(_event_name(p).alias("event"), F.col("x").alias("product_id"),
+                         F.col("y").alias("other_id"), "llr", "rank")

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rounding import round_half_away
 from ..operators import cooccurrence as cco
 from ..operators import etl, popularity, serving, similarity, training
 from ..operators.payload import corr_payload, similarity_payload
@@ -150,7 +151,7 @@ def q_item_user_counts(spark, d):
 # -- cross-occurrence --------------------------------------------------------
 def q_cco_counts(spark, d):
     c = cco.cooccurrence_counts(_triples(spark, d), CcoParams())
-    return c.withColumn("llr", F.round("llr", 5))
+    return c.withColumn("llr", round_half_away(F.col("llr"), 5))
 
 
 def _primary_split(spark, d, primary: bool):
