@@ -9,18 +9,18 @@ The all-pairs product inside a category grows as n_c^2, and one category
 may hold a large share of all items.  It is computed as a blocked matrix
 product, the way a distributed GEMM is:
 
-* each category is hashed into ``ceil(n_c / block_size)`` blocks, so no
-  group ever exceeds about one block of rows;
-* every unordered block pair (i <= j) of a category is one cogroup task:
-  numpy normalises the rows (dropping zero vectors), computes the block
-  of dot products (BLAS), rounds them to 5
-  places and emits, per row and per direction, the row's exact top-k in
-  the final order (score desc, partner id asc), so the union over blocks
-  holds every item's global top-k;
-* a row_number window keeps the k best per item over all its blocks.
-
-Work is spread over (#blocks)^2 / 2 tasks per category; no item pair is
-ever materialised as a row, nothing goes through the driver.
+* each category is hashed into ``ceil(n_c / block_size)`` left blocks and
+  ``ceil(n_c / strip_size)`` right strips, so no group ever exceeds about
+  block_size + strip_size rows;
+* every (left block, right strip) pair of a category is one cogroup task:
+  numpy normalises the rows (dropping zero vectors), streams the strip in
+  column chunks (BLAS dot products, rounded to 5 places) and keeps a
+  running exact top-k per left row in the final order (score desc, partner
+  id asc), so the union over strips holds every item's global top-k;
+* a row_number window keeps the k best per item over its strips.
+
+Work is spread over (#blocks x #strips) tasks per category; no item pair
+is ever materialised as a row, nothing goes through the driver.
 """
 
 from __future__ import annotations
@@ -69,38 +69,10 @@ def text_vectors(items: DataFrame, dim: int = W2V_DIM, min_count: int = W2V_MIN_
 
 
 def round5(x: np.ndarray) -> np.ndarray:
-    """Round half away from zero to 5 places (SQL ``round(x, 5)`` on doubles)."""
+    """Round half away from zero to 5 places (as ``functions.round_half_away``)."""
     return np.sign(x) * np.floor(np.abs(x) * 1e5 + 0.5) / 1e5
 
 
-def _row_candidates(s: np.ndarray, rows: pd.DataFrame, cols: pd.DataFrame, k: int,
-                    cat: str) -> pd.DataFrame:
-    """Exact top-k of each row of ``s`` by (score desc, column id asc).
-
-    ``cols`` must be sorted by product_id; excluded cells are -inf.  Ties at
-    the k-th score are filled in id order, so a row keeps exactly
-    min(k, #finite) candidates and the union over blocks contains the
-    global top-k.
-    """
-    finite = np.isfinite(s)
-    if s.shape[1] > k:
-        kth = -np.partition(-s, k - 1, axis=1)[:, k - 1]
-        greater = s > kth[:, None]
-        tie = (s == kth[:, None]) & finite
-        need = k - greater.sum(axis=1)
-        keep = (greater | (tie & (np.cumsum(tie, axis=1) <= need[:, None]))) & finite
-    else:
-        keep = finite
-    i, j = np.nonzero(keep)
-    return pd.DataFrame({
-        "cat4cat": cat,
-        "product_id": rows["product_id"].to_numpy()[i],
-        "cat_path": rows["cat_path"].to_numpy()[i],
-        "other_id": cols["product_id"].to_numpy()[j],
-        "score": s[i, j],
-    })
-
-
 _EMPTY = pd.DataFrame({"cat4cat": pd.Series([], dtype=object),
                        "product_id": pd.Series([], dtype="int64"),
                        "cat_path": pd.Series([], dtype=object),
@@ -119,51 +91,75 @@ def _unit_rows(block: pd.DataFrame):
     return block, m / norm[:, None]
 
 
-def _block_pair(k: int):
+def _topk_merge(best_s, best_i, s, ids, k):
+    """Per row, the k best of (running best, new chunk) by (score desc, id asc)."""
+    cs = np.concatenate([best_s, s], axis=1)
+    ci = np.concatenate([best_i, np.broadcast_to(ids, s.shape)], axis=1)
+    order = np.lexsort((ci, -cs), axis=1)[:, :k]
+    return np.take_along_axis(cs, order, axis=1), np.take_along_axis(ci, order, axis=1)
+
+
+def _strip_topk(k: int, chunk: int):
+    """Cogroup kernel: every left row against a right strip, exact top-k."""
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return _EMPTY.copy()
-        cat, bi, bj = key
+        cat = key[0]
         left, lm = _unit_rows(left)
         right, rm = _unit_rows(right)
         if left.empty or right.empty:
             return _EMPTY.copy()
-        s = round5(lm @ rm.T)
-        same = left["product_id"].to_numpy()[:, None] == right["product_id"].to_numpy()[None, :]
-        s[same] = -np.inf
-        out = [_row_candidates(s, left, right, k, cat)]
-        if bi != bj:
-            out.append(_row_candidates(s.T, right, left, k, cat))
-        return pd.concat(out, ignore_index=True)
+        lid = left["product_id"].to_numpy()
+        rid = right["product_id"].to_numpy()
+        best_s = np.empty((len(lid), 0))
+        best_i = np.empty((len(lid), 0), dtype=rid.dtype)
+        for c0 in range(0, len(rid), chunk):
+            ids = rid[c0:c0 + chunk]
+            sc = round5(lm @ rm[c0:c0 + chunk].T)
+            sc[lid[:, None] == ids[None, :]] = -np.inf      # never the item itself
+            best_s, best_i = _topk_merge(best_s, best_i, sc, ids, k)
+        r, c = np.nonzero(np.isfinite(best_s))
+        return pd.DataFrame({"cat4cat": cat, "product_id": lid[r],
+                             "cat_path": left["cat_path"].to_numpy()[r],
+                             "other_id": best_i[r, c], "score": best_s[r, c]})
     return run
 
 
-def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS,
-                      block_size: int = 1024) -> DataFrame:
+def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int = 1024,
+                      strip_size: int = 16384, chunk: int = 4096) -> DataFrame:
     """(product_id, cat_path, other_id, score, rank) within ``cat4cat``.
 
     ``vectors``: product_id, cat_path, cat4cat, vec (array<double>).  The
     score is the cosine rounded to 5 places; rank orders by score desc,
     then partner id.  Zero vectors have no cosine and are dropped.
+
+    A category of n rows is hashed twice: into ceil(n/block_size) left
+    blocks and ceil(n/strip_size) right strips; each (block, strip) pair is
+    one task that streams the strip in ``chunk``-column slices and keeps a
+    running exact top-k per left row.  Task input is bounded by
+    block_size + strip_size rows, and each item sends at most
+    ceil(n/strip_size) * k candidates to the final ranking.
     """
-    # Normalisation and the zero-vector check run vectorised inside the
-    # block task (numpy), once per row per block pair.
     v = (vectors.where(F.col("vec").isNotNull() & F.col("cat4cat").isNotNull())
          .select("product_id", "cat_path", "cat4cat", "vec"))
+    cnt = F.count(F.lit(1))
     sizes = v.groupBy("cat4cat").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block_size)).cast("int").alias("nb"))
-    vb = v.join(sizes, "cat4cat").withColumn(
-        "blk", F.pmod(F.xxhash64("product_id", "cat_path"), F.col("nb")).cast("int"))
+        F.ceil(cnt / F.lit(block_size)).cast("int").alias("nl"),
+        F.ceil(cnt / F.lit(strip_size)).cast("int").alias("nr"))
+    h = F.xxhash64("product_id", "cat_path")
+    vb = (v.join(sizes, "cat4cat")
+          .withColumn("bl", F.pmod(h, F.col("nl")).cast("int"))
+          .withColumn("br", F.pmod(h, F.col("nr")).cast("int")))
     cols = ["product_id", "cat_path", "vec"]
-    left = vb.select("cat4cat", F.col("blk").alias("bi"),
-                     F.explode(F.sequence(F.col("blk"), F.col("nb") - 1)).alias("bj"), *cols)
+    left = vb.select("cat4cat", F.col("bl").alias("bi"),
+                     F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("bj"), *cols)
     # Fresh attribute ids on one side: both sides derive from `vb`.
     right = vb.select(F.col("cat4cat").alias("cat4cat"),
-                      F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("bi"),
-                      F.col("blk").alias("bj"), *[F.col(c).alias(c) for c in cols])
+                      F.explode(F.sequence(F.lit(0), F.col("nl") - 1)).alias("bi"),
+                      F.col("br").alias("bj"), *[F.col(c).alias(c) for c in cols])
     keys = ["cat4cat", "bi", "bj"]
     cand = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
-            .applyInPandas(_block_pair(k), _CAND_SCHEMA))
+            .applyInPandas(_strip_topk(k, chunk), _CAND_SCHEMA))
     w = Window.partitionBy("cat4cat", "product_id", "cat_path").orderBy(
         F.desc("score"), F.asc("other_id"))
     return (cand.withColumn("rank", F.row_number().over(w))

@@ -36,15 +36,16 @@ def _brute(rows, k):
 
 def test_blocked_equals_brute_force_with_ties(spark):
     df, rows = _vectors(spark)
-    for block in (4, 7, 1024):                              # many blocks, uneven, one
-        got = sorted(tuple(r) for r in sim.vector_similarity(df, k=5, block_size=block)
-                     .collect())
-        assert got == _brute(rows, 5), block
+    # many blocks and strips, uneven sizes, chunked strips, one block
+    for block, strip, chunk in ((4, 6, 4), (7, 5, 3), (3, 1024, 2), (1024, 1024, 4096)):
+        got = sorted(tuple(r) for r in sim.vector_similarity(
+            df, k=5, block_size=block, strip_size=strip, chunk=chunk).collect())
+        assert got == _brute(rows, 5), (block, strip, chunk)
 
 
 def test_properties_k_bound_no_self_same_category(spark):
     df, rows = _vectors(spark, dup=False)
-    res = sim.vector_similarity(df, k=4, block_size=8).collect()
+    res = sim.vector_similarity(df, k=4, block_size=8, strip_size=8, chunk=5).collect()
     cat = {r[0]: r[2] for r in rows}
     assert all(r.rank <= 4 and r.product_id != r.other_id for r in res)
     assert all(cat[r.product_id] == cat[r.other_id] for r in res)
