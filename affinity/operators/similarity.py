@@ -35,6 +35,7 @@ from ..params import NEIGHBOURS, W2V_DIM, W2V_MIN_COUNT
 from ..sources.tables import CatalogueTables
 
 SIM_COLUMNS = ("product_id", "cat_path", "other_id", "score", "rank")
+W2V_MAX_PARTITIONS = 32
 _CAND_SCHEMA = "cat4cat string, product_id long, cat_path string, other_id long, score double"
 
 
@@ -52,15 +53,21 @@ def text_vectors(items: DataFrame, dim: int = W2V_DIM, min_count: int = W2V_MIN_
                  seed: int = 42, partitions: int | None = None) -> DataFrame:
     """Word2Vec over the item texts; (product_id, cat_path, cat4cat, vec).
 
-    ``partitions`` is Word2Vec's training parallelism (default: the
-    session's default parallelism).  Results repeat for a fixed seed and
-    input partitioning.
+    ``partitions`` is Word2Vec's training parallelism.  Each partition
+    trains on its share of the texts and the vectors are averaged per
+    iteration, so the default is the session's parallelism capped at
+    ``W2V_MAX_PARTITIONS`` (more partitions only add averaging traffic).
+    Results repeat for a fixed seed and input partitioning.
     """
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 
     if partitions is None:
-        partitions = max(1, items.sparkSession.sparkContext.defaultParallelism)
+        try:
+            par = items.sparkSession.sparkContext.defaultParallelism
+        except Exception:  # a session without a SparkContext (Connect)
+            par = W2V_MAX_PARTITIONS
+        partitions = max(1, min(par, W2V_MAX_PARTITIONS))
     w2v = Word2Vec(vectorSize=dim, minCount=min_count, seed=seed, numPartitions=partitions,
                    inputCol="text", outputCol="text_vec")
     model = w2v.fit(items)
