@@ -4,7 +4,6 @@ from .llr import independent, llr
 from .rounding import round_half_away
 from .sampling import keep_sampled, sample_hash
 from .text import category_of_path, tokens
-from .vectors import normalized, sq_norm
 
 __all__ = ["llr", "independent", "round_half_away", "sample_hash", "keep_sampled", "tokens",
-           "category_of_path", "normalized", "sq_norm"]
+           "category_of_path"]

@@ -34,8 +34,6 @@ from ..params import CcoParams
 from ..session import materialize
 
 EDGE = ("event", "user_id", "product_id")
-CCO_COLUMNS = ("event", "product_id", "other_id", "llr", "rank")
-COUNT_COLUMNS = ("event", "product_id", "other_id", "k11", "a", "b", "n", "llr")
 
 
 def _by_event(event: Column, values: dict, cast: str = "int") -> Column:

@@ -38,7 +38,7 @@ ETL_PARAMS = EtlParams(sites=ad.ORDERS_SITES, position_regex=ad.ORDERS_POSITION_
                        order_status_deny=ad.ORDERS_STATUS_DENY)
 UV_SQL = (
     "SELECT event, product_id, CAST(sum(event_uv) AS DOUBLE) AS event_uv "
-    "FROM nc_customer_daily_events "
+    "FROM customer_daily_events "
     "WHERE event_time >= DATE'2024-01-01' AND event_time <= DATE'2024-01-31' "
     "GROUP BY event, product_id")
 
@@ -110,7 +110,7 @@ def q_item_event_uv(spark, d):
 
 
 def q_sql_read(spark, d):
-    return training.sql_read(spark, UV_SQL, {"nc_customer_daily_events": _daily(spark, d)})
+    return training.sql_read(spark, UV_SQL, {"customer_daily_events": _daily(spark, d)})
 
 
 # -- cross-occurrence preparation --------------------------------------------
