@@ -17,7 +17,7 @@ The plan is a handful of shuffles on edge tables plus one pair aggregation:
 4. users per item after sampling (a for A, b for B), carried on the edges
    so the pair table never joins a count table;
 5. A join B on user (hot users salted), then ONE group by
-   (event, x, y, a, b) with map-side partial aggregation -> k11;
+   (event, x, y, a, b, N) with map-side partial aggregation -> k11;
 6. drop exactly independent pairs, LLR rounded to 5 places, ranked by
    (llr desc, partner id) with a row_number limit (window group limit).
 """
