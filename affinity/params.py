@@ -99,7 +99,7 @@ class CcoParams:
     indicators: tuple[Indicator, ...] = field(default_factory=indicator_params)
     min_events: int = 1
     seed: int = CCO_SEED
-    hot_user_items: int = 2000
+    hot_user_items: int = 500
     checkpoint: bool = True
 
     @property
