@@ -31,6 +31,8 @@ POP_DAYS = 30                           # thirds at 01-11 / 01-21, half at 01-16
 LOOKBACK_DAYS = 10
 UPDATE_TIME = "2024-01-31"
 MIN_EVENTS = 10                         # binds: users have ~12 items per event
+# The backfill operator takes an explicit day range; a calendar year of the
+# orders data is that range (the whole tables are still scanned).
 BACKFILL = (dt.date(1996, 1, 1), dt.date(1996, 12, 31))
 SAMPLED = CcoParams(indicators=(Indicator("order", 12, 20), Indicator("cart", 12, 20),
                                 Indicator("wish", 5, 20), Indicator("click", 5, 20)))
@@ -128,6 +130,8 @@ def q_restricted_events(spark, d):
 
 
 def _without_order(spark, d):
+    # The fallback rule only acts when the first event type has no rows:
+    # removing that event type from the (whole) input creates the case.
     return _triples(spark, d).where(F.col("event") != "order")
 
 
