@@ -43,3 +43,17 @@ def test_jobs_end_to_end(spark):
     rows = spark.read.parquet(out)
     assert rows.count() == 200                      # one row per catalogue product
     assert len(rows.columns) == 24
+
+
+def test_cli_popularity_and_cco(spark):
+    root = shared_dir(spark, "test-cli")
+    daily = os.path.join(root, "daily")
+    sinks.write_daily_events(ad.events_daily(spark, SF_SMALL), daily)
+    pop = os.path.join(root, "pop")
+    jobs.main(["popularity", "--daily", daily, "--out", pop, "--end", "2024-01-31",
+               "--days", "30"])
+    assert spark.read.parquet(pop).count() > 0
+    corr = os.path.join(root, "corr")
+    jobs.main(["cco", "--daily", daily, "--out", corr, "--end", "2024-01-31",
+               "--lookback", "30", "--default-params"])
+    assert spark.read.parquet(corr).select("event").distinct().count() == 4
