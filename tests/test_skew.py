@@ -54,3 +54,18 @@ def test_hot_category_is_split_and_exact(spark):
     got = sorted(tuple(r) for r in sim.vector_similarity(df, k=6, block_size=8, strip_size=16,
                                                          chunk=5).collect())
     assert got == _brute(rows, 6)
+
+
+def test_hot_item_is_exact(spark):
+    rng = np.random.default_rng(11)
+    edges = {(str(rng.choice(["order", "cart", "wish"])), int(u), int(rng.integers(1, 25)))
+             for u in range(60) for _ in range(3)}
+    edges |= {("order" if u % 2 else "cart", u, 0) for u in range(60)}   # item 0 everywhere
+    edges = sorted(edges)
+    p = CcoParams(indicators=(Indicator("order", 1000, 4), Indicator("cart", 1000, 4),
+                              Indicator("wish", 1000, 4)), checkpoint=False)
+    df = spark.createDataFrame([(e, u, i, 1) for e, u, i in edges],
+                               "event string, user_id long, product_id long, event_uvs long")
+    got = sorted((r.event, r.product_id, r.other_id, r.rank)
+                 for r in cco.cross_occurrence(df, p).collect())
+    assert got == [x[:3] + x[4:] for x in brute(edges, p)]
