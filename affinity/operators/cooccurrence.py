@@ -59,31 +59,52 @@ def primary_event(e: DataFrame, p: CcoParams) -> Column:
     return e.select(F.min_by("event", prio)).scalar()
 
 
+def _primary_user_counts(e: DataFrame, primary: Column, p: CcoParams) -> DataFrame:
+    """(user_id, n_primary, n_by_event) of the primary users.
+
+    ``n_by_event`` maps each event type to the user's number of items in it
+    (at most one entry per configured event type, so the per-user group is
+    bounded).  Carrying it through the restriction join gives the sampler
+    its items-per-user count without another shuffle of the edges.
+    """
+    per = e.groupBy("user_id", "event").agg(F.count(F.lit(1)).alias("c"))
+    m = per.groupBy("user_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("event", "c"))).alias("n_by_event"))
+    n_primary = F.coalesce(F.element_at("n_by_event", primary), F.lit(0).cast("long"))
+    return (m.select("user_id", n_primary.alias("n_primary"), "n_by_event")
+            .where(F.col("n_primary") >= max(1, p.min_events)))
+
+
 def primary_users(e: DataFrame, primary: Column, p: CcoParams) -> DataFrame:
     """(user_id, n_primary) of users with at least ``min_events`` primary items."""
-    return (e.where(F.col("event") == primary).groupBy("user_id")
-            .agg(F.count(F.lit(1)).alias("n_primary"))
-            .where(F.col("n_primary") >= p.min_events))
+    return _primary_user_counts(e, primary, p).select("user_id", "n_primary")
 
 
 def restricted(e: DataFrame, users: DataFrame) -> DataFrame:
-    """Every event restricted to the primary users; carries ``n_primary``."""
-    return e.join(users, "user_id").select(*EDGE, "n_primary")
+    """Every event restricted to the primary users; carries their counts."""
+    return e.join(users, "user_id").select(
+        *EDGE, *[c for c in users.columns if c != "user_id"])
 
 
 def downsample(r: DataFrame, p: CcoParams) -> DataFrame:
     """Keep an edge with rate min(1, cap/items(user), cap/users(item)).
 
-    Counts are per event type and taken before sampling; each is one
-    partially aggregated group-by joined back (AQE splits a skewed side).
+    Counts are per event type and taken before sampling.  Items per user
+    come with the edge (``n_by_event``) when the restriction carried them,
+    else from a group-by joined back; users per item is one partially
+    aggregated group-by joined back (AQE splits a skewed side).
     """
     cap = _by_event(F.col("event"), {i.name: i.max_events for i in p.indicators}, "double")
-    per_user = r.groupBy("event", "user_id").agg(F.count(F.lit(1)).alias("n_u"))
+    if "n_by_event" in r.columns:
+        with_u = r.withColumn("n_u", F.element_at("n_by_event", F.col("event")))
+    else:
+        per_user = r.groupBy("event", "user_id").agg(F.count(F.lit(1)).alias("n_u"))
+        with_u = r.join(per_user, ["event", "user_id"])
     per_item = r.groupBy("event", "product_id").agg(F.count(F.lit(1)).alias("n_i"))
     rate = F.least(cap / F.col("n_u"), cap / F.col("n_i"))
     h = sample_hash(F.col("event"), F.col("user_id"), F.col("product_id"), p.seed)
-    return (r.join(per_user, ["event", "user_id"]).join(per_item, ["event", "product_id"])
-            .where(keep_sampled(rate, h)).select(*r.columns))
+    return (with_u.join(per_item, ["event", "product_id"]).where(keep_sampled(rate, h))
+            .select(*[c for c in r.columns if c != "n_by_event"]))
 
 
 def with_item_counts(s: DataFrame) -> DataFrame:
@@ -97,7 +118,7 @@ def _context(triples: DataFrame, p: CcoParams):
     if p.checkpoint:
         e = materialize(e)
     primary = primary_event(e, p)
-    users = primary_users(e, primary, p)
+    users = _primary_user_counts(e, primary, p)
     n = users.select(F.count(F.lit(1))).scalar()
     return e, primary, users, n
 
