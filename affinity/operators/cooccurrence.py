@@ -10,7 +10,7 @@ The plan is a handful of shuffles on edge tables plus one pair aggregation:
 1. primary event = first configured event type with data (scalar subquery);
 2. U = users with >= min_events primary items, N = |U| (scalar subquery);
    every event is restricted to U by an inner join that also carries the
-   user's primary item count;
+   user's item count per event type (a map with one entry per type);
 3. hash-sample each edge with rate min(1, cap/items(user), cap/users(item))
    (per event, counts taken before sampling) -- this bounds the pair work of
    any user and any item by the cap;
