@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import category_of_path, tokens
 from ..params import NEIGHBOURS, W2V_DIM, W2V_MIN_COUNT
+from ..session import materialize
 from ..sources.tables import CatalogueTables
 
 SIM_COLUMNS = ("product_id", "cat_path", "other_id", "score", "rank")
@@ -177,5 +178,11 @@ def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int =
 def text_similarity(cat: CatalogueTables, k: int = NEIGHBOURS, dim: int = W2V_DIM,
                     min_count: int = W2V_MIN_COUNT, seed: int = 42,
                     partitions: int | None = None) -> DataFrame:
-    """Word2Vec item vectors, then ``vector_similarity`` within categories."""
-    return vector_similarity(text_vectors(item_desc(cat), dim, min_count, seed, partitions), k)
+    """Word2Vec item vectors, then ``vector_similarity`` within categories.
+
+    The vectors feed the category sizes and both sides of the block/strip
+    cogroup, so they are materialised once instead of re-running the
+    description join and the Word2Vec transform per branch.
+    """
+    vec = materialize(text_vectors(item_desc(cat), dim, min_count, seed, partitions))
+    return vector_similarity(vec, k)
