@@ -75,7 +75,7 @@ def serving_job(spark: SparkSession, catalogue_root: str, corr_path: str, pop_pa
 
 
 def _session() -> SparkSession:
-    b = SparkSession.builder.appName("affinity")
+    b = SparkSession.builder.appName("affinity").config("spark.ui.enabled", "false")
     for k, v in CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
