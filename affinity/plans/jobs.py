@@ -25,7 +25,7 @@ from ..operators import cooccurrence as cco
 from ..operators import etl, popularity, serving, similarity, training
 from ..operators.payload import corr_payload, similarity_payload
 from ..params import NEIGHBOURS, POPULARITY_DAYS, CcoParams, EtlParams, cco_default_params
-from ..session import CONF, ensure_checkpoint_dir
+from ..session import CONF, apply_cluster_sizing, ensure_checkpoint_dir
 from ..sources import sinks
 from ..sources.tables import read_catalogue, read_log_tables
 
@@ -79,6 +79,7 @@ def _session() -> SparkSession:
     for k, v in CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    apply_cluster_sizing(spark)
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -27,6 +27,28 @@ CONF = {
 }
 
 
+# Partition sizing for cluster runs (applied by the jobs only where the
+# cluster's own configuration leaves a key unset).  Shuffles start wide and
+# AQE coalesces them to ~128 MB partitions, so a 100 TB input neither spills
+# from oversized partitions nor drowns in tiny tasks.
+CLUSTER_SIZING = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+}
+
+
+def apply_cluster_sizing(spark: SparkSession) -> None:
+    """Set ``CLUSTER_SIZING`` keys the cluster did not set (never locally)."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        return
+    conf = sc.getConf()
+    for k, v in CLUSTER_SIZING.items():
+        if not conf.contains(k):
+            spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "affinity", extra: dict | None = None) -> SparkSession:
     """Session for tests, benchmarks and local runs.
