@@ -16,11 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def read_parquet(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """``root/name.parquet`` if it exists as such, else ``root/name``."""
-    path = os.path.join(root, f"{name}.parquet")
-    if "://" not in root and not os.path.exists(path):
-        path = os.path.join(root, name)
-    return spark.read.parquet(path)
+    """``root/name.parquet`` if it exists, else ``root/name`` (any file system)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.parquet(os.path.join(root, f"{name}.parquet"))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+    return spark.read.parquet(os.path.join(root, name))
 
 
 @dataclass(frozen=True)
