@@ -2,7 +2,7 @@
 
 Each query is planned from scratch and executed in full with the ``noop``
 sink (every row is produced, nothing is collected).  One warm-up pass runs
-first; each query's time is the best of $BENCH_REPEAT runs.  Prints one
+first; each query's time is the best of $BENCH_REPEAT (default 3) runs.  Prints one
 JSON line.
 """
 
@@ -38,7 +38,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = sys.argv[1:] or list(HEADLINE)
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus)
     for n in names:                       # warm-up
