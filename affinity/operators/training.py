@@ -47,7 +47,10 @@ def item_event_uv(daily: DataFrame, start=None, end=None) -> DataFrame:
     Every event type is kept, named or not; the sum counts (session, user)
     rows, not distinct users.
     """
-    d = _valid(daily).where(_day_filter(F.col(DAY), None, start, end))
+    # Only the event and product are read per row here; a missing user does
+    # not drop the row (it does for the training edges).
+    d = daily.where(F.col("event").isNotNull() & F.col("product_id").isNotNull()
+                    & _day_filter(F.col(DAY), None, start, end))
     return d.groupBy("event", "product_id").agg(
         F.sum("event_uv").cast("double").alias("event_uv"))
 
