@@ -3,7 +3,7 @@
 Each query is planned from scratch and executed in full with the ``noop``
 sink (every row is produced, nothing is collected).  One warm-up pass runs
 first; each query's time is the best of $BENCH_REPEAT (default 3) runs.  Prints one
-JSON line.
+JSON line (a query that fails is reported on stderr and recorded as null).
 """
 
 from __future__ import annotations
@@ -41,11 +41,17 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = sys.argv[1:] or list(HEADLINE)
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus)
-    for n in names:                       # warm-up
-        run(spark, n, sf_dir)
-    times = {n: round(min(run(spark, n, sf_dir) for _ in range(repeat)), 3) for n in names}
+    times = {}
+    for n in names:
+        try:
+            run(spark, n, sf_dir)         # warm-up
+            times[n] = round(min(run(spark, n, sf_dir) for _ in range(repeat)), 3)
+        except Exception as e:            # report, keep the JSON line coming
+            print(f"{n} failed: {type(e).__name__}: {e}", file=sys.stderr)
+            times[n] = None
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
-    print(json.dumps({"metric": "total_seconds", "value": round(sum(times.values()), 3),
+    done = [t for t in times.values() if t is not None]
+    print(json.dumps({"metric": "total_seconds", "value": round(sum(done), 3),
                       "unit": "sec", "queries": times, "sf": sf}))
 
 
