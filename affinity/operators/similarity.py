@@ -148,7 +148,8 @@ def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int =
     block_size + strip_size rows, and each item sends at most
     ceil(n/strip_size) * k candidates to the final ranking.
     """
-    v = (vectors.where(F.col("vec").isNotNull() & F.col("cat4cat").isNotNull())
+    v = (vectors.where(F.col("vec").isNotNull() & F.col("cat4cat").isNotNull()
+                       & F.col("product_id").isNotNull())
          .select("product_id", "cat_path", "cat4cat", "vec"))
     cnt = F.count(F.lit(1))
     sizes = v.groupBy("cat4cat").agg(
