@@ -187,17 +187,21 @@ def cross_occurrence(triples: DataFrame, p: CcoParams) -> DataFrame:
     LLR rounded to 5 places with ties broken by partner id, so it is
     deterministic.
     """
-    caps = {i: ind.max_correlators for i, ind in enumerate(p.indicators)}
+    caps = {ind.name: ind.max_correlators for ind in p.indicators}
     kmax = max(caps.values())
+    # The event name is restored before ranking: the ranking's partitioning
+    # (event, item) is then also the payload's grouping, so writing payloads
+    # needs no further shuffle.
     scored = (_pairs(triples, p)
               .where(~independent(F.col("k11"), F.col("a"), F.col("b"), F.col("n")))
-              .select("ev", "x", "y", round_half_away(_llr_col(), 5).alias("llr")))
-    w = Window.partitionBy("ev", "x").orderBy(F.desc("llr"), F.asc("y"))
+              .select(_event_name(p).alias("event"), "x", "y",
+                      round_half_away(_llr_col(), 5).alias("llr")))
+    w = Window.partitionBy("event", "x").orderBy(F.desc("llr"), F.asc("y"))
     ranked = scored.withColumn("rank", F.row_number().over(w))
     # The literal bound lets Spark insert a per-partition group limit before
     # the shuffle; the per-event bound applies when caps differ.
     ranked = ranked.where(F.col("rank") <= kmax)
     if len(set(caps.values())) > 1:
-        ranked = ranked.where(F.col("rank") <= _by_event(F.col("ev"), caps))
-    return ranked.select(_event_name(p).alias("event"), F.col("x").alias("product_id"),
+        ranked = ranked.where(F.col("rank") <= _by_event(F.col("event"), caps))
+    return ranked.select("event", F.col("x").alias("product_id"),
                          F.col("y").alias("other_id"), "llr", "rank")
