@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, topk, urls
+from . import chat, decontaminate, jaccard, langid, packing, quality, suffixes, topk, toxicity, urls
 from .common import arrow_rows
 
 
@@ -18,10 +18,34 @@ def _table(spark, d, name):
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark, d):
+    return suffixes.deduplicate(_table(spark, d, "documents"))
+
+
+def op2_best_fit_packing(spark, d):
+    return packing.pack(_table(spark, d, "documents"))
+
+
+def op3_decontaminate(spark, d):
+    return decontaminate.contaminated(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
+def op4_jaccard_join(spark, d):
+    return jaccard.near_duplicates(_table(spark, d, "documents"))
+
+
 def op5_url_filter(spark, d):
     return urls.filter_urls(_table(spark, d, "pages"))
 
 
+def op6_quality(spark, d):
+    return quality.quality_scores(_table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
+def op7_language_id(spark, d):
+    return langid.identify(_table(spark, d, "documents"))
+
+
 def op8_chat_perspectives(spark, d):
     return chat.rotate(_table(spark, d, "conversations"))
 
@@ -31,4 +55,8 @@ def op9_exact_topk(spark, d):
     return topk.exact_topk(e, e.where(F.col("vec_id") % 100 == 0))
 
 
+def op10_toxicity(spark, d):
+    return toxicity.toxicity_scores(_table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
 QUERIES = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
