@@ -17,11 +17,13 @@ every task of one scan over the whole documents.  Nothing else is collected.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import bucket_count
 from .textcore import column_bytes, counts_of, ngrams, text_blocks, words
@@ -183,6 +185,38 @@ def _blocks(benchmark: DataFrame, p: DecontamParams):
             yield Items.build([r.item_id for r in part], [r.text for r in part], p.n)
 
 
+def _seeds(src: DataFrame, items: Items, stride: int) -> Items:
+    """The items with only their rare n-grams, ranked over all documents."""
+    sc = src.sparkSession.sparkContext
+    shared, bits = sc.broadcast(items), sc.broadcast(items.bits())
+
+    def count(batches):
+        it, bt = shared.value, bits.value
+        seen = np.zeros(len(it.keys), np.int64)
+        for b in batches:
+            for _, _, data, offsets in text_blocks(b):
+                _, _, row, h = words(data, offsets)
+                _, r, key = doc_hits(it, bt, h, row)
+                if len(key):
+                    seen += np.bincount(np.unique(r * len(it.keys) + key) % len(it.keys), minlength=len(it.keys))
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["k", "n"])
+
+    df = np.zeros(len(items.keys), np.int64)
+    # one row per n-gram of the block at most
+    for r in src.select("text").mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+        df[r.k] = r.n
+    return items.rare(df, stride)
+
+
+def _plan(src: DataFrame, benchmark: DataFrame, p: DecontamParams):
+    """Per block of test items the broadcasts that ``align_block`` needs."""
+    sc = src.sparkSession.sparkContext
+    for items in _blocks(benchmark, p):
+        seeds = _seeds(src, items, p.stride)
+        yield sc.broadcast((items, seeds, seeds.bits()))
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame, p: DecontamParams | None = None,
                  keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """(*keys, item_id, score, end_word): documents holding (edited) test items.
@@ -190,72 +224,64 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, p: DecontamParams |
     One row per document row and item whose best passage scores at least
     ``threshold``.  Words are whitespace separated, A-Z lower-cased.  Null or
     empty texts and items match nothing; items shorter than ``n`` words are
-    one seed; repeated items with one id count once, of several texts of an
-    id the best counts; repeated documents are reported each; an empty
-    benchmark or documents table gives no rows; extra columns are ignored.
+    one seed; of several texts of one item id each is matched, and a document
+    row is reported with the id once per text; repeated items count once;
+    repeated documents are reported each; an empty benchmark or documents
+    table gives no rows; extra columns are ignored.
     """
     p = p or DecontamParams()
     src = documents.select(*keys, "text")
-    spark = documents.sparkSession
+    kind = benchmark.schema["item_id"].dataType
     schema = ", ".join(f"`{k}` {src.schema[k].dataType.simpleString()}" for k in keys)
-    kind = benchmark.schema["item_id"].dataType.simpleString()
-    schema += f", item_id {kind}, score double, end_word long"
-    parts = []
-    for items in _blocks(benchmark, p):
-        shared, bits = spark.sparkContext.broadcast(items), spark.sparkContext.broadcast(items.bits())
+    schema += f", item_id {kind.simpleString()}, score double, end_word long"
+    id_type = to_arrow_type(kind)
 
-        def count(batches, shared=shared, bits=bits):
-            it, bt = shared.value, bits.value
-            seen = np.zeros(len(it.keys), np.int64)
-            for b in batches:
-                for _, _, data, offsets in text_blocks(b):
-                    _, _, row, h = words(data, offsets)
-                    _, r, key = doc_hits(it, bt, h, row)
-                    seen += np.bincount(np.unique(r * len(it.keys) + key) % max(1, len(it.keys)),
-                                        minlength=len(it.keys)) if len(key) else 0
-            at = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["k", "n"])
-
-        df = np.zeros(len(items.keys), np.int64)
-        # one row per n-gram of the block at most
-        for r in src.select("text").mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
-            df[r.k] = r.n
-        seeds = items.rare(df, p.stride)
-        picked, filt = spark.sparkContext.broadcast(seeds), spark.sparkContext.broadcast(seeds.bits())
-
-        def align(batches, shared=shared, picked=picked, filt=filt):
-            it, sd, bt = shared.value, picked.value, filt.value
+    def finder(block):
+        def align(batches):
+            items, seeds, bits = block.value
             for b in batches:
                 rows, ids, score, stop = [], [], [], []
                 for i, j, data, offsets in text_blocks(b):
                     _, _, row, h = words(data, offsets)
-                    for a, k, s, e in align_block(it, sd, bt, h, row, j - i, p):
+                    for a, k, s, e in align_block(items, seeds, bits, h, row, j - i, p):
                         rows.append(i + a)
-                        ids.append(it.ids[k])
+                        ids.append(items.ids[k])
                         score.append(s)
                         stop.append(e)
                 take = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [*[b.column(c).take(take) for c in range(len(keys))],
-                     pa.array(ids, pa.int64() if kind == "bigint" else None), pa.array(score, pa.float64()), pa.array(stop, pa.int64())],
+                    [*[b.column(c).take(take) for c in range(len(keys))], pa.array(ids, id_type),
+                     pa.array(score, pa.float64()), pa.array(stop, pa.int64())],
                     [*keys, "item_id", "score", "end_word"])
+        return align
 
-        parts.append(src.mapInArrow(align, schema))
+    parts = [src.mapInArrow(finder(block), schema) for block in _plan(src, benchmark, p)]
     if not parts:
-        return spark.createDataFrame([], schema)
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+        return documents.sparkSession.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, p: DecontamParams | None = None) -> DataFrame:
-    """The documents without those that hold a test item, columns unchanged."""
-    bad = contaminated(documents, benchmark, p).select("doc_id").distinct()
-    return documents.join(bad, documents["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    """The documents without those that hold a test item, all columns unchanged.
 
+    A filter in one scan per block of test items: no shuffle.  Null cases as
+    in ``contaminated``; a document without text stays.
+    """
+    p = p or DecontamParams()
+    out = documents
 
-def best_per_document(found: DataFrame) -> DataFrame:
-    """The best item of each reported document."""
-    w = Window.partitionBy("doc_id").orderBy(F.desc("score"), "item_id")
-    return found.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
+    def dropper(block):
+        def clean(batches):
+            items, seeds, bits = block.value
+            for b in batches:
+                keep = np.ones(b.num_rows, bool)
+                for i, j, data, offsets in text_blocks(b):
+                    _, _, row, h = words(data, offsets)
+                    for a, *_ in align_block(items, seeds, bits, h, row, j - i, p):
+                        keep[i + a] = False
+                yield b.filter(pa.array(keep))
+        return clean
+
+    for block in _plan(documents.select("text"), benchmark, p):
+        out = out.mapInArrow(dropper(block), documents.schema)
+    return out
