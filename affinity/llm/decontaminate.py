@@ -2,9 +2,9 @@
 
 1. The word n-grams of the test items are counted over all documents (number
    of documents holding each; partial sums before the shuffle).
-2. Each item keeps, for every stretch of ``stride`` n-gram positions, the
-   rarest one as a seed: a passage in very many documents keeps its
-   seeds, since rarity only ranks the n-grams of one item.
+2. An item's seeds are its n-grams in at most ``rare`` documents and the rarer
+   half of those that occur at all: a passage in very many documents keeps
+   seeds, since there rarity only ranks the n-grams of one item.
 3. A document passage holding a seed is joined to the item and aligned with
    it word by word (local alignment, linear gaps), which scores edited
    copies; score = alignment score / words of the item.
@@ -33,12 +33,12 @@ _FILTER_BITS = 20
 
 @dataclass(frozen=True)
 class DecontamParams:
-    """n: words of a seed; threshold: least alignment score per item word;
-    mismatch, gap: penalties (a match scores 1); block_words: words of test
-    items handled per scan."""
+    """n: words of a seed; rare: documents up to which every n-gram is a seed;
+    threshold: least alignment score per item word; mismatch, gap: penalties
+    (a match scores 1); block_words: words of test items handled per scan."""
 
     n: int = 3
-    stride: int = 4
+    rare: int = 50
     threshold: float = 0.5
     mismatch: float = 0.5
     gap: float = 0.5
@@ -97,13 +97,16 @@ class Items:
     def lengths(self) -> list[int]:
         return sorted({min(self.n, len(w)) for w in self.words if len(w)})
 
-    def rare(self, df: np.ndarray, stride: int) -> Items:
-        """Keep the rarest n-gram of every ``stride`` positions of each item."""
+    def rare(self, df: np.ndarray, limit: int) -> Items:
+        """The seeds: of the n-grams that occur, those in at most ``limit``
+        documents and the rarer half of each item's."""
         key = np.repeat(np.arange(len(self.keys)), np.diff(self.first))
-        order = np.lexsort((self.pos, df[key], self.pos // stride, self.item))
-        i, s = self.item[order], self.pos[order] // stride
-        lead = np.r_[True, (i[1:] != i[:-1]) | (s[1:] != s[:-1])] if len(order) else np.zeros(0, bool)
-        pick = order[lead]
+        there = np.flatnonzero(df[key] > 0)
+        order = there[np.lexsort((self.pos[there], df[key[there]], self.item[there]))]
+        item = self.item[order]
+        per = np.bincount(item, minlength=len(self.words))
+        rank = np.arange(len(order)) - (np.cumsum(per) - per)[item]
+        pick = order[(df[key[order]] <= limit) | (rank < (per[item] + 1) // 2)]
         return Items._index(self.ids, self.words, self.item[pick], self.pos[pick], self.keys[key[pick]], self.n)
 
 
@@ -185,7 +188,7 @@ def _blocks(benchmark: DataFrame, p: DecontamParams):
             yield Items.build([r.item_id for r in part], [r.text for r in part], p.n)
 
 
-def _seeds(src: DataFrame, items: Items, stride: int) -> Items:
+def _seeds(src: DataFrame, items: Items, limit: int) -> Items:
     """The items with only their rare n-grams, ranked over all documents."""
     sc = src.sparkSession.sparkContext
     shared, bits = sc.broadcast(items), sc.broadcast(items.bits())
@@ -206,14 +209,14 @@ def _seeds(src: DataFrame, items: Items, stride: int) -> Items:
     # one row per n-gram of the block at most
     for r in src.select("text").mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
         df[r.k] = r.n
-    return items.rare(df, stride)
+    return items.rare(df, limit)
 
 
 def _plan(src: DataFrame, benchmark: DataFrame, p: DecontamParams):
     """Per block of test items the broadcasts that ``align_block`` needs."""
     sc = src.sparkSession.sparkContext
     for items in _blocks(benchmark, p):
-        seeds = _seeds(src, items, p.stride)
+        seeds = _seeds(src, items, p.rare)
         yield sc.broadcast((items, seeds, seeds.bits()))
 
 

@@ -1,0 +1,123 @@
+"""Perspective rotation and exact top-k against Python."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from affinity.llm import chat, topk
+
+
+def rotations(rows):
+    convs = {}
+    for c, t, role, text in rows:
+        convs.setdefault(c, []).append((t, (role or "").strip(" ") or "unknown", text or ""))
+    out = []
+    for c, ms in convs.items():
+        ms.sort(key=lambda m: (m[0] is not None, m[0] or 0, m[1], m[2]))
+        for who in {m[1] for m in ms} - {"system"}:
+            at = 0
+            for t, speaker, text in ms:
+                role = "system" if speaker == "system" else "assistant" if speaker == who else "user"
+                head = f"<|{role} name={speaker}|>\n" if role == "user" else f"<|{role}|>\n"
+                full = head + text + "<|end|>\n"
+                size, h = len(full.encode()), len(head.encode())
+                train = role == "assistant"
+                out.append((c, who, t, speaker, role, speaker if role == "user" else None, text, full, at, at + size,
+                            at + h if train else None, at + h + len(text.encode()) if train else None, train))
+                at += size
+    return out
+
+
+def _key(x):
+    return tuple((v is not None, v) for v in x)
+
+
+def _chats():
+    r = random.Random(1)
+    rows = [(c, t, r.choice(["user", "assistant", "ann", "bob", "system"]), f"é{c} text {t}") for c in range(20) for t in range(r.randrange(1, 9))]
+    rows += [(100, t, "user" if t % 2 else "assistant", "hot" * (t % 5)) for t in range(700)]      # one long dialogue
+    rows += [(None, 1, "user", "x"), (None, 2, "assistant", None), (200, None, None, "who"), (200, 3, "  ", ""),
+             (201, 1, "system", "only system"), (202, 1, "user", "a"), (202, 1, "user", "a"), (202, 1, "user", "b"),
+             (203, 1, "user", "long " * 20_000)]
+    return rows
+
+
+def test_every_perspective_equals_brute_force(spark):
+    rows = _chats()
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df = df.selectExpr("*", "'x' AS speaker", "1 AS block", "2 AS name", "3 AS c", "'y' AS header")
+    got = sorted((tuple(r) for r in chat.rotate(df, block_turns=16).collect()), key=_key)
+    assert got == sorted(rotations(rows), key=_key)
+    assert chat.rotate(df.where("false")).count() == 0
+
+
+def test_rendered_pieces_join_to_the_dialogue_and_masks_cut_the_contents(spark):
+    df = spark.createDataFrame(_chats()[:60], "conv_id long, turn long, role string, text string")
+    by = {}
+    for r in chat.rotate(df).collect():
+        by.setdefault((r.conv_id, r.perspective), []).append(r)
+    for rows in by.values():
+        rows.sort(key=lambda r: r.start_byte)
+        full = "".join(r.rendered for r in rows).encode()
+        assert all(full[r.train_start:r.train_end].decode() == r.content for r in rows if r.train)
+        assert any(r.train for r in rows)
+
+
+def test_rotation_uses_dataframe_functions_only(spark):
+    df = spark.createDataFrame(_chats()[:20], "conv_id long, turn long, role string, text string")
+    plan = chat.rotate(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def brute_topk(rows, k):
+    ok = {(i, tuple(math.floor(1024 * float(x)) for x in v)) for i, v in rows
+          if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    out = []
+    for qi, q in ok:
+        if qi % 100:
+            continue
+        s = sorted((-sum(a * b for a, b in zip(q, v)), i) for i, v in ok if i != qi)
+        out += [(qi, n + 1, i, -v) for n, (v, i) in enumerate(s[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [7, 64, 4096])
+def test_topk_equals_brute_force(spark, block):
+    r = np.random.default_rng(block)
+    rows = [(i, [float(np.float32(x)) for x in r.normal(size=8)]) for i in range(400)]
+    rows += [(500 + i, rows[3][1]) for i in range(60)]                                   # a hot vector: ties
+    rows += [(700, None), (800, [1.0, None] + [0.0] * 6), (900, [float("nan")] + [0.0] * 7), (None, [1.0] * 8),
+             (1000, [float("inf")] + [0.0] * 7), (1100, [0.0] * 8), (1200, rows[0][1]), (1200, rows[0][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(1)).withColumn("rank", F.lit(1))
+    got = sorted(tuple(x) for x in topk.exact_topk(df, df.where("vec_id % 100 = 0"), block_rows=block, query_rows=3).collect())
+    assert got == brute_topk([(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v])
+                              for i, v in rows], 10)
+
+
+def test_reading_stops_early_and_stays_exact():
+    r = np.random.default_rng(0)
+    n, d = 2000, 12
+    scale = np.array([50.0] * 2 + [1.0] * 10)
+    x = np.floor(r.normal(size=(n, d)) * scale * 100).astype(np.int64)
+    q = x[:20]
+    ids = r.permutation(n)
+    want = []
+    for j in range(20):
+        s = sorted((-int(x[i] @ q[j]), int(ids[i])) for i in range(n) if ids[i] != ids[j])
+        want += [(int(ids[j]), i, -v) for v, i in s[:10]]
+    assert sorted(topk.nra_block(ids, x, ids[:20], q, 10)) == sorted(want)
+    huge = (x * 10**8).astype(np.int64)                                   # beyond exact doubles
+    got = topk.nra_block(ids, huge, ids[:2], huge[:2], 3)
+    assert [s for _, _, s in got] == [s * 10**16 for q0, _, s in
+                                      [w for w in want if w[0] == ids[0]][:3] + [w for w in want if w[0] == ids[1]][:3]]
+
+
+def test_few_candidates_and_empty_tables(spark):
+    df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (100, [])], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.exact_topk(df, df.where("vec_id % 100 = 0")).collect())
+    assert got == [(0, 1, 1, 1024 * 2048), (0, 2, 100, 0), (100, 1, 0, 0), (100, 2, 1, 0)]
+    assert topk.exact_topk(df, df.where("false")).count() == 0
+    assert topk.exact_topk(df.where("false"), df).count() == 0

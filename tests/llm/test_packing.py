@@ -1,0 +1,77 @@
+"""Best-fit packing: capacity, conflicts, whole documents, the tightest bin."""
+
+from collections import Counter, defaultdict
+
+from affinity.llm import packing
+from affinity.llm.packing import PackParams, best_fit
+
+from .helpers import awkward, documents, prose
+
+
+def brute(sizes, sources, clusters, capacity):
+    """The rule as a plain loop over all bins."""
+    bins, place = [], [None] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        fit = [(b["room"], k) for k, b in enumerate(bins) if b["room"] >= sizes[i]
+               and (sources[i] < 0 or sources[i] not in b["s"]) and (clusters[i] < 0 or clusters[i] not in b["c"])]
+        k = min(fit)[1] if fit else len(bins)
+        if not fit:
+            bins.append({"room": capacity, "s": set(), "c": set()})
+        place[i] = (k, capacity - bins[k]["room"])
+        bins[k]["room"] -= sizes[i]
+        bins[k]["s"].add(sources[i])
+        bins[k]["c"].add(clusters[i])
+    return place
+
+
+def test_best_fit_equals_the_plain_rule():
+    import random
+    for seed in range(40):
+        r = random.Random(seed)
+        n = r.randrange(0, 60)
+        sizes = [r.randrange(1, 40) for _ in range(n)]
+        sources = [r.choice([-1, 0, 0, 0, 1, 2, 3]) for _ in range(n)]
+        clusters = [r.choice([-1, *range(12)]) for _ in range(n)]
+        assert best_fit(sizes, sources, clusters, 40) == brute(sizes, sources, clusters, 40)
+
+
+def _check(rows, out, capacity):
+    load, src, clu = Counter(), defaultdict(Counter), defaultdict(Counter)
+    spans, by_doc = defaultdict(list), defaultdict(list)
+    for r in out:
+        load[r.bin_id] += r.n_tokens
+        if r.source is not None:
+            src[r.bin_id][r.source] += 1
+        if r.cluster is not None:
+            clu[r.bin_id][r.cluster] += 1
+        spans[r.bin_id].append((r.bin_offset, r.bin_offset + r.n_tokens))
+        by_doc[r.doc_id].append((r.piece, r.start_word, r.end_word))
+    assert max(load.values()) <= capacity
+    assert all(max(c.values()) == 1 for c in [*src.values(), *clu.values()])
+    for s in spans.values():
+        s.sort()
+        assert s[0][0] == 0 and all(a[1] == b[0] for a, b in zip(s, s[1:]))
+    words = Counter()
+    for i, t, *_ in rows:
+        words[i] += len((t or "").split())
+    assert {i: sum(e - s for _, s, e in x) for i, x in by_doc.items()} == dict(words)
+
+
+def test_awkward_documents_are_packed_whole(spark):
+    rows = [(i, t, "en", None if i is None else f"s{i % 3}") for i, t, *_ in awkward()]
+    out = packing.pack(documents(spark, rows, extra=True), PackParams(capacity=64, shard_pieces=50)).collect()
+    _check(rows, out, 64)
+    assert sum(1 for r in out if r.doc_id in (4, 5, 6)) == 3                  # empty texts: one token each
+
+
+def test_hot_source_and_copies_are_spread(spark):
+    rows = [(i, prose(i % 40, 20), "en", "hot" if i % 3 == 0 else f"s{i % 7}") for i in range(300)]
+    out = packing.pack(documents(spark, rows), PackParams(capacity=128, shard_pieces=100)).collect()
+    _check(rows, out, 128)
+    assert len({r.bin_id >> 20 for r in out}) == 3                            # three shards
+    big = [r.cluster for r in out]
+    assert len(set(big)) == 40                                                # copies share a cluster
+
+
+def test_empty_table(spark):
+    assert packing.pack(documents(spark, [(1, "x")]).where("false")).count() == 0
