@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
+import re
 import tempfile
 import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job relies on.  Broadcasts are decided only by AQE from
-# measured shuffle sizes (never from file-size estimates, which undercount
-# compressed data); AQE also coalesces small shuffle partitions and splits
-# skewed ones; dynamic overwrite makes partitioned writes idempotent per
-# partition.
+#: Folders written by ``stored`` in this process.
+_STORED: list[str] = []
+
+# Settings every job relies on.  Spark broadcasts a side only below a checked
+# size: a small static estimate, or the size AQE measured at run time.  AQE also coalesces
+# small shuffle partitions and splits skewed ones; dynamic overwrite makes
+# partitioned writes idempotent per partition.
 CONF = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.autoBroadcastJoinThreshold": "4MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -66,15 +71,37 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever the driver found it.
+
+    Python functions of the operators are loaded by module name on the
+    workers; on a cluster they would need ``--py-files`` otherwise.
+    """
+    root = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(root)
+    digest = hashlib.sha1()
+    files = sorted(os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".py"))
+    for f in files:
+        with open(f, "rb") as src:
+            digest.update(f.encode() + src.read())
+    target = os.path.join(tempfile.gettempdir(), f"{name}-{digest.hexdigest()[:12]}-{os.getpid()}.zip")
+    if not os.path.exists(target):
+        with zipfile.ZipFile(target, "w") as z:
+            for f in files:
+                z.write(f, os.path.join(name, os.path.relpath(f, root)))
+    spark.sparkContext.addPyFile(target)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; it is used as given.  Only a session without one (a test) gets a
-    fresh folder of its own.
+    reach; it is used as given, and a cluster session without one is an error.
+    Only a local session (a test) gets a fresh folder of its own.
     """
     try:
         sc = spark.sparkContext
@@ -85,23 +112,57 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="affinity-ckpt-")
+        d = _local_folder(sc.master)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
 
 
+def _local_folder(master: str) -> str:
+    """A temporary folder, for a master whose executors share this machine's JVM."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"master {master}: set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="affinity-ckpt-")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back.
+
+    Used where one intermediate table feeds several branches of a plan: it is
+    computed once, and a lost executor later costs a re-read.  Unlike a
+    checkpoint it forgets its partitioning, so a join on it is a plain
+    exchange that AQE can split on a hot key.  ``drop_stored`` removes the
+    folders once a job has written its result.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    _STORED.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours on whatever file system it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Remove the folders ``stored`` made in this process."""
+    while _STORED:
+        remove_dir(spark, _STORED.pop())
+
+
 def materialize(df):
     """Cut lineage: reliable checkpoint into the shared checkpoint folder.
 
-    Used where one intermediate table feeds several branches of a plan
-    (scalar subqueries, both sides of a self-join): it is computed once,
-    and a lost executor later costs a re-read, not a recomputation.
+    The result is computed at once and its files are deleted when the data is no
+    longer referenced; a lost executor later costs a re-read.
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
