@@ -11,6 +11,7 @@ the union of per-day runs: sessions are joined on (day, sess_id).
 from __future__ import annotations
 
 import datetime as dt
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ def _day_filter(day_col: Column, day=None, start=None, end=None) -> Column:
 
 def _as_date(d) -> dt.date:
     """Calendar date from a date or 'yyyy-MM-dd'; anything else is an error."""
+    if isinstance(d, dt.datetime):
+        raise TypeError("a day is a date, not a date and time")
     if isinstance(d, dt.date):
         return d
     return dt.date.fromisoformat(str(d))
@@ -81,17 +84,38 @@ def cart_scan(logs: LogTables, p: EtlParams, day=None, start=None, end=None) ->
                         F.col("operating").isin(list(p.cart_operating)), p, day, start, end)
 
 
-def order_day(add_time: Column) -> Column:
-    """Calendar day (UTC) of a unix-seconds timestamp, independent of the
-    session time zone."""
+def order_day(add_time: Column, time_zone: str = "UTC") -> Column:
+    """Calendar day in ``time_zone`` of a unix-seconds timestamp, independent
+    of the session time zone."""
+    if time_zone != "UTC":
+        add_time = F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(add_time), time_zone))
     return F.date_from_unix_date(F.floor(add_time / 86400).cast("int"))
 
 
+def _epoch(day: dt.date, time_zone: str) -> int:
+    """Unix seconds of the first moment of a day in a time zone."""
+    return int(dt.datetime.combine(day, dt.time(), ZoneInfo(time_zone)).timestamp())
+
+
+def _time_bounds(add_time: Column, time_zone: str, day=None, start=None, end=None) -> Column:
+    """The day restriction as bounds on the raw column, which reach the scan.
+
+    A day either side is let through; the exact day filter follows."""
+    lo, hi = (day, day) if day is not None else (start, end)
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (add_time >= _epoch(_as_date(lo) - dt.timedelta(days=1), time_zone))
+    if hi is not None:
+        cond = cond & (add_time < _epoch(_as_date(hi) + dt.timedelta(days=2), time_zone))
+    return cond
+
+
 def order_scan(logs: LogTables, p: EtlParams, day=None, start=None, end=None) -> DataFrame:
     # NOT IN drops a null status, as SQL does.
     deny = ~F.col("orders_status").isin(list(p.order_status_deny))
-    return _action_scan(logs.rec_order_products, order_day(F.col("add_time")), deny, p,
-                        day, start, end)
+    t = F.col("add_time")
+    return _action_scan(logs.rec_order_products, order_day(t, p.time_zone),
+                        _time_bounds(t, p.time_zone, day, start, end) & deny, p, day, start, end)
 
 
 def daily_events(logs: LogTables, p: EtlParams, day=None, start=None, end=None) -> DataFrame:

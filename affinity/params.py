@@ -50,21 +50,26 @@ ITEM_SEP: str = " "
 
 @dataclass(frozen=True)
 class Indicator:
-    """Caps of one event type in the cross-occurrence job."""
+    """One event type in the cross-occurrence job.
+
+    ``max_events`` caps the events of a user and of an item by sampling
+    edges; ``None`` (the default) keeps every edge.
+    """
 
     name: str
-    max_events: int = INDICATOR_MAX_EVENTS
+    max_events: int | None = None
     max_correlators: int = INDICATOR_MAX_CORRELATORS
 
 
-def indicator_params(names=EVENT_NAMES) -> tuple[Indicator, ...]:
-    """The per-event parameter list of the original job (all events equal)."""
-    return tuple(Indicator(n) for n in names)
+def indicator_params(names=EVENT_NAMES, max_events: int | None = None) -> tuple[Indicator, ...]:
+    """All event types alike: exact, or capped (the original job's list has
+    ``max_events=INDICATOR_MAX_EVENTS``)."""
+    return tuple(Indicator(n, max_events) for n in names)
 
 
-def default_params(names=EVENT_NAMES) -> tuple[Indicator, ...]:
-    """Caps used when no per-event parameters are given."""
-    return tuple(Indicator(n, DEFAULT_MAX_EVENTS, DEFAULT_MAX_CORRELATORS) for n in names)
+def default_params(names=EVENT_NAMES, max_events: int | None = DEFAULT_MAX_EVENTS) -> tuple[Indicator, ...]:
+    """The original job's caps where no per-event parameters are given."""
+    return tuple(Indicator(n, max_events, DEFAULT_MAX_CORRELATORS) for n in names)
 
 
 @dataclass(frozen=True)
@@ -73,7 +78,8 @@ class EtlParams:
 
     ``sites`` is deployment configuration (the storefront host names whose
     logs count); it has no default, so pass your own list.  ``None`` means no
-    site filter.
+    site filter.  ``time_zone`` is the zone whose calendar day an order's unix
+    time falls on; it must be the one the session logs' ``dctime`` uses.
     """
 
     sites: tuple[str, ...] | None = None
@@ -82,6 +88,7 @@ class EtlParams:
     click_com: str = CLICK_COM
     wish_operating: tuple[str, ...] = WISH_OPERATING
     cart_operating: tuple[str, ...] = CART_OPERATING
+    time_zone: str = "UTC"
 
 
 @dataclass(frozen=True)
@@ -90,10 +97,10 @@ class CcoParams:
 
     ``indicators`` lists the event types in priority order with their caps;
     ``min_events`` is the minimum number of distinct primary items a user
-    needs; ``seed`` feeds the deterministic sampler; ``hot_user_items`` is
-    the number of sampled primary items above which a user's pair work is
-    split over several tasks; ``checkpoint`` materialises the edge tables
-    that several branches of the plan read (see ``session.materialize``).
+    needs; ``seed`` feeds the deterministic sampler; a user's item lists are
+    dealt into buckets of ``hot_user_items``, and pair work is split by pair of
+    buckets; ``checkpoint`` writes the edge and count tables that several
+    branches of the plan read (see ``session.stored``).
     """
 
     indicators: tuple[Indicator, ...] = field(default_factory=indicator_params)
@@ -107,5 +114,5 @@ class CcoParams:
         return tuple(i.name for i in self.indicators)
 
 
-def cco_default_params(names=EVENT_NAMES) -> CcoParams:
-    return CcoParams(indicators=default_params(names), seed=DEFAULT_CCO_SEED)
+def cco_default_params(names=EVENT_NAMES, max_events: int | None = DEFAULT_MAX_EVENTS) -> CcoParams:
+    return CcoParams(indicators=default_params(names, max_events), seed=DEFAULT_CCO_SEED)

@@ -1,6 +1,10 @@
 """Daily ETL: guards, fan-out, idempotent day writes."""
 
 import datetime as dt
+from zoneinfo import ZoneInfo
+
+import pytest
+from pyspark.sql import functions as F
 
 from affinity.operators import etl
 from affinity.params import EtlParams
@@ -64,3 +68,27 @@ def test_rerun_day_overwrite_and_append(spark):
     assert spark.read.parquet(path).count() == 11
     sinks.write_daily_events(df, path, mode="append")
     assert spark.read.parquet(path).count() == 21          # append doubles the day
+
+
+def test_order_day_bounds_reach_the_scan_in_any_zone(spark):
+    root = shared_dir(spark, "orders")
+    t0 = 1_700_000_000
+    spark.range(0, 400).select(
+        F.col("id").alias("sess_id"), (F.col("id") + 1).alias("products_id"),
+        (F.lit(t0) + F.col("id") * 3600).alias("add_time"), F.lit("s").alias("site"),
+        F.lit(2).alias("orders_status"), F.lit("category").alias("r_position")).write.parquet(root)
+    logs = LogTables(None, None, None, None, spark.read.parquet(root))
+    for zone in ("UTC", "Asia/Shanghai", "America/New_York"):
+        p = EtlParams(time_zone=zone)
+        got = etl.order_scan(logs, p, day="2023-11-20")
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        pushed = [x for x in got._jdf.queryExecution().explainString(mode).splitlines() if "PushedFilters" in x][0]
+        assert "GreaterThanOrEqual(add_time," in pushed and "LessThan(add_time," in pushed
+        day = [i for i in range(400)
+               if dt.datetime.fromtimestamp(t0 + 3600 * i, ZoneInfo(zone)).date() == dt.date(2023, 11, 20)]
+        assert sorted(r.sess_id for r in got.collect()) == day
+
+
+def test_a_day_is_not_a_time():
+    with pytest.raises(TypeError):
+        etl._as_date(dt.datetime(2024, 1, 1, 5))
