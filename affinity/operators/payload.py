@@ -29,6 +29,8 @@ def corr_payload(cco: DataFrame) -> DataFrame:
 
 
 def similarity_payload(sim: DataFrame) -> DataFrame:
-    """(product_id, cat_path, text_corr_payload) from ``vector_similarity`` rows."""
-    return sim.groupBy("product_id", "cat_path").agg(
-        payload_of(F.col("rank"), F.col("other_id"), F.col("score")).alias("text_corr_payload"))
+    """(product_id, cat_path, text_corr_payload), one row per input vector of
+    ``vector_similarity`` (``row_id`` tells repeated items apart)."""
+    return sim.groupBy("product_id", "cat_path", "row_id").agg(
+        payload_of(F.col("rank"), F.col("other_id"), F.col("score")).alias("text_corr_payload")
+    ).drop("row_id")

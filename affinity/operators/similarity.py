@@ -5,9 +5,14 @@
 ``vector_similarity``  top-k neighbours by cosine among rows of the same
                    category, excluding the item itself
 
+Every input row has a list of its own, also when an item comes several times
+with different texts.
+
 The all-pairs product inside a category grows as n_c^2, and one category
-may hold a large share of all items.  It is computed as a blocked matrix
-product, the way a distributed GEMM is:
+may hold a large share of all items: exact neighbours cost n_c^2 * dim
+multiplications, and each vector is copied n_c/block_size + n_c/strip_size
+times (about 2,700 copies for 10 million items in one category).  It is
+computed as a blocked matrix product, the way a distributed GEMM is:
 
 * each category is hashed into ``ceil(n_c / block_size)`` left blocks and
   ``ceil(n_c / strip_size)`` right strips, so no group ever exceeds about
@@ -16,8 +21,8 @@ product, the way a distributed GEMM is:
   numpy normalises the rows (dropping zero vectors), streams the strip in
   column chunks (BLAS dot products, rounded to 5 places) and keeps a
   running exact top-k per left row in the final order (score desc, partner
-  id asc), so the union over strips holds every item's global top-k;
-* a row_number window keeps the k best per item over its strips.
+  id asc), so the union over strips holds every row's global top-k;
+* a row_number window keeps the k best per row over its strips.
 
 Work is spread over (#blocks x #strips) tasks per category; no item pair
 is ever materialised as a row, nothing goes through the driver.
@@ -32,16 +37,19 @@ from pyspark.sql import functions as F
 
 from ..functions.text import category_of_path, tokens
 from ..params import NEIGHBOURS, W2V_DIM, W2V_MIN_COUNT
-from ..session import materialize
+from ..session import stored
 from ..sources.tables import CatalogueTables
 
 SIM_COLUMNS = ("product_id", "cat_path", "other_id", "score", "rank")
-W2V_MAX_PARTITIONS = 32
-_CAND_SCHEMA = "cat4cat string, product_id long, cat_path string, other_id long, score double"
+#: Training parallelism of Word2Vec; fixed, so a result does not depend on the cluster.
+W2V_PARTITIONS = 8
+#: Bytes of word vectors Word2Vec may hold on the driver.
+W2V_MAX_BYTES = 2 << 30
+_CAND_SCHEMA = "row_id long, product_id long, cat_path string, other_id long, score double"
 
 
 def item_desc(cat: CatalogueTables) -> DataFrame:
-    """(product_id, cat_path, cat4cat, text): one row per product and category."""
+    """(product_id, cat_path, cat4cat, text): one row per product text and category."""
     d = cat.products_description.where(F.col("products_name").isNotNull())
     c = cat.products_to_categories.where(F.col("cat_path").isNotNull())
     return d.join(c, "products_id").select(
@@ -50,30 +58,57 @@ def item_desc(cat: CatalogueTables) -> DataFrame:
         tokens(F.col("products_name")).alias("text"))
 
 
-def text_vectors(items: DataFrame, dim: int = W2V_DIM, min_count: int = W2V_MIN_COUNT,
-                 seed: int = 42, partitions: int | None = None) -> DataFrame:
-    """Word2Vec over the item texts; (product_id, cat_path, cat4cat, vec).
-
-    ``partitions`` is Word2Vec's training parallelism.  Each partition
-    trains on its share of the texts and the vectors are averaged per
-    iteration, so the default is the session's parallelism capped at
-    ``W2V_MAX_PARTITIONS`` (more partitions only add averaging traffic).
-    Results repeat for a fixed seed and input partitioning.
+def word_vectors(items: DataFrame, dim: int = W2V_DIM, min_count: int = W2V_MIN_COUNT,
+                 seed: int = 42, partitions: int = W2V_PARTITIONS,
+                 max_bytes: int = W2V_MAX_BYTES) -> DataFrame:
+    """(word, vec): Word2Vec trained on the item texts.
+
+    Spark's Word2Vec collects the vocabulary and holds it twice as float vectors
+    on the driver; a vocabulary beyond ``max_bytes`` is refused before
+    training.  Texts are put in a fixed order and number of partitions;
+    the trainer still shuffles them, so vectors of two runs agree only to
+    about three decimals.
     """
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
 
-    if partitions is None:
-        try:
-            par = items.sparkSession.sparkContext.defaultParallelism
-        except Exception:  # a session without a SparkContext (Connect)
-            par = W2V_MAX_PARTITIONS
-        partitions = max(1, min(par, W2V_MAX_PARTITIONS))
-    w2v = Word2Vec(vectorSize=dim, minCount=min_count, seed=seed, numPartitions=partitions,
-                   inputCol="text", outputCol="text_vec")
-    model = w2v.fit(items)
-    return model.transform(items).select(
-        "product_id", "cat_path", "cat4cat", vector_to_array("text_vec").alias("vec"))
+    vocabulary = (items.select(F.explode("text").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+                  .where(F.col("n") >= min_count).count())
+    if vocabulary * dim * 8 > max_bytes:
+        raise ValueError(f"{vocabulary} words of {dim} dimensions exceed {max_bytes} bytes on the driver; "
+                         "raise min_count or max_bytes")
+    texts = (items.select("product_id", "cat_path", "text")
+             .repartitionByRange(partitions, "product_id", "cat_path")
+             .sortWithinPartitions("product_id", "cat_path", "text"))
+    model = Word2Vec(vectorSize=dim, minCount=min_count, seed=seed, numPartitions=partitions,
+                     inputCol="text", outputCol="text_vec").fit(texts)
+    return model.getVectors().select("word", vector_to_array("vector").alias("vec"))
+
+
+def mean_word_vectors(items: DataFrame, words: DataFrame) -> DataFrame:
+    """(product_id, cat_path, cat4cat, vec): the mean vector of each item row's words.
+
+    ``words`` is (word, vec).  The sum runs over the known words and is
+    divided by the number of all words, as Word2Vec's transform does; a row
+    without a known word has no vector and is dropped.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    rows = items.withColumn("row_id", F.monotonically_increasing_id())
+    w = words.select("word", array_to_vector("vec").alias("v"))
+    rows = stored(rows, "similarity_items")
+    keys = ["row_id", "product_id", "cat_path", "cat4cat"]
+    known = (rows.select(*keys, F.size("text").alias("n"), F.explode("text").alias("word")).join(w, "word")
+             .groupBy(*keys, "n").agg(Summarizer.sum(F.col("v")).alias("s")))
+    return known.select("product_id", "cat_path", "cat4cat",
+                        F.transform(vector_to_array("s"), lambda x: x / F.col("n")).alias("vec"))
+
+
+def text_vectors(items: DataFrame, dim: int = W2V_DIM, min_count: int = W2V_MIN_COUNT,
+                 seed: int = 42, partitions: int = W2V_PARTITIONS) -> DataFrame:
+    """Word2Vec over the item texts; (product_id, cat_path, cat4cat, vec)."""
+    return mean_word_vectors(items, word_vectors(items, dim, min_count, seed, partitions))
 
 
 def round5(x: np.ndarray) -> np.ndarray:
@@ -81,11 +116,14 @@ def round5(x: np.ndarray) -> np.ndarray:
     return np.sign(x) * np.floor(np.abs(x) * 1e5 + 0.5) / 1e5
 
 
-_EMPTY = pd.DataFrame({"cat4cat": pd.Series([], dtype=object),
+_EMPTY = pd.DataFrame({"row_id": pd.Series([], dtype="int64"),
                        "product_id": pd.Series([], dtype="int64"),
                        "cat_path": pd.Series([], dtype=object),
                        "other_id": pd.Series([], dtype="int64"),
                        "score": pd.Series([], dtype="float64")})
+#: Scores as integers: cosine * SCALE, shifted to be positive.
+_SCALE = 100_000
+_SHIFT = _SCALE + 1
 
 
 def _unit_rows(block: pd.DataFrame):
@@ -99,67 +137,74 @@ def _unit_rows(block: pd.DataFrame):
     return block, m / norm[:, None]
 
 
-def _topk_merge(best_s, best_i, s, ids, k):
-    """Per row, the k best of (running best, new chunk) by (score desc, id asc)."""
-    cs = np.concatenate([best_s, s], axis=1)
-    ci = np.concatenate([best_i, np.broadcast_to(ids, s.shape)], axis=1)
-    order = np.lexsort((ci, -cs), axis=1)[:, :k]
-    return np.take_along_axis(cs, order, axis=1), np.take_along_axis(ci, order, axis=1)
-
-
 def _strip_topk(k: int, chunk: int):
-    """Cogroup kernel: every left row against a right strip, exact top-k."""
+    """Cogroup kernel: every left row against a right strip, exact top-k.
+
+    A score and its column become one integer that orders by score, then by
+    smaller id (columns are sorted by id); the k largest are then a partial
+    sort per row.
+    """
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return _EMPTY.copy()
-        cat = key[0]
         left, lm = _unit_rows(left)
         right, rm = _unit_rows(right)
         if left.empty or right.empty:
             return _EMPTY.copy()
         lid = left["product_id"].to_numpy()
         rid = right["product_id"].to_numpy()
-        best_s = np.empty((len(lid), 0))
-        best_i = np.empty((len(lid), 0), dtype=rid.dtype)
-        for c0 in range(0, len(rid), chunk):
+        n = len(rid)
+        best = np.empty((len(lid), 0), np.int64)
+        for c0 in range(0, n, chunk):
             ids = rid[c0:c0 + chunk]
-            sc = round5(lm @ rm[c0:c0 + chunk].T)
-            sc[lid[:, None] == ids[None, :]] = -np.inf      # never the item itself
-            best_s, best_i = _topk_merge(best_s, best_i, sc, ids, k)
-        r, c = np.nonzero(np.isfinite(best_s))
-        return pd.DataFrame({"cat4cat": cat, "product_id": lid[r],
+            s = np.rint(round5(lm @ rm[c0:c0 + chunk].T) * _SCALE).astype(np.int64) + _SHIFT
+            s = s * n + (n - 1 - np.arange(c0, c0 + len(ids)))
+            s[lid[:, None] == ids[None, :]] = -1            # never the item itself
+            best = np.concatenate([best, s], axis=1)
+            if best.shape[1] > k:
+                best = np.partition(best, best.shape[1] - k, axis=1)[:, -k:]
+        r, c = np.nonzero(best >= 0)
+        got = best[r, c]
+        return pd.DataFrame({"row_id": left["row_id"].to_numpy()[r], "product_id": lid[r],
                              "cat_path": left["cat_path"].to_numpy()[r],
-                             "other_id": best_i[r, c], "score": best_s[r, c]})
+                             "other_id": rid[n - 1 - got % n],
+                             "score": (got // n - _SHIFT) / _SCALE})
     return run
 
 
-def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int = 1024,
-                      strip_size: int = 16384, chunk: int = 4096) -> DataFrame:
-    """(product_id, cat_path, other_id, score, rank) within ``cat4cat``.
+def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int = 4096,
+                      strip_size: int = 32768, chunk: int = 2048) -> DataFrame:
+    """(product_id, cat_path, other_id, score, rank, row_id) within ``cat4cat``.
 
     ``vectors``: product_id, cat_path, cat4cat, vec (array<double>).  The
     score is the cosine rounded to 5 places; rank orders by score desc,
-    then partner id.  Zero vectors have no cosine and are dropped.
+    then partner id.  Zero vectors have no cosine and are dropped.  Each
+    vector row gets its own list (``row_id``), and repeated items are
+    partners once per row, never of themselves.
 
     A category of n rows is hashed twice: into ceil(n/block_size) left
     blocks and ceil(n/strip_size) right strips; each (block, strip) pair is
     one task that streams the strip in ``chunk``-column slices and keeps a
     running exact top-k per left row.  Task input is bounded by
-    block_size + strip_size rows, and each item sends at most
+    block_size + strip_size rows, and each row sends at most
     ceil(n/strip_size) * k candidates to the final ranking.
     """
     v = (vectors.where(F.col("vec").isNotNull() & F.col("cat4cat").isNotNull()
                        & F.col("product_id").isNotNull())
-         .select("product_id", "cat_path", "cat4cat", "vec"))
+         .select("product_id", "cat_path", "cat4cat", "vec",
+                 F.monotonically_increasing_id().alias("row_id")))
+    # written tables: row ids are fixed, and the size join is a plain exchange
+    # that AQE can split on a large category
+    v = stored(v, "similarity_vectors")
     cnt = F.count(F.lit(1))
-    sizes = v.groupBy("cat4cat").agg(
+    sizes = stored(v.groupBy("cat4cat").agg(
         F.ceil(cnt / F.lit(block_size)).cast("int").alias("nl"),
-        F.ceil(cnt / F.lit(strip_size)).cast("int").alias("nr"))
-    h = F.xxhash64("product_id", "cat_path")
-    vb = (v.join(sizes, "cat4cat")
-          .withColumn("bl", F.pmod(h, F.col("nl")).cast("int"))
-          .withColumn("br", F.pmod(h, F.col("nr")).cast("int")))
-    cols = ["product_id", "cat_path", "vec"]
+        F.ceil(cnt / F.lit(strip_size)).cast("int").alias("nr")), "similarity_sizes")
+    h = F.xxhash64("row_id")
+    vb = stored(v.join(sizes, "cat4cat")
+                .withColumn("bl", F.pmod(h, F.col("nl")).cast("int"))
+                .withColumn("br", F.pmod(h, F.col("nr")).cast("int")), "similarity_blocks")
+    cols = ["row_id", "product_id", "cat_path", "vec"]
     left = vb.select("cat4cat", F.col("bl").alias("bi"),
                      F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("bj"), *cols)
     # Fresh attribute ids on one side: both sides derive from `vb`.
@@ -169,21 +214,15 @@ def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int =
     keys = ["cat4cat", "bi", "bj"]
     cand = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
             .applyInPandas(_strip_topk(k, chunk), _CAND_SCHEMA))
-    w = Window.partitionBy("cat4cat", "product_id", "cat_path").orderBy(
-        F.desc("score"), F.asc("other_id"))
+    w = Window.partitionBy("row_id").orderBy(F.desc("score"), F.asc("other_id"))
     return (cand.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
-            .select(*SIM_COLUMNS))
+            .select(*SIM_COLUMNS, "row_id"))
 
 
 def text_similarity(cat: CatalogueTables, k: int = NEIGHBOURS, dim: int = W2V_DIM,
                     min_count: int = W2V_MIN_COUNT, seed: int = 42,
-                    partitions: int | None = None) -> DataFrame:
-    """Word2Vec item vectors, then ``vector_similarity`` within categories.
-
-    The vectors feed the category sizes and both sides of the block/strip
-    cogroup, so they are materialised once instead of re-running the
-    description join and the Word2Vec transform per branch.
-    """
-    vec = materialize(text_vectors(item_desc(cat), dim, min_count, seed, partitions))
-    return vector_similarity(vec, k)
+                    partitions: int = W2V_PARTITIONS) -> DataFrame:
+    """Word2Vec item vectors, then ``vector_similarity`` within categories."""
+    items = stored(item_desc(cat), "similarity_desc")
+    return vector_similarity(text_vectors(items, dim, min_count, seed, partitions), k)

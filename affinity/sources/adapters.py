@@ -121,6 +121,24 @@ def embedding_vectors(spark: SparkSession, root: str) -> DataFrame:
                     F.col("embedding").cast("array<double>").alias("vec"))
 
 
+def repeated_vectors(spark: SparkSession, root: str) -> DataFrame:
+    """Adapter C with four vectors per item and two categories: every item has
+    several vectors in one category path."""
+    e = read_parquet(spark, root, "embeddings")
+    label = (F.col("label") % 2).cast("string")
+    return e.select(F.floor(F.col("vec_id") / 4).cast("bigint").alias("product_id"), label.alias("cat_path"),
+                    label.alias("cat4cat"), F.col("embedding").cast("array<double>").alias("vec"))
+
+
+def hashed_word_vectors(items: DataFrame, dim: int = 8) -> DataFrame:
+    """(word, vec): a vector per distinct word whose components are md5 digits
+    (stands in for trained vectors where a result must be reproducible)."""
+    words = items.select(F.explode("text").alias("word")).distinct()
+    part = [(F.conv(F.substring(F.md5(F.concat(F.col("word"), F.lit(f"|{i}"))), 1, 8), 16, 10).cast("double")
+             / F.lit(4294967296.0) - F.lit(0.5)) for i in range(dim)]
+    return words.select("word", F.array(*part).alias("vec"))
+
+
 def part_catalogue(spark: SparkSession, root: str) -> CatalogueTables:
     """Adapter C: ``part`` as the catalogue; cat_path = type-brand number."""
     p = read_parquet(spark, root, "part")

@@ -2,8 +2,10 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from affinity.operators import similarity as sim
+from affinity.operators.payload import similarity_payload
 
 
 def _vectors(spark, n=60, dim=5, cats=3, seed=7, dup=True):
@@ -38,7 +40,7 @@ def test_blocked_equals_brute_force_with_ties(spark):
     df, rows = _vectors(spark)
     # many blocks and strips, uneven sizes, chunked strips, one block
     for block, strip, chunk in ((4, 6, 4), (7, 5, 3), (3, 1024, 2), (1024, 1024, 4096)):
-        got = sorted(tuple(r) for r in sim.vector_similarity(
+        got = sorted(tuple(r)[:5] for r in sim.vector_similarity(
             df, k=5, block_size=block, strip_size=strip, chunk=chunk).collect())
         assert got == _brute(rows, 5), (block, strip, chunk)
 
@@ -60,3 +62,34 @@ def test_item_desc_and_text_similarity_rows(spark):
     assert items.count() == 200
     res = sim.text_similarity(cat, k=10, dim=16).collect()
     assert res and all(r.rank <= 10 and r.product_id != r.other_id for r in res)
+
+
+def test_a_repeated_item_has_a_list_per_row(spark):
+    rows = [(1, "c", "c", [1.0, 0.0]), (1, "c", "c", [0.0, 1.0]), (2, "c", "c", [1.0, 0.1]),
+            (3, "c", "c", [0.1, 1.0]), (4, "c", "c", [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "product_id long, cat_path string, cat4cat string, vec array<double>")
+    res = sim.vector_similarity(df, k=3, block_size=2, strip_size=2, chunk=2)
+    lists = {}
+    for r in res.where("product_id = 1").collect():
+        lists.setdefault(r.row_id, []).append((r.rank, r.other_id))
+    assert sorted([o for _, o in sorted(x)] for x in lists.values()) == [[2, 4, 3], [3, 4, 2]]
+    pay = similarity_payload(res).where("product_id = 1").collect()
+    assert len(pay) == 2 and all(len(p.text_corr_payload.split(" ")) == 3 for p in pay)
+
+
+def test_word2vec_repeats_within_a_tolerance_and_refuses_a_large_vocabulary(spark):
+    from affinity.sources import adapters as ad
+    items = sim.item_desc(ad.part_catalogue(spark, "/root/testdata/sf0.001"))
+    a, b = ({r.word: np.array(r.vec) for r in sim.word_vectors(items, dim=16).collect()} for _ in range(2))
+    assert a.keys() == b.keys()
+    assert max(np.abs(a[w] - b[w]).max() for w in a) < 5e-3
+    with pytest.raises(ValueError, match="max_bytes"):
+        sim.word_vectors(items, dim=16, max_bytes=100)
+
+
+def test_mean_counts_every_word_and_drops_rows_without_a_known_one(spark):
+    items = spark.createDataFrame([(1, "c", "c", ["a", "b", "x"]), (2, "c", "c", ["x"]), (3, "c", "c", ["b", "b"])],
+                                  "product_id long, cat_path string, cat4cat string, text array<string>")
+    words = spark.createDataFrame([("a", [3.0, 0.0]), ("b", [0.0, 6.0])], "word string, vec array<double>")
+    got = {r.product_id: r.vec for r in sim.mean_word_vectors(items, words).collect()}
+    assert got == {1: [1.0, 2.0], 3: [0.0, 6.0]}
