@@ -9,21 +9,30 @@ The plan is a handful of shuffles on edge tables plus one pair aggregation:
 
 1. primary event = first configured event type with data (scalar subquery);
 2. U = users with >= min_events primary items, N = |U| (scalar subquery);
-   every event is restricted to U by an inner join that also carries the
-   user's item count per event type (a map with one entry per type);
-3. hash-sample each edge with rate min(1, cap/items(user), cap/users(item))
-   (per event, counts taken before sampling) -- this bounds the pair work of
-   any user and any item by the cap;
-4. users per item after sampling (a for A, b for B), carried on the edges
-   so the pair table never joins a count table;
-5. A join B on user (hot users salted), then ONE group by
-   (event, x, y, a, b, N) with map-side partial aggregation -> k11;
-6. drop exactly independent pairs, LLR rounded to 5 places, ranked by
+   every event is restricted to U by one join that also carries the user's
+   item count per event type (a map with one entry per type);
+3. the counts are exact.  Only where an event type has a cap is each of its
+   edges hash-sampled with rate min(1, cap/items(user), cap/users(item))
+   (counts before sampling); ``sampling_report`` counts what that drops;
+4. users per item (a for A, b for B), carried on the edges so the pair table
+   never joins a count table;
+5. A join B on user.  A'A is counted for x < y and mirrored.  A user's pair
+   work is split over a grid of (primary bucket, other bucket) keys once either list is
+   long, so no key holds more than hot_user_items**2 pairs;
+6. ONE group by (event, x, y) with map-side partial aggregation -> k11;
+7. drop exactly independent pairs, LLR rounded to 5 places, ranked by
    (llr desc, partner id) with a row_number limit (window group limit).
+
+Skew: user and item counts are written tables, so the joins that attach them
+are plain exchanges on both sides, which adaptive execution splits where one
+user or item holds a large share of the edges (an aggregate between exchange
+and join would prevent that).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +40,7 @@ from ..functions.llr import independent, llr
 from ..functions.rounding import round_half_away
 from ..functions.sampling import keep_sampled, sample_hash
 from ..params import CcoParams
-from ..session import materialize
+from ..session import stored
 
 EDGE = ("event", "user_id", "product_id")
 
@@ -43,6 +52,10 @@ def _by_event(event: Column, values: dict, cast: str = "int") -> Column:
     return expr.cast(cast)
 
 
+def _keep(df: DataFrame, p: CcoParams, name: str) -> DataFrame:
+    return stored(df, name) if p.checkpoint else df
+
+
 def edges(triples: DataFrame, p: CcoParams) -> DataFrame:
     """Distinct (event, user, item) edges of the configured event types."""
     return (triples.where(F.col("event").isin(list(p.names))
@@ -86,77 +99,113 @@ def restricted(e: DataFrame, users: DataFrame) -> DataFrame:
         *EDGE, *[c for c in users.columns if c != "user_id"])
 
 
+def _item_counts(e: DataFrame, p: CcoParams, alias: str) -> DataFrame:
+    """(event, product_id, alias): users per item, as a table of its own."""
+    return _keep(e.groupBy("event", "product_id").agg(F.count(F.lit(1)).alias(alias)), p, alias)
+
+
 def downsample(r: DataFrame, p: CcoParams) -> DataFrame:
     """Keep an edge with rate min(1, cap/items(user), cap/users(item)).
 
-    Counts are per event type and taken before sampling.  Items per user
-    come with the edge (``n_by_event``) when the restriction carried them,
-    else from a group-by joined back; users per item is one partially
-    aggregated group-by joined back (AQE splits a skewed side).
+    Event types without a cap keep every edge; without any cap this is the
+    identity.  Counts are per event type and taken before sampling.  Items
+    per user come with the edge (``n_by_event``).
     """
-    cap = _by_event(F.col("event"), {i.name: i.max_events for i in p.indicators}, "double")
-    if "n_by_event" in r.columns:
-        with_u = r.withColumn("n_u", F.element_at("n_by_event", F.col("event")))
-    else:
-        per_user = r.groupBy("event", "user_id").agg(F.count(F.lit(1)).alias("n_u"))
-        with_u = r.join(per_user, ["event", "user_id"])
-    per_item = r.groupBy("event", "product_id").agg(F.count(F.lit(1)).alias("n_i"))
-    rate = F.least(cap / F.col("n_u"), cap / F.col("n_i"))
+    out = [c for c in r.columns if c != "n_by_event"]
+    caps = {i.name: i.max_events for i in p.indicators if i.max_events is not None}
+    if not caps:
+        return r.select(*out)
+    cap = _by_event(F.col("event"), caps, "double")
+    n_u = F.element_at("n_by_event", F.col("event"))
+    rate = F.least(cap / n_u, cap / F.col("n_i"))
     h = sample_hash(F.col("event"), F.col("user_id"), F.col("product_id"), p.seed)
-    return (with_u.join(per_item, ["event", "product_id"]).where(keep_sampled(rate, h))
-            .select(*[c for c in r.columns if c != "n_by_event"]))
+    return (r.join(_item_counts(r, p, "n_i"), ["event", "product_id"])
+            .where(cap.isNull() | keep_sampled(rate, h)).select(*out))
 
 
-def with_item_counts(s: DataFrame) -> DataFrame:
+def with_item_counts(s: DataFrame, p: CcoParams) -> DataFrame:
     """Attach users-per-item after sampling (``n_item``) to each edge."""
-    cnt = s.groupBy("event", "product_id").agg(F.count(F.lit(1)).alias("n_item"))
-    return s.join(cnt, ["event", "product_id"])
+    return s.join(_item_counts(s, p, "n_item"), ["event", "product_id"])
+
+
+@dataclass(frozen=True)
+class Restricted:
+    """The edges of the primary users, the primary event and N."""
 
+    edges: DataFrame
+    primary: Column
+    n_users: Column
 
-def _context(triples: DataFrame, p: CcoParams):
-    e = edges(triples, p)
-    if p.checkpoint:
-        e = materialize(e)
+
+def restrict(triples: DataFrame, p: CcoParams) -> Restricted:
+    """Steps 1 and 2; each table is computed once."""
+    e = _keep(edges(triples, p), p, "cco_edges")
     primary = primary_event(e, p)
-    users = _primary_user_counts(e, primary, p)
-    n = users.select(F.count(F.lit(1))).scalar()
-    return e, primary, users, n
+    users = _keep(_primary_user_counts(e, primary, p), p, "cco_users")
+    r = _keep(restricted(e, users), p, "cco_restricted")
+    return Restricted(r, primary, users.select(F.count(F.lit(1))).scalar())
 
 
 def sampled_edges(triples: DataFrame, p: CcoParams) -> DataFrame:
     """(event, user_id, product_id, n_primary) after restriction and sampling."""
-    e, primary, users, _ = _context(triples, p)
-    return downsample(restricted(e, users), p)
+    return downsample(restrict(triples, p).edges, p)
 
 
-def _pairs(triples: DataFrame, p: CcoParams) -> DataFrame:
-    """(ev, x, y, a, b, n, k11) with ``ev`` the event's position in ``p.names``."""
-    e, primary, users, n = _context(triples, p)
-    # Split a user whose primary list is long over several join keys: the
-    # primary side is hashed into `salts` buckets, the other side copied
-    # into each.  Users at or under `hot_user_items` keep one bucket.
-    cap_primary = _by_event(primary, {i.name: i.max_events for i in p.indicators}, "long")
-    salts = F.greatest(F.lit(1), F.ceil(F.least(F.col("n_primary"), cap_primary)
-                                        / F.lit(p.hot_user_items)).cast("int"))
+def sampling_report(triples: DataFrame, p: CcoParams) -> DataFrame:
+    """(event, edges, kept, dropped) of the restricted edges of each event type."""
+    r = restrict(triples, p).edges
+    kept = downsample(r, p).groupBy("event").agg(F.count(F.lit(1)).alias("kept"))
+    total = r.groupBy("event").agg(F.count(F.lit(1)).alias("edges"))
+    k = F.coalesce("kept", F.lit(0).cast("long"))
+    return total.join(kept, "event", "left").select(
+        "event", "edges", k.alias("kept"), (F.col("edges") - k).alias("dropped"))
+
+
+def _grid(length: Column, p: CcoParams) -> Column:
+    return F.greatest(F.lit(1), F.ceil(length / F.lit(p.hot_user_items))).cast("int")
+
+
+def pair_rows(r: Restricted, p: CcoParams, only: str | None = None) -> DataFrame:
+    """(ev, x, y, a, b): one row per user and co-occurring pair, before counting.
+
+    ``only`` restricts the partner events to the ``primary`` or the ``cross`` ones.
+    Pairs of the primary event come once, with x < y.
+    """
     # Pair rows carry the event as its small integer position (cheaper to
     # hash, sort and shuffle than the name); the name is restored at the end.
     code = _by_event(F.col("event"), {name: i for i, name in enumerate(p.names)})
-    s = (with_item_counts(downsample(restricted(e, users), p))
-         .select(code.alias("ev"), "user_id", "product_id", "n_item", salts.alias("salts"),
-                 (F.col("event") == primary).alias("is_primary"), n.alias("n")))
-    if p.checkpoint:
-        # both join sides and N read this one materialised table
-        s = materialize(s)
+    total = F.aggregate(F.map_values("n_by_event"), F.lit(0).cast("long"), lambda s, x: s + x)
+    s = downsample(r.edges.withColumn("n_all", total), p)
+    s = _keep(s, p, "cco_sampled")
+    s = _keep(with_item_counts(s, p).select(
+        code.alias("ev"), "user_id", "product_id", "n_item", "n_primary", "n_all",
+        (F.col("event") == r.primary).alias("is_primary")), p, "cco_counted")
+    # Both lists of a user are hashed into buckets of about hot_user_items;
+    # each side is copied to the other side's buckets.
+    na, nb = _grid(F.col("n_primary"), p), _grid(F.col("n_all"), p)
+    item = F.xxhash64("product_id")
     a_side = s.where("is_primary").select(
         "user_id", F.col("product_id").alias("x"), F.col("n_item").alias("a"),
-        F.pmod(F.xxhash64("product_id"), F.col("salts")).cast("int").alias("salt"))
-    b_side = s.select(
-        "ev", "user_id", F.col("product_id").alias("y"), F.col("n_item").alias("b"),
-        "is_primary", "n", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    return (a_side.join(b_side, ["user_id", "salt"])
-            .where(~F.col("is_primary") | (F.col("x") != F.col("y")))
-            .groupBy("ev", "x", "y", "a", "b", "n")
-            .agg(F.count(F.lit(1)).alias("k11")))
+        F.pmod(item, na).cast("int").alias("ba"), F.explode(F.sequence(F.lit(0), nb - 1)).alias("bb"))
+    partners = s if only is None else s.where("is_primary" if only == "primary" else "not is_primary")
+    b_side = partners.select(
+        "ev", "user_id", F.col("product_id").alias("y"), F.col("n_item").alias("b"), "is_primary",
+        F.pmod(item, nb).cast("int").alias("bb"), F.explode(F.sequence(F.lit(0), na - 1)).alias("ba"))
+    return (a_side.join(b_side, ["user_id", "ba", "bb"])
+            .where(~F.col("is_primary") | (F.col("x") < F.col("y")))
+            .select("ev", "x", "y", "a", "b", "is_primary"))
+
+
+def _pairs(triples: DataFrame, p: CcoParams, only: str | None = None) -> DataFrame:
+    """(ev, x, y, a, b, n, k11) with ``ev`` the event's position in ``p.names``."""
+    r = restrict(triples, p)
+    k = (pair_rows(r, p, only).groupBy("ev", "x", "y", "a", "b", "is_primary")
+         .agg(F.count(F.lit(1)).alias("k11")))
+    there = F.struct("x", "y", "a", "b")
+    back = F.struct(F.col("y").alias("x"), F.col("x").alias("y"), F.col("b").alias("a"), F.col("a").alias("b"))
+    both = F.when(F.col("is_primary"), F.array(there, back)).otherwise(F.array(there))
+    return (k.select("ev", "k11", F.explode(both).alias("d"))
+            .select("ev", "d.*", "k11", r.n_users.alias("n")))
 
 
 def _event_name(p: CcoParams) -> Column:
@@ -180,19 +229,20 @@ def cooccurrence_counts(triples: DataFrame, p: CcoParams) -> DataFrame:
         _llr_col().alias("llr"))
 
 
-def cross_occurrence(triples: DataFrame, p: CcoParams) -> DataFrame:
+def cross_occurrence(triples: DataFrame, p: CcoParams, only: str | None = None) -> DataFrame:
     """(event, product_id, other_id, llr, rank): top correlators per event.
 
     Exactly independent pairs (LLR 0) are not correlators.  Ranking is on the
     LLR rounded to 5 places with ties broken by partner id, so it is
-    deterministic.
+    deterministic.  ``only`` = "primary" or "cross" computes just the primary
+    event's own correlators or just the other events'.
     """
     caps = {ind.name: ind.max_correlators for ind in p.indicators}
     kmax = max(caps.values())
     # The event name is restored before ranking: the ranking's partitioning
     # (event, item) is then also the payload's grouping, so writing payloads
     # needs no further shuffle.
-    scored = (_pairs(triples, p)
+    scored = (_pairs(triples, p, only)
               .where(~independent(F.col("k11"), F.col("a"), F.col("b"), F.col("n")))
               .select(_event_name(p).alias("event"), "x", "y",
                       round_half_away(_llr_col(), 5).alias("llr")))

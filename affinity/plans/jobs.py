@@ -25,7 +25,7 @@ from ..operators import cooccurrence as cco
 from ..operators import etl, popularity, serving, similarity, training
 from ..operators.payload import corr_payload, similarity_payload
 from ..params import NEIGHBOURS, POPULARITY_DAYS, CcoParams, EtlParams, cco_default_params
-from ..session import CONF, apply_cluster_sizing, ensure_checkpoint_dir
+from ..session import CONF, apply_cluster_sizing, drop_stored, ensure_checkpoint_dir, ship_package
 from ..sources import sinks
 from ..sources.tables import read_catalogue, read_log_tables
 
@@ -37,15 +37,23 @@ def etl_job(spark: SparkSession, logs_root: str, out: str, p: EtlParams, day=Non
         day = dt.date.today() - dt.timedelta(days=1)
     df = etl.daily_events(read_log_tables(spark, logs_root), p, day, start, end)
     sinks.write_daily_events(df, out, mode)
+    drop_stored(spark)
 
 
 def cco_job(spark: SparkSession, daily_path: str, out: str, end, lookback_days: int,
             p: CcoParams | None = None) -> None:
-    """Correlators of the ``lookback_days`` before ``end`` (both included)."""
+    """Correlators of the ``lookback_days`` before ``end`` (both included).
+
+    Exact unless ``p`` sets caps; then the edges they drop are reported.
+    """
     p = p or CcoParams()
     daily = spark.read.parquet(daily_path)
     triples = training.training_lookback(daily, end, lookback_days, p.names)
     sinks.write_corr(corr_payload(cco.cross_occurrence(triples, p)), out)
+    if any(i.max_events is not None for i in p.indicators):
+        for r in cco.sampling_report(triples, p).orderBy("event").collect():   # one row per event type
+            print(f"{r.event}: {r.edges} edges, {r.kept} kept, {r.dropped} dropped by max_events")
+    drop_stored(spark)
 
 
 def popularity_job(spark: SparkSession, daily_path: str, out: str, end,
@@ -58,6 +66,7 @@ def similarity_job(spark: SparkSession, catalogue_root: str, out: str,
                    k: int = NEIGHBOURS) -> None:
     sim = similarity.text_similarity(read_catalogue(spark, catalogue_root), k)
     sinks.write_similarity(similarity_payload(sim), out)
+    drop_stored(spark)
 
 
 def serving_job(spark: SparkSession, catalogue_root: str, corr_path: str, pop_path: str,
@@ -81,6 +90,7 @@ def _session() -> SparkSession:
     spark = b.getOrCreate()
     apply_cluster_sizing(spark)
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -95,12 +105,14 @@ def main(argv=None) -> None:
     e.add_argument("--end")
     e.add_argument("--sites", required=True, help="comma-separated site allow-list")
     e.add_argument("--append", action="store_true")
+    e.add_argument("--time-zone", default="UTC", help="zone of the logs' calendar days")
     c = sub.add_parser("cco")
     c.add_argument("--daily", required=True)
     c.add_argument("--out", required=True)
     c.add_argument("--end", default=str(dt.date.today()))
     c.add_argument("--lookback", type=int, required=True)
-    c.add_argument("--default-params", action="store_true")
+    c.add_argument("--default-params", action="store_true",
+                   help="cap events per user and item at 500 and report what that drops (default: exact)")
     p = sub.add_parser("popularity")
     p.add_argument("--daily", required=True)
     p.add_argument("--out", required=True)
@@ -116,7 +128,7 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = _session()
     if a.job == "etl":
-        etl_job(spark, a.logs, a.out, EtlParams(sites=tuple(a.sites.split(","))), a.day,
+        etl_job(spark, a.logs, a.out, EtlParams(sites=tuple(a.sites.split(",")), time_zone=a.time_zone), a.day,
                 a.start, a.end, "append" if a.append else "overwrite")
     elif a.job == "cco":
         cco_job(spark, a.daily, a.out, a.end, a.lookback,

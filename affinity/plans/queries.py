@@ -9,6 +9,7 @@ sampling caps, a minimum event count, a top-k smaller than the data).
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
@@ -20,17 +21,18 @@ from ..operators import cooccurrence as cco
 from ..operators import etl, popularity, serving, similarity, training
 from ..operators.payload import corr_payload, similarity_payload
 from ..params import CcoParams, EtlParams, Indicator, cco_default_params
-from ..session import shared_dir
+from ..session import materialize, remove_dir, shared_dir
 from ..sources import adapters as ad
 from ..sources import sinks
 
 # -- parameters of the checks -----------------------------------------------
-EVENTS_START = dt.date(2024, 1, 1)      # adapter A covers January 2024
-EVENTS_END = dt.date(2024, 1, 31)
+EVENTS_END = dt.date(2024, 1, 31)       # end of the popularity and lookback windows
 POP_DAYS = 30                           # thirds at 01-11 / 01-21, half at 01-16
 LOOKBACK_DAYS = 10
 UPDATE_TIME = "2024-01-31"
 MIN_EVENTS = 10                         # binds: users have ~12 items per event
+ORDER_ZONE = "Etc/GMT+5"                # five hours behind UTC: orders fall on the day before
+DEFAULT_CAP = 8                         # binds, so the default sampler's seed takes effect
 # The backfill operator takes an explicit day range; a calendar year of the
 # orders data is that range (the whole tables are still scanned).
 BACKFILL = (dt.date(1996, 1, 1), dt.date(1996, 12, 31))
@@ -40,8 +42,7 @@ ETL_PARAMS = EtlParams(sites=ad.ORDERS_SITES, position_regex=ad.ORDERS_POSITION_
                        order_status_deny=ad.ORDERS_STATUS_DENY)
 UV_SQL = (
     "SELECT event, product_id, CAST(sum(event_uv) AS DOUBLE) AS event_uv "
-    "FROM customer_daily_events "
-    "WHERE event_time >= DATE'2024-01-01' AND event_time <= DATE'2024-01-31' "
+    "FROM customer_daily_events WHERE event IS NOT NULL AND product_id IS NOT NULL "
     "GROUP BY event, product_id")
 
 
@@ -51,7 +52,7 @@ def _daily(spark, d):
 
 
 def _triples(spark, d):
-    return training.training_triples(_daily(spark, d), EVENTS_START, EVENTS_END)
+    return training.training_triples(_daily(spark, d))
 
 
 def _logs(spark, d):
@@ -79,6 +80,11 @@ def q_etl_order(spark, d):
     return etl.order_scan(_logs(spark, d), ETL_PARAMS)
 
 
+def q_etl_order_tz(spark, d):
+    """Orders by the calendar day of a time zone other than UTC."""
+    return etl.order_scan(_logs(spark, d), dataclasses.replace(ETL_PARAMS, time_zone=ORDER_ZONE))
+
+
 def q_daily_events(spark, d):
     return etl.daily_events(_logs(spark, d), ETL_PARAMS)
 
@@ -87,15 +93,20 @@ def q_daily_events_backfill(spark, d):
     return etl.daily_events(_logs(spark, d), ETL_PARAMS, start=BACKFILL[0], end=BACKFILL[1])
 
 
+def _read_back(spark, path, *columns):
+    """The sink's content as a checkpointed table; the sink's folder goes."""
+    back = materialize(spark.read.parquet(path).select(*columns))
+    remove_dir(spark, path)
+    return back
+
+
 def q_sink_daily_events(spark, d):
-    """Write the backfill twice (second run must replace, not append); read back."""
+    """Write all days, then one year again (it must replace, not append); read back."""
     path = shared_dir(spark, "daily_events")
-    df = q_daily_events_backfill(spark, d)
-    sinks.write_daily_events(df, path)
-    sinks.write_daily_events(df, path)
-    back = spark.read.parquet(path)
-    return back.select(*[F.col(c) for c in etl.DAILY_EVENT_COLUMNS[:-1]],
-                       F.col(etl.DAY).cast("date").alias(etl.DAY))
+    sinks.write_daily_events(q_daily_events(spark, d), path)
+    sinks.write_daily_events(q_daily_events_backfill(spark, d), path)
+    return _read_back(spark, path, *[F.col(c) for c in etl.DAILY_EVENT_COLUMNS[:-1]],
+                      F.col(etl.DAY).cast("date").alias(etl.DAY))
 
 
 # -- training reads ----------------------------------------------------------
@@ -108,7 +119,7 @@ def q_training_lookback(spark, d):
 
 
 def q_item_event_uv(spark, d):
-    return training.item_event_uv(_daily(spark, d), EVENTS_START, EVENTS_END)
+    return training.item_event_uv(_daily(spark, d))
 
 
 def q_sql_read(spark, d):
@@ -123,10 +134,7 @@ def q_min_events_users(spark, d):
 
 
 def q_restricted_events(spark, d):
-    p = CcoParams(min_events=MIN_EVENTS)
-    e = cco.edges(_triples(spark, d), p)
-    users = cco.primary_users(e, cco.primary_event(e, p), p)
-    return cco.restricted(e, users).select(*cco.EDGE)
+    return cco.restrict(_triples(spark, d), CcoParams()).edges.select(*cco.EDGE)
 
 
 def _without_order(spark, d):
@@ -143,8 +151,13 @@ def q_downsampled_events(spark, d):
     return cco.sampled_edges(_triples(spark, d), SAMPLED).select(*cco.EDGE)
 
 
+def q_sampling_report(spark, d):
+    """What the caps drop, by event type."""
+    return cco.sampling_report(_triples(spark, d), SAMPLED)
+
+
 def q_item_user_counts(spark, d):
-    s = cco.sampled_edges(_triples(spark, d), SAMPLED)
+    s = cco.sampled_edges(_triples(spark, d), CcoParams())
     per_user = s.groupBy("event", "user_id").agg(F.count(F.lit(1)).alias("n")).select(
         "event", F.lit("user").alias("axis"), F.col("user_id").alias("id"), "n")
     per_item = s.groupBy("event", "product_id").agg(F.count(F.lit(1)).alias("n")).select(
@@ -158,20 +171,12 @@ def q_cco_counts(spark, d):
     return c.withColumn("llr", round_half_away(F.col("llr"), 5))
 
 
-def _primary_split(spark, d, primary: bool):
-    p = CcoParams()
-    t = _triples(spark, d)
-    res = cco.cross_occurrence(t, p)
-    first = cco.primary_event(cco.edges(t, p), p)
-    return res.where((F.col("event") == first) if primary else (F.col("event") != first))
-
-
 def q_cco_primary(spark, d):
-    return _primary_split(spark, d, True)
+    return cco.cross_occurrence(_triples(spark, d), CcoParams(), only="primary")
 
 
 def q_cco_cross(spark, d):
-    return _primary_split(spark, d, False)
+    return cco.cross_occurrence(_triples(spark, d), CcoParams(), only="cross")
 
 
 def q_cco_all(spark, d):
@@ -179,7 +184,7 @@ def q_cco_all(spark, d):
 
 
 def q_cco_default_params(spark, d):
-    return cco.cross_occurrence(_triples(spark, d), cco_default_params())
+    return cco.cross_occurrence(_triples(spark, d), cco_default_params(max_events=DEFAULT_CAP))
 
 
 def q_cco_sampled(spark, d):
@@ -197,12 +202,12 @@ def q_corr_payload(spark, d):
 
 
 def q_sink_corr(spark, d):
+    """Write all events, then a batch without one: its partition must stay."""
     path = shared_dir(spark, "item_event_corr")
-    pay = q_corr_payload(spark, d)
-    sinks.write_corr(pay, path)
+    pay = materialize(q_corr_payload(spark, d))
     sinks.write_corr(pay, path)
-    back = spark.read.parquet(path)
-    return back.select("product_id", "corr_payload", F.col("event").cast("string"))
+    sinks.write_corr(pay.where(F.col("event") != "wish"), path)
+    return _read_back(spark, path, "product_id", "corr_payload", F.col("event").cast("string"))
 
 
 def q_outcome(spark, d):
@@ -214,6 +219,14 @@ def _sim_payload(spark, d):
     return similarity_payload(similarity.vector_similarity(ad.embedding_vectors(spark, d)))
 
 
+def q_sink_serving(spark, d):
+    path = shared_dir(spark, "serving")
+    rows = materialize(q_serving_table(spark, d))
+    sinks.write_serving(rows, path)
+    sinks.write_serving(rows, path)
+    return _read_back(spark, path, "*")
+
+
 def q_serving_table(spark, d):
     pop = popularity.popularity_table(_daily(spark, d), EVENTS_END, POP_DAYS)
     return serving.serving_table(q_outcome(spark, d), pop, _sim_payload(spark, d))
@@ -246,8 +259,10 @@ def q_popularity_table(spark, d):
 
 def q_sink_popularity(spark, d):
     path = shared_dir(spark, "item_popularity")
-    sinks.write_popularity(q_popularity_table(spark, d), path)
-    return spark.read.parquet(path)
+    rows = materialize(q_popularity_table(spark, d))
+    sinks.write_popularity(rows, path)
+    sinks.write_popularity(rows, path)
+    return _read_back(spark, path, "*")
 
 
 # -- similarity ------------------------------------------------------------------
@@ -256,17 +271,31 @@ def q_item_desc(spark, d):
 
 
 def q_vector_similarity(spark, d):
-    return similarity.vector_similarity(ad.embedding_vectors(spark, d))
+    return similarity.vector_similarity(ad.embedding_vectors(spark, d)).drop("row_id")
+
+
+def q_vector_similarity_repeats(spark, d):
+    """Items with several vectors per category path: a list for each."""
+    return similarity.vector_similarity(ad.repeated_vectors(spark, d)).drop("row_id")
+
+
+def q_text_mean_vectors(spark, d):
+    """Mean of given word vectors per item, then neighbours in the category."""
+    items = similarity.item_desc(ad.part_catalogue(spark, d))
+    vec = similarity.mean_word_vectors(items, ad.hashed_word_vectors(items))
+    return similarity.vector_similarity(vec).drop("row_id")
 
 
 def q_text_similarity(spark, d):
-    return similarity.text_similarity(ad.part_catalogue(spark, d))
+    return similarity.text_similarity(ad.part_catalogue(spark, d)).drop("row_id")
 
 
 def q_sink_similarity(spark, d):
     path = shared_dir(spark, "item_similarity")
-    sinks.write_similarity(_sim_payload(spark, d), path)
-    return spark.read.parquet(path)
+    rows = materialize(_sim_payload(spark, d))
+    sinks.write_similarity(rows, path)
+    sinks.write_similarity(rows, path)
+    return _read_back(spark, path, "*")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -28,7 +28,8 @@ def test_self_pair_rules_and_user_restriction(spark):
     assert ("cart", 10, 10) in res and ("order", 10, 10) not in res
     # N counts primary users only; user 9 (cart only) contributes nothing
     assert {r.n for r in res.values()} == {4}
-    assert res[("cart", 10, 11)].k11 == 0 if ("cart", 10, 11) in res else True
+    # nobody but user 9 has 11 in the cart beside 10, so that pair does not exist
+    assert ("cart", 10, 11) not in res and res[("cart", 11, 10)].k11 == 1
     assert all(r.k11 <= min(r.a, r.b) for r in res.values())
 
 
@@ -87,3 +88,21 @@ def test_min_events_filters_users(spark):
     assert sorted(r.user_id for r in users.collect()) == [1, 2]
     r = cco.restricted(e, users)
     assert r.where(F.col("user_id").isin(3, 4, 9)).count() == 0
+
+
+def test_exact_by_default_and_caps_are_reported(spark):
+    assert all(i.max_events is None for i in CcoParams().indicators)
+    t = _triples(spark, [("order", u, 1) for u in range(40)])
+    exact = cco.sampling_report(t, CcoParams()).collect()
+    assert [(r.edges, r.kept, r.dropped) for r in exact] == [(40, 40, 0)]
+    capped = cco.sampling_report(t, CcoParams(indicators=(Indicator("order", 4),))).first()
+    assert capped.edges == 40 and capped.dropped > 0 and capped.kept + capped.dropped == 40
+
+
+def test_only_primary_and_only_cross_split_the_result(spark):
+    t = _triples(spark, ROWS)
+    every = cco.cross_occurrence(t, CcoParams())
+    parts = [cco.cross_occurrence(t, CcoParams(), only=o) for o in ("primary", "cross")]
+    union = parts[0].unionByName(parts[1])
+    assert every.exceptAll(union).count() == 0 and union.exceptAll(every).count() == 0
+    assert {r.event for r in parts[0].collect()} == {"order"}

@@ -49,7 +49,7 @@ def brute(edges, p: CcoParams):
     ni = Counter((ev, i) for ev, _, i in r)
     s = []
     for ev, u, i in r:
-        rate = min(cap[ev] / nu[(ev, u)], cap[ev] / ni[(ev, i)])
+        rate = 1.0 if cap[ev] is None else min(cap[ev] / nu[(ev, u)], cap[ev] / ni[(ev, i)])
         h = int(hashlib.md5(f"{ev}|{u}|{i}|{p.seed}".encode()).hexdigest()[:8], 16)
         if rate >= 1.0 or h < rate * 4294967296.0:
             s.append((ev, u, i))
