@@ -8,18 +8,18 @@ occur, rarest first, so frequent lines and passages sit outside prefixes.
 1. A fixed-size count sketch over the shingles of all documents gives the
    order (it ranks only; results do not depend on it).
 2. One scan gives every document its class (hash of the set), its group
-   (equal prefix and size) and, once per group and block, the prefix rows.
-3. Prefix rows are sorted by shingle and streamed; a shingle of one group
-   is dropped, the others link their groups to the run's first group.
-4. Star pairs are expanded to members, verified on their whole texts, and
-   merged to components.
-5. Prefix runs and groups that still hold more than one component are joined
-   exhaustively (size and position filters; pairs inside one component need
-   no test), verified, and merged again.  Nothing is capped: a
-   link between different components always has a pair tested here.
-
-Exact copies are one class and equal prefixes one group, so copies are never
-expanded to pairs.  Python state is one block of text or one run's leader.
+   (equal prefix and size) and its prefix.
+3. Groups are joined on prefix shingles; a shingle of one group is dropped.
+   In a few turns every group is paired with pivot groups of its runs (size
+   and position filters), the pairs are expanded to members, verified on
+   whole texts, and merged to components.  Runs inside one component are done.
+4. Runs and groups that still span several components are joined
+   exhaustively, without the pairs inside a component; verified; merged.
+   Nothing is capped: the pivots only save work, since a link between
+   components that are still different is always tested here.
+
+Exact copies are one class and equal prefixes one group, and a mass of near
+copies closes in the turns, so copies are never expanded to all pairs.
 """
 
 from __future__ import annotations
@@ -38,15 +38,22 @@ from .components import components
 from .textcore import BASE, mix, ngrams, text_blocks, words
 
 SKETCH_BITS = 18
+#: Slots in which a task remembers the shingles it has met.
+_SEEN_BITS = 26
 _CHUNKS = 64
 
 
 @dataclass(frozen=True)
 class JaccardParams:
-    """shingle: words per shingle; percent: least similarity in percent."""
+    """shingle: words per shingle; percent: least similarity in percent;
+    turns, neighbours, pivots: rounds of pivot pairs, groups met in a run, and
+    pairs tested of a group in each."""
 
     shingle: int = 5
     percent: int = 75
+    turns: int = 2
+    neighbours: int = 3
+    pivots: int = 4
 
     def needed(self, n):
         """Least overlap of a set of n with any similar set."""
@@ -84,16 +91,23 @@ def set_ids(g, r, rows: int):
 
 
 def count_sketch(documents: DataFrame, p: JaccardParams) -> np.ndarray:
-    """Occurrences of all shingles in 2**SKETCH_BITS hash slots (a fixed size)."""
+    """Repeated occurrences of shingles in 2**SKETCH_BITS hash slots (a fixed size).
+
+    A task counts an occurrence if it has met the shingle (its slot) before,
+    so the many shingles that occur once do not blur the counts.
+    """
     size = 1 << SKETCH_BITS
 
     def count(batches):
-        c = np.zeros(size, np.int64)
+        c, seen = np.zeros(size, np.int64), np.zeros(1 << _SEEN_BITS, bool)
         for b in batches:
             for _, _, data, offsets in text_blocks(b):
                 _, _, row, h = words(data, offsets)
                 g, _ = ngrams(h, row, p.shingle)
-                c += np.bincount((g >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
+                slot = (g & np.uint64((1 << _SEEN_BITS) - 1)).astype(np.int64)
+                again = g[seen[slot]]
+                seen[slot] = True
+                c += np.bincount((again >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
         parts = np.minimum(c, 2**31 - 1).astype(np.int32).reshape(_CHUNKS, -1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(_CHUNKS, dtype=np.int32)),
                                           pa.array([x.tobytes() for x in parts], pa.binary())], ["k", "c"])
@@ -111,9 +125,8 @@ def count_sketch(documents: DataFrame, p: JaccardParams) -> np.ndarray:
     return out.reshape(-1)
 
 
-def prefix_rows(documents: DataFrame, sketch, p: JaccardParams, postings: bool) -> DataFrame:
-    """Without ``postings`` (doc_id, cid, gid, n) per row; with them the prefix
-    rows (h, gid, n, pos), each group once per block."""
+def document_sets(documents: DataFrame, sketch, p: JaccardParams) -> DataFrame:
+    """(doc_id, cid, gid, n, prefix) per row: class, group, set size, prefix hashes in order."""
     def scan(batches):
         counts = sketch.value
         for b in batches:
@@ -123,26 +136,39 @@ def prefix_rows(documents: DataFrame, sketch, p: JaccardParams, postings: bool)
                 order = np.lexsort((g, counts[(g >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], r))
                 g = g[order]
                 pos = np.arange(len(g)) - (np.cumsum(n) - n)[r]
-                keep = pos < (n - p.needed(n) + 1)[r]
-                g, r, pos = g[keep], r[keep], pos[keep]
+                size = np.where(n > 0, n - p.needed(n) + 1, 0)
+                keep = pos < size[r]
+                g, r = g[keep], r[keep]
                 gid = np.zeros(j - i, np.uint64)
                 np.add.at(gid, r, mix(g * BASE + BASE))
                 gid = mix(gid + n.astype(np.uint64) * BASE)
-                if not postings:
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column(0).slice(i, j - i), pa.array(cid.view(np.int64)), pa.array(gid.view(np.int64)),
-                         pa.array(n)], ["doc_id", "cid", "gid", "n"])
-                    continue
-                _, first = np.unique(gid, return_index=True)
-                one = np.isin(np.arange(j - i), first)[r]
-                g, r, pos = g[one], r[one], pos[one]
+                cut = np.concatenate([[0], np.cumsum(size)]).astype(np.int32) * 8
+                prefix = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(cut), pa.py_buffer(g.tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(g.view(np.int64)), pa.array(gid.view(np.int64)[r]), pa.array(n[r].astype(np.int32)),
-                     pa.array(pos.astype(np.int32))], ["h", "gid", "n", "pos"])
+                    [b.column(0).slice(i, j - i), pa.array(cid.view(np.int64)), pa.array(gid.view(np.int64)),
+                     pa.array(n), prefix], ["doc_id", "cid", "gid", "n", "prefix"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(
-        scan, "h long, gid long, n int, pos int" if postings else f"doc_id {kind}, cid long, gid long, n long")
+        scan, f"doc_id {kind}, cid long, gid long, n long, prefix binary")
+
+
+def postings(rows: DataFrame) -> DataFrame:
+    """(h, gid, n, pos): the prefix rows, each group once per batch."""
+    def explode(batches):
+        for b in batches:
+            gid, n = b.column(0).to_numpy(), b.column(1).to_numpy()
+            _, first = np.unique(gid, return_index=True)
+            parts = [np.frombuffer(b.column(2)[int(k)].as_py(), np.int64) for k in first]
+            size = np.array([len(x) for x in parts], np.int64)
+            own = np.repeat(first, size)
+            pos = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
+            h = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h), pa.array(gid[own]), pa.array(n[own].astype(np.int32)), pa.array(pos.astype(np.int32))],
+                ["h", "gid", "n", "pos"])
+
+    return rows.select("gid", "n", "prefix").mapInArrow(explode, "h long, gid long, n int, pos int")
 
 
 def _fits(n1, p1, n2, p2, percent: int):
@@ -162,23 +188,44 @@ def shared_runs(postings: DataFrame) -> DataFrame:
             .select("h", "gid", "n", "pos"))
 
 
-def star_pairs(runs: DataFrame, p: JaccardParams) -> DataFrame:
-    """(g1, g2): every group with the first group of its run and size class.
+def pivot_pairs(runs: DataFrame, turn: int, p: JaccardParams) -> DataFrame:
+    """(g1, g2): every group with a few others of the runs it is in.
 
-    Two systems of size classes, half a class apart, keep groups of close
-    sizes under one leader in at least one of them.
+    Runs are split by size class (shifted by half a class every other turn)
+    and put in the order of a hash of the group that is the same in all runs:
+    a group meets the first of its run and the ones just before itself.  It
+    keeps the ``pivots`` it shares most shingles with.  Pairs inside one
+    component are left out.
     """
-    width = math.log(100 / p.percent)
-    out = None
-    for shift in (0.0, 0.5):
-        size = F.floor(F.log(F.col("n")) / width + shift)
-        w = Window.partitionBy("h", "size").orderBy("n", "gid")
-        t = (runs.withColumn("size", size).withColumn("l", F.first(F.struct("gid", "n", "pos")).over(w))
-             .where((F.col("l.gid") != F.col("gid"))
-                    & _fits(F.col("n"), F.col("pos"), F.col("l.n"), F.col("l.pos"), p.percent))
-             .select(F.col("gid").alias("g1"), F.col("l.gid").alias("g2")))
-        out = t if out is None else out.unionByName(t)
-    return out.distinct()
+    size = F.floor(F.log(F.col("n")) / math.log(100 / p.percent) + 0.5 * (turn % 2))
+    w = Window.partitionBy("h", "size").orderBy(F.xxhash64("gid", F.lit(turn)), "gid")
+    it = F.struct("gid", "n", "pos", "lo", "hi")
+    met = F.array(F.first(it).over(w), *[F.lag(it, k).over(w) for k in range(1, p.neighbours + 1)])
+    t = (runs.withColumn("size", size).withColumn("met", F.array_distinct(met))
+         .withColumn("l", F.explode("met"))
+         .where((F.col("l.gid") != F.col("gid")) & _apart("lo", "hi", "l.lo", "l.hi")
+                & _fits(F.col("n"), F.col("pos"), F.col("l.n"), F.col("l.pos"), p.percent))
+         .groupBy(F.col("gid").alias("g1"), F.col("l.gid").alias("g2")).agg(F.count(F.lit(1)).alias("k")))
+    best = Window.partitionBy("g1").orderBy(F.desc("k"), "g2")
+    return t.withColumn("r", F.row_number().over(best)).where(F.col("r") <= p.pivots).select("g1", "g2")
+
+
+def _apart(lo1, hi1, lo2, hi2):
+    """The groups do not lie in one and the same component."""
+    return (F.col(lo1) != F.col(hi1)) | (F.col(lo2) != F.col(hi2)) | (F.col(lo1) != F.col(lo2))
+
+
+def open_pairs(runs: DataFrame, p: JaccardParams) -> DataFrame:
+    """(g1, g2): all pairs of groups that share a run, may be similar, and are
+    not in one component: those outside a run's main component with all others."""
+    main = saved(runs.groupBy("h", "lo").agg(F.count(F.lit(1)).alias("k"))
+                 .groupBy("h").agg(F.max_by("lo", F.struct("k", "lo")).alias("main")), "jaccard_main")
+    left = runs.join(main, "h").where("lo <> main or hi <> main").drop("main")
+    other = runs.select("h", *[F.col(c).alias(f"{c}2") for c in ("gid", "n", "pos", "lo", "hi")])
+    return (left.join(other, "h")
+            .where((F.col("gid") != F.col("gid2")) & _apart("lo", "hi", "lo2", "hi2")
+                   & _fits(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"), p.percent))
+            .select(F.least("gid", "gid2").alias("g1"), F.greatest("gid", "gid2").alias("g2")).distinct())
 
 
 def verified(pairs: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
@@ -237,6 +284,24 @@ def class_texts(documents: DataFrame, involved: DataFrame, p: JaccardParams) ->
             .mapInArrow(check, "cid long, z binary"))
 
 
+def _verified_pairs(pairs: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
+    """(a, b), a < b: the verified ones of the distinct class pairs, written."""
+    d = saved(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
+              "jaccard_pairs")
+    return saved(verified(d, texts, p), "jaccard_links")
+
+
+def _open(member: DataFrame, runs: DataFrame, comp: DataFrame):
+    """Members with their component, the runs over several components with the
+    lowest and highest component of each group, and the groups of several."""
+    of = saved(member.join(comp.withColumnRenamed("v", "cid"), "cid", "left")
+               .select("gid", "cid", F.coalesce("c", "cid").alias("c")), "jaccard_members")
+    gc = saved(of.groupBy("gid").agg(F.min("c").alias("lo"), F.max("c").alias("hi")), "jaccard_groups")
+    rc = saved(runs.select("h", "gid", "n", "pos").join(gc, "gid"), "jaccard_run_components")
+    several = (rc.groupBy("h").agg(F.min("lo").alias("x"), F.max("hi").alias("y")).where("x <> y").select("h"))
+    return of, saved(rc.join(saved(several, "jaccard_several"), "h"), "jaccard_open"), gc.where("lo <> hi")
+
+
 def near_duplicates(documents: DataFrame, p: JaccardParams | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id, n_links) of every document row.
 
@@ -253,53 +318,40 @@ def near_duplicates(documents: DataFrame, p: JaccardParams | None = None) -> Dat
     spark = documents.sparkSession
     documents = documents.select("doc_id", "text")
     sketch = spark.sparkContext.broadcast(count_sketch(documents, p))      # fixed size
-    rows = saved(prefix_rows(documents, sketch, p, False), "jaccard_rows")
+    rows = saved(document_sets(documents, sketch, p), "jaccard_rows")
     known = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = saved(known.groupBy("cid", "gid").agg(F.min("doc_id").alias("doc_id")), "jaccard_classes")
     groups = classes.groupBy("gid").agg(F.min("cid").alias("lead"), F.max("cid").alias("other"))
     inside = groups.where("lead <> other").select("gid", "lead")
 
-    runs = saved(shared_runs(prefix_rows(documents.where(F.col("doc_id").isNotNull()), sketch, p, True)),
-                 "jaccard_runs")
+    runs = saved(shared_runs(postings(known)), "jaccard_runs")
     member = classes.select("gid", "cid")
-    star = star_pairs(runs, p)
-    lead = groups.select(F.col("gid").alias("g2"), F.col("lead").alias("b"))
-    first = (star.join(member.select(F.col("gid").alias("g1"), F.col("cid").alias("a")), "g1")
-             .join(lead, "g2").select("a", "b")
-             .unionByName(member.join(inside, "gid").select(F.col("cid").alias("a"), F.col("lead").alias("b")))
-             .where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    first = saved(first, "jaccard_pairs")
     touched = (runs.select("gid").distinct().join(member, "gid").select("cid")
                .unionByName(inside.join(member, "gid").select("cid")).distinct())
     texts = saved(class_texts(documents, classes.join(touched, "cid"), p), "jaccard_texts")
-    links = saved(verified(first, texts, p), "jaccard_links")
-    comp = components(links)
 
-    # what the stars left open: runs and groups over several components
-    of = saved(member.join(comp.withColumnRenamed("v", "cid"), "cid", "left")
-               .select("gid", "cid", F.coalesce("c", "cid").alias("c")), "jaccard_members")
-    gc = of.groupBy("gid").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    rc = saved(runs.join(gc, "gid"), "jaccard_run_components")
-    open_runs = rc.groupBy("h").agg(F.min("lo").alias("x"), F.max("hi").alias("y")).where("x <> y").select("h")
-    rest = saved(rc.join(open_runs, "h"), "jaccard_open")
-    main = (rest.groupBy("h", "lo").agg(F.count(F.lit(1)).alias("k"))
-            .groupBy("h").agg(F.max_by("lo", F.struct("k", "lo")).alias("main")))
-    main = saved(main, "jaccard_main")
-    left = rest.join(main, "h").where("lo <> main or hi <> main").drop("main")
-    r2 = rest.select("h", *[F.col(c).alias(f"{c}2") for c in ("gid", "n", "pos", "lo", "hi")])
-    pairs = (left.join(r2, "h")
-             .where((F.col("gid") != F.col("gid2"))
-                    & ((F.col("lo") != F.col("hi")) | (F.col("lo2") != F.col("hi2")) | (F.col("lo") != F.col("lo2")))
-                    & _fits(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"), p.percent))
-             .select(F.least("gid", "gid2").alias("g1"), F.greatest("gid", "gid2").alias("g2")).distinct())
+    # pivots: every class with the first class of a pivot group and of its own group
+    of = member.withColumn("c", F.col("cid"))
+    lead = groups.select(F.col("gid").alias("g2"), F.col("lead").alias("b"))
+    own = member.join(inside, "gid").select(F.col("cid").alias("a"), F.col("lead").alias("b"))
+    left = runs.withColumn("lo", F.col("gid")).withColumn("hi", F.col("gid"))
+    links = None
+    for turn in range(p.turns):
+        pairs = (pivot_pairs(left, turn, p)
+                 .join(of.select(F.col("gid").alias("g1"), F.col("cid").alias("a")), "g1")
+                 .join(lead, "g2").select("a", "b"))
+        if turn == 0:
+            pairs = pairs.unionByName(own)
+        new = _verified_pairs(pairs, texts, p)
+        links = new if links is None else links.unionByName(new)
+        of, left, torn = _open(member, runs if turn == 0 else left, components(links))
+
+    # what the pivots left open, exhaustively
     m1 = of.select(F.col("gid").alias("g1"), F.col("cid").alias("a"), F.col("c").alias("ca"))
     m2 = of.select(F.col("gid").alias("g2"), F.col("cid").alias("b"), F.col("c").alias("cb"))
-    torn = gc.where("lo <> hi").select(F.col("gid").alias("g1"), F.col("gid").alias("g2"))
-    second = (pairs.unionByName(torn).join(m1, "g1").join(m2, "g2").where("a <> b and ca <> cb")
-              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-              .join(first, ["a", "b"], "left_anti"))
-    more = saved(verified(second, texts, p), "jaccard_more")
-    every = links.unionByName(more)
+    rest = (open_pairs(left, p).unionByName(torn.select(F.col("gid").alias("g1"), F.col("gid").alias("g2")))
+            .join(m1, "g1").join(m2, "g2").where("ca <> cb").select("a", "b"))
+    every = links.unionByName(_verified_pairs(rest, texts, p))
     comp = components(every)
 
     n_links = (every.select(F.col("a").alias("cid")).unionByName(every.select(F.col("b").alias("cid")))
