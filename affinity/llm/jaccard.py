@@ -60,21 +60,38 @@ class JaccardParams:
         return -(-n * self.percent // 100)
 
 
-def shingle_sets(data, offsets, n: int):
-    """(hash, row) of the distinct shingles, ordered by row and hash.
+def _order(rank: np.ndarray, bits: int, g: np.ndarray) -> np.ndarray:
+    """Order by (rank, g): one sort of rank and the upper bits of g, and an exact
+    one in the rare case that different g agree in those bits."""
+    packed = (rank.astype(np.uint64) << np.uint64(64 - bits)) | (g >> np.uint64(bits))
+    order = np.argsort(packed)
+    k, x = packed[order], g[order]
+    if ((k[1:] == k[:-1]) & (x[1:] != x[:-1])).any():
+        order = np.lexsort((g, rank))
+    return order
+
+
+def shingle_sets(data, offsets, n: int, rank=None):
+    """(hash, row) of the distinct shingles, ordered by row, rank(hash) and hash.
 
     A row with fewer than n words has its whole word sequence as one shingle.
+    ``rank`` maps hashes to integers below 2**20.
     """
     _, _, row, h = words(data, offsets)
     g, r = ngrams(h, row, n)
-    per = np.bincount(row, minlength=len(offsets) - 1)
+    rows = len(offsets) - 1
+    per = np.bincount(row, minlength=rows)
     for k in range(1, n):
         short = np.flatnonzero(per == k)
         if len(short):
             m = np.isin(row, short)
             gk, rk = ngrams(h[m], row[m], k)
             g, r = np.concatenate([g, gk]), np.concatenate([r, rk])
-    order = np.lexsort((g, r))
+    bits = max(1, int(rows).bit_length())
+    if rank is None:
+        order = _order(r, bits, g)
+    else:
+        order = _order((r.astype(np.uint64) << np.uint64(20)) | rank(g).astype(np.uint64), bits + 20, g)
     g, r = g[order], r[order]
     if len(g):
         new = np.r_[True, (g[1:] != g[:-1]) | (r[1:] != r[:-1])]
@@ -85,9 +102,16 @@ def shingle_sets(data, offsets, n: int):
 def set_ids(g, r, rows: int):
     """(size, class id) of every row: the class is a hash of the whole set."""
     n = np.bincount(r, minlength=rows).astype(np.int64)
+    return n, mix(_row_sums(mix(g + BASE), r, rows) + n.astype(np.uint64) * BASE)
+
+
+def _row_sums(x: np.ndarray, r: np.ndarray, rows: int) -> np.ndarray:
+    """Sums of x per row; r is ascending."""
     total = np.zeros(rows, np.uint64)
-    np.add.at(total, r, mix(g + BASE))
-    return n, mix(total + n.astype(np.uint64) * BASE)
+    if len(x):
+        first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+        total[r[first]] = np.add.reduceat(x, first)
+    return total
 
 
 def count_sketch(documents: DataFrame, p: JaccardParams) -> np.ndarray:
@@ -128,20 +152,20 @@ def count_sketch(documents: DataFrame, p: JaccardParams) -> np.ndarray:
 def document_sets(documents: DataFrame, sketch, p: JaccardParams) -> DataFrame:
     """(doc_id, cid, gid, n, prefix) per row: class, group, set size, prefix hashes in order."""
     def scan(batches):
-        counts = sketch.value
+        counts = np.minimum(sketch.value, (1 << 20) - 1)
+
+        def often(g):
+            return counts[(g >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+
         for b in batches:
             for i, j, data, offsets in text_blocks(b):
-                g, r = shingle_sets(data, offsets, p.shingle)
+                g, r = shingle_sets(data, offsets, p.shingle, often)
                 n, cid = set_ids(g, r, j - i)
-                order = np.lexsort((g, counts[(g >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], r))
-                g = g[order]
                 pos = np.arange(len(g)) - (np.cumsum(n) - n)[r]
                 size = np.where(n > 0, n - p.needed(n) + 1, 0)
                 keep = pos < size[r]
                 g, r = g[keep], r[keep]
-                gid = np.zeros(j - i, np.uint64)
-                np.add.at(gid, r, mix(g * BASE + BASE))
-                gid = mix(gid + n.astype(np.uint64) * BASE)
+                gid = mix(_row_sums(mix(g * BASE + BASE), r, j - i) + n.astype(np.uint64) * BASE)
                 cut = np.concatenate([[0], np.cumsum(size)]).astype(np.int32) * 8
                 prefix = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(cut), pa.py_buffer(g.tobytes())])
                 yield pa.RecordBatch.from_arrays(
