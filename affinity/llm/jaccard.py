@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +42,7 @@ SKETCH_BITS = 18
 #: Slots in which a task remembers the shingles it has met.
 _SEEN_BITS = 26
 _CHUNKS = 64
+_DEALS = 256
 
 
 @dataclass(frozen=True)
@@ -133,15 +135,19 @@ def count_sketch(documents: DataFrame, p: JaccardParams) -> np.ndarray:
                 seen[slot] = True
                 c += np.bincount((again >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
         parts = np.minimum(c, 2**31 - 1).astype(np.int32).reshape(_CHUNKS, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(_CHUNKS, dtype=np.int32)),
-                                          pa.array([x.tobytes() for x in parts], pa.binary())], ["k", "c"])
+        deal = TaskContext.get().partitionId() % _DEALS
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(_CHUNKS, dtype=np.int32)), pa.array(np.full(_CHUNKS, deal, np.int32)),
+             pa.array([x.tobytes() for x in parts], pa.binary())], ["k", "deal", "c"])
 
     def add(table: pa.Table) -> pa.Table:
         c = sum(np.frombuffer(x.as_py(), np.int32).astype(np.int64) for x in table["c"])
         c = np.minimum(c, 2**31 - 1).astype(np.int32)
         return pa.table({"k": table["k"][:1], "c": pa.array([c.tobytes()], pa.binary())})
 
-    got = (documents.select("text").mapInArrow(count, "k int, c binary")
+    # summed in two steps, so no task gathers a part of every task
+    got = (documents.select("text").mapInArrow(count, "k int, deal int, c binary")
+           .groupBy("k", "deal").applyInArrow(add, "k int, c binary")
            .groupBy("k").applyInArrow(add, "k int, c binary").collect())
     out = np.zeros((_CHUNKS, size // _CHUNKS), np.int32)
     for row in got:
