@@ -1,13 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, rare ones first, then Smith-Waterman alignment.
 
 1. The word n-grams of the test items are counted over all documents (number
    of documents holding each; partial sums before the shuffle).
-2. An item's seeds are its n-grams in at most ``rare`` documents and the rarer
-   half of those that occur at all: a passage in very many documents keeps
-   seeds, since there rarity only ranks the n-grams of one item.
-3. A document passage holding a seed is joined to the item and aligned with
-   it word by word (local alignment, linear gaps), which scores edited
-   copies; score = alignment score / words of the item.
+2. Every n-gram of an item that occurs at all is a seed.  Those in at most
+   ``rare`` documents and the rarer half of each item's are its rare seeds.
+3. A document passage holding a rare seed is aligned with the item word by
+   word (local alignment, linear gaps), which scores edited copies; score =
+   alignment score / words of the item.  A passage holding common seeds only
+   is aligned unless an upper bound from its words is below the threshold.
+   So the counts decide the amount of work, never the result.
 
 Test items are the stated query set: they are dealt into blocks of a bounded
 number of words, and each block's table (bounded by construction) goes to
@@ -33,7 +34,7 @@ _FILTER_BITS = 20
 
 @dataclass(frozen=True)
 class DecontamParams:
-    """n: words of a seed; rare: documents up to which every n-gram is a seed;
+    """n: words of a seed; rare: documents up to which every n-gram is a rare seed;
     threshold: least alignment score per item word; mismatch, gap: penalties
     (a match scores 1); block_words: words of test items handled per scan."""
 
@@ -98,15 +99,28 @@ class Items:
         return sorted({min(self.n, len(w)) for w in self.words if len(w)})
 
     def rare(self, df: np.ndarray, limit: int) -> Items:
-        """The seeds: of the n-grams that occur, those in at most ``limit``
+        """The rare seeds: of the n-grams that occur, those in at most ``limit``
         documents and the rarer half of each item's."""
+        return self._pick(self._rare(df, limit))
+
+    def seeds(self, df: np.ndarray, limit: int) -> tuple[Items, np.ndarray]:
+        """All n-grams that occur, and for each occurrence if it is a rare seed."""
+        mark = np.zeros(len(self.item), bool)
+        mark[self._rare(df, limit)] = True
+        pick = np.flatnonzero(np.repeat(df, np.diff(self.first)) > 0)      # ordered by key, as the occurrences are
+        return self._pick(pick), mark[pick]
+
+    def _rare(self, df: np.ndarray, limit: int) -> np.ndarray:
         key = np.repeat(np.arange(len(self.keys)), np.diff(self.first))
         there = np.flatnonzero(df[key] > 0)
         order = there[np.lexsort((self.pos[there], df[key[there]], self.item[there]))]
         item = self.item[order]
         per = np.bincount(item, minlength=len(self.words))
         rank = np.arange(len(order)) - (np.cumsum(per) - per)[item]
-        pick = order[(df[key[order]] <= limit) | (rank < (per[item] + 1) // 2)]
+        return order[(df[key[order]] <= limit) | (rank < (per[item] + 1) // 2)]
+
+    def _pick(self, pick: np.ndarray) -> Items:
+        key = np.repeat(np.arange(len(self.keys)), np.diff(self.first))
         return Items._index(self.ids, self.words, self.item[pick], self.pos[pick], self.keys[key[pick]], self.n)
 
 
@@ -144,7 +158,14 @@ def smith_waterman(a: np.ndarray, b: np.ndarray, mismatch: float, gap: float) ->
     return best, end
 
 
-def align_block(items: Items, seeds: Items, bits: np.ndarray, h: np.ndarray, row: np.ndarray,
+def score_bound(a: np.ndarray, b: np.ndarray, mismatch: float, gap: float) -> float:
+    """Upper bound of the alignment score: a word of ``a`` that ``b`` lacks costs
+    the smaller penalty wherever the alignment runs over it."""
+    total = np.r_[0.0, np.cumsum(np.where(np.isin(a, b), 1.0, -min(mismatch, gap)))]
+    return float((total - np.minimum.accumulate(total)).max())
+
+
+def align_block(items: Items, seeds: Items, rare: np.ndarray, bits: np.ndarray, h: np.ndarray, row: np.ndarray,
                 rows: int, p: DecontamParams):
     """Yield (row, item, score, end word) of every passage that reaches the threshold."""
     at, r, key = doc_hits(seeds, bits, h, row)
@@ -158,7 +179,7 @@ def align_block(items: Items, seeds: Items, bits: np.ndarray, h: np.ndarray, row
     start = np.repeat(at, count) - seeds.pos[occ]
     best: dict[tuple[int, int], tuple[float, int]] = {}
     order = np.lexsort((start, item, r))
-    r, item, start = r[order], item[order], start[order]
+    r, item, start, sure = r[order], item[order], start[order], rare[occ[order]]
     i = 0
     while i < len(r):
         w = items.words[item[i]]
@@ -168,6 +189,9 @@ def align_block(items: Items, seeds: Items, bits: np.ndarray, h: np.ndarray, row
             j += 1
         lo = max(begin[r[i]], start[i] - slack)
         hi = min(end[r[i]], start[j - 1] + len(w) + slack)
+        if not sure[i:j].any() and score_bound(w, h[lo:hi], p.mismatch, p.gap) < p.threshold * len(w) - 1e-9:
+            i = j
+            continue
         score, stop = smith_waterman(w, h[lo:hi], p.mismatch, p.gap)
         score /= len(w)
         k = (int(r[i]), int(item[i]))
@@ -188,8 +212,8 @@ def _blocks(benchmark: DataFrame, p: DecontamParams):
             yield Items.build([r.item_id for r in part], [r.text for r in part], p.n)
 
 
-def _seeds(src: DataFrame, items: Items, limit: int) -> Items:
-    """The items with only their rare n-grams, ranked over all documents."""
+def _seeds(src: DataFrame, items: Items, limit: int) -> tuple[Items, np.ndarray]:
+    """The n-grams that occur in the documents, and which are rare over all of them."""
     sc = src.sparkSession.sparkContext
     shared, bits = sc.broadcast(items), sc.broadcast(items.bits())
 
@@ -209,15 +233,15 @@ def _seeds(src: DataFrame, items: Items, limit: int) -> Items:
     # one row per n-gram of the block at most
     for r in src.select("text").mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
         df[r.k] = r.n
-    return items.rare(df, limit)
+    return items.seeds(df, limit)
 
 
 def _plan(src: DataFrame, benchmark: DataFrame, p: DecontamParams):
     """Per block of test items the broadcasts that ``align_block`` needs."""
     sc = src.sparkSession.sparkContext
     for items in _blocks(benchmark, p):
-        seeds = _seeds(src, items, p.rare)
-        yield sc.broadcast((items, seeds, seeds.bits()))
+        seeds, rare = _seeds(src, items, p.rare)
+        yield sc.broadcast((items, seeds, rare, seeds.bits()))
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, p: DecontamParams | None = None,
@@ -241,12 +265,12 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, p: DecontamParams |
 
     def finder(block):
         def align(batches):
-            items, seeds, bits = block.value
+            items, seeds, rare, bits = block.value
             for b in batches:
                 rows, ids, score, stop = [], [], [], []
                 for i, j, data, offsets in text_blocks(b):
                     _, _, row, h = words(data, offsets)
-                    for a, k, s, e in align_block(items, seeds, bits, h, row, j - i, p):
+                    for a, k, s, e in align_block(items, seeds, rare, bits, h, row, j - i, p):
                         rows.append(i + a)
                         ids.append(items.ids[k])
                         score.append(s)
@@ -275,12 +299,12 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame, p: DecontamPar
 
     def dropper(block):
         def clean(batches):
-            items, seeds, bits = block.value
+            items, seeds, rare, bits = block.value
             for b in batches:
                 keep = np.ones(b.num_rows, bool)
                 for i, j, data, offsets in text_blocks(b):
                     _, _, row, h = words(data, offsets)
-                    for a, *_ in align_block(items, seeds, bits, h, row, j - i, p):
+                    for a, *_ in align_block(items, seeds, rare, bits, h, row, j - i, p):
                         keep[i + a] = False
                 yield b.filter(pa.array(keep))
         return clean

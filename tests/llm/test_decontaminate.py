@@ -87,3 +87,22 @@ def test_blocks_of_items_empty_tables_and_seeds(spark):
     assert len(block.keys) == 28
     assert len(block.rare(df_n, 0).keys) == 14                      # the rarer half of 27
     assert len(block.rare(df_n, 200).keys) == 20                    # and all in at most 200 documents
+
+
+def test_edited_copies_in_very_many_documents_are_found_beside_a_verbatim_one(spark):
+    """The n-grams that survive the edits are the common half; the rare half is in one document."""
+    item = prose(500, 30)
+    rows = [(0, f"{prose(1, 20)} {item} {prose(2, 20)}")]
+    rows += [(1 + k, f"{prose(3000 + k, 20)} {_edit(item, 5)} {prose(6000 + k, 20)}") for k in range(300)]
+    rows += [(400 + k, prose(9000 + k, 60)) for k in range(20)]
+    df, bm = documents(spark, rows), _items(spark, [(7, item)])
+    assert {r.doc_id for r in dc.contaminated(df, bm).collect()} == set(range(301))
+    assert {r.doc_id for r in dc.drop_contaminated(df, bm).collect()} == set(range(400, 420))
+
+
+def test_bound_is_never_below_the_alignment():
+    r = np.random.default_rng(2)
+    for _ in range(200):
+        a, b = (r.integers(0, 8, r.integers(1, 30)) for _ in range(2))
+        for mismatch, gap in ((0.5, 0.5), (1.0, 2.0), (0.25, 1.0)):
+            assert dc.score_bound(a, b, mismatch, gap) >= dc.smith_waterman(a, b, mismatch, gap)[0] - 1e-9
