@@ -18,6 +18,10 @@ occur, rarest first, so frequent lines and passages sit outside prefixes.
    Nothing is capped: the pivots only save work, since a link between
    components that are still different is always tested here.
 
+5. Links are counted inside the components, where all of them lie: a large
+   component in blocks of classes, every pair of blocks one task that
+   multiplies 0/1 matrices of shingles, so no pair is ever a row.
+
 Exact copies are one class and equal prefixes one group, and a mass of near
 copies closes in the turns, so copies are never expanded to all pairs.
 """
@@ -34,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import bucket_count, saved
 from .components import components
 from .textcore import BASE, mix, ngrams, text_blocks, words
 
@@ -49,13 +53,14 @@ _DEALS = 256
 class JaccardParams:
     """shingle: words per shingle; percent: least similarity in percent;
     turns, neighbours, pivots: rounds of pivot pairs, groups met in a run, and
-    pairs tested of a group in each."""
+    pairs tested of a group in each; block: classes of one side of a counting task."""
 
     shingle: int = 5
     percent: int = 75
     turns: int = 2
     neighbours: int = 3
     pivots: int = 4
+    block: int = 2048
 
     def needed(self, n):
         """Least overlap of a set of n with any similar set."""
@@ -332,14 +337,101 @@ def _open(member: DataFrame, runs: DataFrame, comp: DataFrame):
     return of, saved(rc.join(saved(several, "jaccard_several"), "h"), "jaccard_open"), gc.where("lo <> hi")
 
 
-def near_duplicates(documents: DataFrame, p: JaccardParams | None = None) -> DataFrame:
+#: Shingles in at most this many sets are counted by pairs, the others by matrix products.
+_FEW = 16
+_COLUMNS = 1024
+
+
+def common_counts(g: np.ndarray, r: np.ndarray, a: int, b: int) -> np.ndarray:
+    """(a x b) common shingles of the sets 0..a-1 and a..a+b-1; (g, r) are distinct pairs."""
+    out = np.zeros((a, b), np.float32)
+    order = np.argsort(g, kind="stable")
+    g, r = g[order], r[order]
+    first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]]) if len(g) else np.zeros(0, np.int64)
+    count = np.diff(np.r_[first, len(g)])
+    few = _FEW if len(first) > _COLUMNS else 1
+    for c in range(2, few + 1):
+        at = first[count == c]
+        for lo in range(0, len(at), 1 << 14):
+            sets = r[at[lo:lo + (1 << 14), None] + np.arange(c)]
+            x, y = np.repeat(sets, c, axis=1).ravel(), np.tile(sets, c).ravel()
+            ok = (x < a) & (y >= a)
+            np.add.at(out.reshape(-1), x[ok] * b + y[ok] - a, np.float32(1))
+    many = count > few
+    column = np.repeat(np.where(many, np.cumsum(many) - 1, -1), count)
+    g, r, column = g[column >= 0], r[column >= 0], column[column >= 0]
+    for lo in range(0, int(many.sum()), _COLUMNS):
+        i, j = np.searchsorted(column, [lo, lo + _COLUMNS])
+        m = np.zeros((a + b, _COLUMNS), np.float32)
+        m[r[i:j], column[i:j] - lo] = 1
+        out += m[:a] @ m[a:].T
+    return out
+
+
+def links_between(sets: list[np.ndarray], a: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Similar sets of each of the first a sets among the others, and the reverse."""
+    size = np.array([len(x) for x in sets], np.int64)
+    b = len(sets) - a
+    left, right = np.zeros(a, np.int64), np.zeros(b, np.int64)
+    if a and b:
+        both = common_counts(np.concatenate(sets), np.repeat(np.arange(a + b), size), a, b)
+        for lo in range(0, a, 256):
+            x = both[lo:lo + 256].astype(np.int64)
+            ok = 100 * x >= percent * (size[lo:min(lo + 256, a), None] + size[None, a:] - x)
+            left[lo:lo + 256] = ok.sum(axis=1)
+            right += ok.sum(axis=0)
+    return left, right
+
+
+def class_links(comp: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
+    """(cid, n_links): for each class of a component all other classes similar to it.
+
+    Components of up to ``block`` classes are dealt by hash, several to a
+    task.  The classes of a larger one are dealt into blocks; a class goes to
+    one task per block, so rows are classes times blocks.
+    """
+    def count(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        cid, c = table["cid"].to_numpy(), table["c"].to_numpy()
+        mine, i, j = table["mine"].to_numpy(), table["i"][0].as_py(), table["j"][0].as_py()
+        blobs = pa.array([zlib.decompress(v.as_py()) for v in table["z"]], pa.binary()).cast(pa.string())
+        sets: list[np.ndarray] = []
+        for x, y, data, offsets in text_blocks(pa.RecordBatch.from_arrays([blobs], ["text"])):
+            g, r = shingle_sets(data, offsets, p.shingle)
+            sets += np.split(g, np.searchsorted(r, np.arange(1, y - x)))
+        n = np.zeros(len(cid), np.int64)
+        if i == j:                                   # whole components, or one block with itself
+            order = np.argsort(c, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(c[order])) + 1):
+                own = [sets[k] for k in part]
+                n[part] = links_between(own + own, len(own), p.percent)[0] - 1
+        else:
+            one, two = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+            n[one], n[two] = links_between([sets[k] for k in [*one, *two]], len(one), p.percent)
+        return pa.table({"cid": pa.array(cid), "n": pa.array(n)})
+
+    size = saved(comp.groupBy("c").agg(F.count(F.lit(1)).alias("size")), "jaccard_sizes")
+    small = size.where(F.col("size") <= p.block).agg(F.sum("size")).first()[0] or 0
+    deals, blocks = bucket_count(small, p.block), F.ceil(F.col("size") / p.block).cast("int")
+    mine = F.pmod(F.xxhash64("cid", F.lit(1)), blocks).cast("int")
+    tasks = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(
+        F.least("mine", k).alias("i"), F.greatest("mine", k).alias("j")))
+    dealt = (comp.withColumnRenamed("v", "cid").join(size, "c").withColumn("mine", mine)
+             .withColumn("deal", F.when(blocks > 1, F.col("c")).otherwise(F.pmod(F.xxhash64("c"), F.lit(deals))))
+             .withColumn("big", blocks > 1).withColumn("t", F.explode(tasks))
+             .select("cid", "c", "deal", "big", "mine", "t.i", "t.j"))
+    return (dealt.join(texts.dropDuplicates(["cid"]), "cid").groupBy("deal", "big", "i", "j")
+            .applyInArrow(count, "cid long, n long").groupBy("cid").agg(F.sum("n").alias("n_links")))
+
+
+def near_duplicates(documents: DataFrame, p: JaccardParams | None = None, links: bool = True) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id, n_links) of every document row.
 
     Words are runs of non-space bytes, A-Z lower-cased.  Two documents link when
     100 * |intersection| >= percent * |union| of their shingle sets.
     ``component_id`` is the smallest doc_id reachable by links, itself
-    included; ``class_id`` names the shingle set; ``n_links`` counts the
-    verified links of the class (enough to span its component).  A document without
+    included; ``class_id`` names the shingle set; ``n_links`` counts all
+    other classes that link with the class (left out without ``links``).  A document without
     words or text is empty and links with nothing.  Rows with a null doc_id
     are returned with a null component and take no part; repeated rows are
     returned each; an empty table gives no rows; extra columns are ignored.
@@ -365,7 +457,7 @@ def near_duplicates(documents: DataFrame, p: JaccardParams | None = None) -> Dat
     lead = groups.select(F.col("gid").alias("g2"), F.col("lead").alias("b"))
     own = member.join(inside, "gid").select(F.col("cid").alias("a"), F.col("lead").alias("b"))
     left = runs.withColumn("lo", F.col("gid")).withColumn("hi", F.col("gid"))
-    links = None
+    found = None
     for turn in range(p.turns):
         pairs = (pivot_pairs(left, turn, p)
                  .join(of.select(F.col("gid").alias("g1"), F.col("cid").alias("a")), "g1")
@@ -373,19 +465,16 @@ def near_duplicates(documents: DataFrame, p: JaccardParams | None = None) -> Dat
         if turn == 0:
             pairs = pairs.unionByName(own)
         new = _verified_pairs(pairs, texts, p)
-        links = new if links is None else links.unionByName(new)
-        of, left, torn = _open(member, runs if turn == 0 else left, components(links))
+        found = new if found is None else found.unionByName(new)
+        of, left, torn = _open(member, runs if turn == 0 else left, components(found))
 
     # what the pivots left open, exhaustively
     m1 = of.select(F.col("gid").alias("g1"), F.col("cid").alias("a"), F.col("c").alias("ca"))
     m2 = of.select(F.col("gid").alias("g2"), F.col("cid").alias("b"), F.col("c").alias("cb"))
     rest = (open_pairs(left, p).unionByName(torn.select(F.col("gid").alias("g1"), F.col("gid").alias("g2")))
             .join(m1, "g1").join(m2, "g2").where("ca <> cb").select("a", "b"))
-    every = links.unionByName(_verified_pairs(rest, texts, p))
-    comp = components(every)
-
-    n_links = (every.select(F.col("a").alias("cid")).unionByName(every.select(F.col("b").alias("cid")))
-               .groupBy("cid").agg(F.count(F.lit(1)).alias("n_links")))
+    comp = components(found.unionByName(_verified_pairs(rest, texts, p)))
+    n_links = class_links(comp, texts, p) if links else comp.select(F.col("v").alias("cid"), F.lit(0).alias("n_links"))
     named = (classes.join(comp.withColumnRenamed("v", "cid"), "cid", "left")
              .withColumn("c", F.coalesce("c", "cid")))
     smallest = named.groupBy("c").agg(F.min("doc_id").alias("component_id"))
@@ -393,8 +482,9 @@ def near_duplicates(documents: DataFrame, p: JaccardParams | None = None) -> Dat
     final = saved(named.select("cid", "c").join(smallest, "c").join(n_links, "cid", "left")
                   .select("cid", "component_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")),
                   "jaccard_classes_out")
-    return (rows.join(final, "cid", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") == 0, F.col("doc_id")).otherwise(
-                        F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).alias("component_id"),
-                    F.col("cid").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")))
+    out = (rows.join(final, "cid", "left")
+           .select("doc_id", F.col("n").alias("n_shingles"),
+                   F.when(F.col("n") == 0, F.col("doc_id")).otherwise(
+                       F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).alias("component_id"),
+                   F.col("cid").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")))
+    return out if links else out.drop("n_links")

@@ -116,3 +116,32 @@ def test_components_of_paths_stars_and_rings(spark):
     c = {r.v: r.c for r in components(df).collect()}
     assert {c[k] for k in range(100, 161)} == {100} and {c[k] for k in [7, *range(300, 340)]} == {7}
     assert {c[k] for k in range(400, 420)} == {400} and 9 not in c
+
+
+def all_links(rows):
+    """Other shingle sets similar to the set of each doc_id."""
+    sets = {i: shingles(t) for i, t, *_ in rows if i is not None}
+    distinct = {s for s in sets.values() if s}
+    return {i: sum(1 for t in distinct if t != s and 100 * len(s & t) >= 75 * len(s | t)) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("block", [7, 2048])
+def test_links_equal_all_pairs(spark, block):
+    """A large group in one block and in several, chains, copies, repeated rows."""
+    r = random.Random(8)
+    base = prose(77, 150).split(" ")
+    rows = chains(3) + [(1000 + k, _edited(r, base, r.choice([1, 1, 2, 4]))) for k in range(70)]
+    rows += [(2000 + k, rows[-1][1]) for k in range(5)] + rows[-3:]
+    found = jaccard.near_duplicates(documents(spark, rows), jaccard.JaccardParams(block=block))
+    assert got(found) == brute(rows)
+    want = all_links(rows)
+    assert max(want.values()) > 40 and {(x.doc_id, x.n_links) for x in found.collect()} == set(want.items())
+
+
+def test_common_counts_equal_plain_intersections():
+    r = np.random.default_rng(5)
+    for width in (30, 5000):                                    # by products only; by pairs too
+        sets = [np.unique(r.integers(0, width, r.integers(0, 400))).astype(np.uint64) for _ in range(40)]
+        g, row = np.concatenate(sets), np.repeat(np.arange(40), [len(s) for s in sets])
+        want = [[len(np.intersect1d(x, y)) for y in sets[15:]] for x in sets[:15]]
+        assert jaccard.common_counts(g, row, 15, 25).tolist() == want
