@@ -5,7 +5,9 @@ bin keeps its residual and two bitmaps, of the sources and the duplicate
 clusters it holds.  Pieces are placed largest first: the bins are ordered by
 residual, the search starts at the tightest bin that is large enough and
 goes on to its successors until one has neither the piece's source nor its
-cluster; else a new bin is opened.
+cluster; else a new bin is opened.  A cluster is a component of near
+duplicates (the Jaccard join with its parameters), so near copies never share
+a bin, whether they are alike themselves or by a chain of others.
 
 Scale: pieces are dealt by hash into shards of about ``shard_pieces`` pieces,
 each packed in one task, so a task's work does not grow with the input and a
@@ -24,8 +26,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import jaccard
 from .common import bucket_count, saved
-from .textcore import BASE, counts_of, mix, text_blocks, words
+from .textcore import counts_of, text_blocks, words
 
 
 @dataclass(frozen=True)
@@ -60,23 +63,21 @@ def best_fit(sizes, sources, clusters, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(documents: DataFrame, capacity: int) -> DataFrame:
-    """(doc_id, source, cluster, piece, start_word, end_word, n_tokens).
+    """(doc_id, source, same, piece, start_word, end_word, n_tokens).
 
-    A document longer than a bin is cut into full bins and a rest.  The
-    cluster is a hash of the document's words in lower case.
+    A document longer than a bin is cut into full bins and a rest.  ``same``
+    is a hash of the text, null without words.
     """
-    src = documents.select("doc_id", F.col("source").cast("string").alias("source"), "text")
+    src = documents.select("doc_id", F.col("source").cast("string").alias("source"), "text",
+                           F.xxhash64("text").alias("same"))
     kind = src.schema["doc_id"].dataType.simpleString()
     room = capacity - 1
 
     def cut(batches):
         for b in batches:
             for i, j, data, offsets in text_blocks(b):
-                _, _, row, h = words(data, offsets)
+                _, _, row, _ = words(data, offsets)
                 n = counts_of(row, j - i)
-                pos = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)).astype(np.uint64)
-                cluster = np.zeros(j - i, np.uint64)
-                np.add.at(cluster, row, mix(h + pos * BASE))
                 k = np.maximum(1, -(-n // room))
                 own = np.repeat(np.arange(j - i), k)
                 piece = np.arange(len(own)) - np.repeat(np.cumsum(k) - k, k)
@@ -85,21 +86,32 @@ def pieces(documents: DataFrame, capacity: int) -> DataFrame:
                 take = pa.array(own + i)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(take), b.column(1).take(take),
-                     pa.array(mix(cluster + n.astype(np.uint64)).view(np.int64)[own], mask=n[own] == 0),
+                     pa.array(b.column(3).to_numpy()[own + i], mask=n[own] == 0),
                      pa.array(piece.astype(np.int32)), pa.array(start), pa.array(end),
                      pa.array((end - start + 1).astype(np.int32))],
-                    ["doc_id", "source", "cluster", "piece", "start_word", "end_word", "n_tokens"])
+                    ["doc_id", "source", "same", "piece", "start_word", "end_word", "n_tokens"])
 
-    return src.mapInArrow(cut, f"doc_id {kind}, source string, cluster long, piece int, start_word long, "
+    return src.mapInArrow(cut, f"doc_id {kind}, source string, same long, piece int, start_word long, "
                                "end_word long, n_tokens int")
 
 
+def clusters(documents: DataFrame) -> DataFrame:
+    """(same, cluster): the near-duplicate component of every text with words.
+
+    The texts' hashes stand in for ids, so rows without an id and ids with
+    several texts take part like all others.
+    """
+    texts = documents.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("doc_id"), "text")
+    return (jaccard.near_duplicates(texts, links=False).where("n_shingles > 0")
+            .groupBy(F.col("doc_id").alias("same")).agg(F.min("component_id").alias("cluster")))
+
+
 def pack(documents: DataFrame, p: PackParams | None = None) -> DataFrame:
     """(doc_id, source, cluster, piece, start_word, end_word, n_tokens, bin_id, bin_offset).
 
     Every piece of every document is in exactly one bin; no bin holds more
     than ``capacity`` tokens, two pieces of one source, or two of one cluster (so
-    exact copies and pieces of one document never share a bin).  Null
+    copies, near copies and pieces of one document never share a bin).  Null
     sources conflict with nothing; null and empty texts are one piece of one
     token without a cluster; repeated rows are packed each; an empty table
     gives no rows; extra columns are ignored.
@@ -107,6 +119,9 @@ def pack(documents: DataFrame, p: PackParams | None = None) -> DataFrame:
     p = p or PackParams()
     rows = saved(pieces(documents, p.capacity), "pack_pieces")
     shards = bucket_count(rows.count(), p.shard_pieces)
+    # both written, so that a text with very many copies is an ordinary skewed join
+    rows = (rows.join(saved(clusters(documents), "pack_clusters"), "same", "left")
+            .select("doc_id", "source", "cluster", *rows.columns[3:]))
     shard = F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(shards)).cast("int")
 
     def fill(table: pa.Table) -> pa.Table:

@@ -75,3 +75,15 @@ def test_hot_source_and_copies_are_spread(spark):
 
 def test_empty_table(spark):
     assert packing.pack(documents(spark, [(1, "x")]).where("false")).count() == 0
+
+
+def test_near_copies_of_different_sources_never_share_a_bin(spark):
+    rows = []
+    for k in range(30):
+        words = prose(900 + k, 60).split(" ")
+        rows += [(10 * k, " ".join(words), "en", "a"), (10 * k + 1, " ".join([*words[:30], "other", *words[31:]]), "en", "b"),
+                 (None, " ".join([*words, "an", "added", "line"]), "en", "c")]
+    out = packing.pack(documents(spark, rows), PackParams(capacity=1024)).collect()
+    assert len(out) == 90 and len({r.cluster for r in out}) == 30
+    assert max(Counter((r.bin_id, r.cluster) for r in out).values()) == 1
+    assert all(len({r.cluster for r in out if r.doc_id in (10 * k, 10 * k + 1)}) == 1 for k in range(30))
