@@ -9,7 +9,8 @@ cluster; else a new bin is opened.  A cluster is a component of near
 duplicates (the Jaccard join with its parameters), so near copies never share
 a bin, whether they are alike themselves or by a chain of others.
 
-Scale: pieces are dealt by hash into shards of about ``shard_pieces`` pieces,
+Scale: pieces are dealt by hash, with a number that differs between repeated
+rows and is written with them, into shards of about ``shard_pieces`` pieces,
 each packed in one task, so a task's work does not grow with the input and a
 source with a third of all rows is spread evenly over the shards.  Bins never
 cross shards; the cost is a few partly filled bins per shard.
@@ -117,12 +118,12 @@ def pack(documents: DataFrame, p: PackParams | None = None) -> DataFrame:
     gives no rows; extra columns are ignored.
     """
     p = p or PackParams()
-    rows = saved(pieces(documents, p.capacity), "pack_pieces")
+    rows = saved(pieces(documents, p.capacity).withColumn("salt", F.monotonically_increasing_id()), "pack_pieces")
     shards = bucket_count(rows.count(), p.shard_pieces)
     # both written, so that a text with very many copies is an ordinary skewed join
     rows = (rows.join(saved(clusters(documents), "pack_clusters"), "same", "left")
             .select("doc_id", "source", "cluster", *rows.columns[3:]))
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64("doc_id", "piece", "cluster", "salt"), F.lit(shards)).cast("int")
 
     def fill(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by([(c, "ascending") for c in ("doc_id", "piece", "cluster", "source")])
@@ -130,10 +131,10 @@ def pack(documents: DataFrame, p: PackParams | None = None) -> DataFrame:
                  for c in ("source", "cluster")]
         got = best_fit(table["n_tokens"].to_pylist(), *codes, p.capacity)
         first = table["shard"][0].as_py() << 20
-        return (table.drop_columns("shard")
+        return (table.drop_columns(["shard", "salt"])
                 .append_column("bin_id", pa.array([first + b for b, _ in got], pa.int64()))
                 .append_column("bin_offset", pa.array([o for _, o in got], pa.int32())))
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.drop("salt").schema.fields)
     return (rows.withColumn("shard", shard).groupBy("shard")
             .applyInArrow(fill, schema + ", bin_id long, bin_offset int"))

@@ -87,3 +87,10 @@ def test_near_copies_of_different_sources_never_share_a_bin(spark):
     assert len(out) == 90 and len({r.cluster for r in out}) == 30
     assert max(Counter((r.bin_id, r.cluster) for r in out).values()) == 1
     assert all(len({r.cluster for r in out if r.doc_id in (10 * k, 10 * k + 1)}) == 1 for k in range(30))
+
+
+def test_repeated_rows_are_dealt_over_the_shards(spark):
+    rows = [(None, None)] * 400 + [(7, prose(1, 20))] * 400 + [(100 + k, prose(50 + k, 20)) for k in range(200)]
+    out = packing.pack(documents(spark, rows), PackParams(capacity=64, shard_pieces=100)).collect()
+    per = Counter(r.bin_id >> 20 for r in out)
+    assert len(out) == 1000 and len(per) == 10 and max(per.values()) < 200
