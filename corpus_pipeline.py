@@ -27,13 +27,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar documents stays, the one with
-    the smallest id; rows without an id stay (operator 4)."""
+    the smallest id; rows without an id stay (operator 4).  An id with several
+    texts is several documents, decided each by its own component."""
     arrow_rows(spark)
-    found = jaccard.near_duplicates(docs)
-    gone = saved(found.where("doc_id <> component_id").select("doc_id").distinct(), "pipeline_gone")
-    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    one = Window.partitionBy("doc_id", spread).orderBy("text")
-    left = docs.join(gone, "doc_id", "left_anti")
+    both = F.struct("doc_id", F.xxhash64("text").alias("same"))
+    found = jaccard.near_duplicates(
+        docs.select(F.when(F.col("doc_id").isNotNull(), both).alias("doc_id"), "text"), links=False)
+    gone = saved(found.where("doc_id <> component_id").select("doc_id.doc_id", "doc_id.same").distinct(),
+                 "pipeline_gone")
+    one = Window.partitionBy("doc_id", "same").orderBy("text")
+    left = docs.withColumn("same", F.xxhash64("text")).join(gone, ["doc_id", "same"], "left_anti")
     return (left.withColumn("_r", F.row_number().over(one))
             .where(F.col("doc_id").isNull() | (F.col("_r") == 1)).select(*docs.columns))
 

@@ -64,3 +64,11 @@ def test_empty_documents(spark, corpus):
     for _, stage in cp.STAGES:
         docs = cp.saved(stage(spark, docs, corpus[0]), "t")
         assert docs.count() == 0
+
+
+def test_a_repeated_id_with_other_texts_loses_only_near_duplicates(spark):
+    a, b, c = prose(1, 80), prose(2, 80), prose(3, 80)
+    rows = [(1, a), (5, b), (5, a + " tail"), (6, b + " tail"), (7, c), (7, prose(4, 80)), (7, c), (None, c), (None, c)]
+    kept = cp.near_duplicate_stage(spark, documents(spark, rows), "").select("doc_id", "text").collect()
+    want = [(1, a), (5, b), (7, c), (7, prose(4, 80)), (None, c), (None, c)]
+    assert sorted(map(repr, map(tuple, kept))) == sorted(map(repr, want))
