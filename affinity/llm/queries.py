@@ -9,7 +9,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, langid, packing, quality, suffixes, topk, toxicity, urls
+from . import (
+    audit,
+    chat,
+    decontaminate,
+    jaccard,
+    langid,
+    licenses,
+    merkle,
+    packing,
+    quality,
+    suffixes,
+    topk,
+    toxicity,
+    urls,
+)
 from .common import arrow_rows
 
 
@@ -59,4 +73,16 @@ def op10_toxicity(spark, d):
     return toxicity.toxicity_scores(_table(spark, d, "documents"), _table(spark, d, "labels"))
 
 
+def op11_license_scan(spark, d):
+    return licenses.scan(_table(spark, d, "documents"))
+
+
+def op12_filter_audit(spark, d):
+    return audit.audit(_table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
+def op13_merkle_manifest(spark, d):
+    return merkle.verify(_table(spark, d, "documents"))
+
+
 QUERIES = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
