@@ -147,7 +147,8 @@ def manifest(docs: DataFrame, tampered: Column | None = None, fanout: int = FANO
         tampered.isNotNull(), leaf_of(*fields[:-1], tampered))
     group = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
     leaves = docs.select("doc_id", "source", group.alias("g"), leaf_of(*fields).alias("leaf"), other.alias("other"))
-    placed = positions(leaves, "g", ("doc_id", "leaf"), "merkle_leaves")
+    # written before the range shuffle, which reads its input twice: the texts are read once
+    placed = positions(saved(leaves, "merkle_digests"), "g", ("doc_id", "leaf"), "merkle_leaves")
     kids = F.sort_array(F.collect_list(F.struct("idx", "doc_id", "source", "leaf", "other")))
     runs = placed.groupBy("g", F.floor(F.col("idx") / fanout).alias("i")).agg(
         kids.alias("kids"), F.first("n").alias("leaves"))
