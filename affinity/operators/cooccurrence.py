@@ -5,7 +5,7 @@ event's user x item matrix and B any event's (A included), the job scores
 every (primary item x, B item y) pair by the LLR of how often users who have
 x also have y, and keeps the top-k partners per (event, x).
 
-The plan is a handful of shuffles on edge tables plus one pair aggregation:
+The plan is a handful of shuffles on edge tables plus one blocked product:
 
 1. primary event = first configured event type with data (scalar subquery);
 2. U = users with >= min_events primary items, N = |U| (scalar subquery);
@@ -16,10 +16,13 @@ The plan is a handful of shuffles on edge tables plus one pair aggregation:
    (counts before sampling); ``sampling_report`` counts what that drops;
 4. users per item (a for A, b for B), carried on the edges so the pair table
    never joins a count table;
-5. A join B on user.  A'A is counted for x < y and mirrored.  A user's pair
-   work is split over a grid of (primary bucket, other bucket) keys once either list is
-   long, so no key holds more than hot_user_items**2 pairs;
-6. ONE group by (event, x, y) with map-side partial aggregation -> k11;
+5. A'B block by block of users (``pairs``), counts combined in task memory
+   before they are shuffled as arrays.  A user's pair
+   work is split over a grid of (primary bucket, other bucket) cells once either list is
+   long, so no cell holds more than hot_user_items**2 pairs;
+6. where an event's items differ much in their users, the partners with most
+   users come first; the k-th score they give an item is the floor below which, by an exact bound,
+   the other partners are never paired;
 7. drop exactly independent pairs, LLR rounded to 5 places, ranked by
    (llr desc, partner id) with a row_number limit (window group limit).
 
@@ -36,11 +39,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.llr import independent, llr
-from ..functions.rounding import round_half_away
+from ..functions.llr import llr
 from ..functions.sampling import keep_sampled, sample_hash
 from ..params import CcoParams
 from ..session import stored
+from . import pairs
 
 EDGE = ("event", "user_id", "product_id")
 
@@ -100,8 +103,9 @@ def restricted(e: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def _item_counts(e: DataFrame, p: CcoParams, alias: str) -> DataFrame:
-    """(event, product_id, alias): users per item, as a table of its own."""
-    return _keep(e.groupBy("event", "product_id").agg(F.count(F.lit(1)).alias(alias)), p, alias)
+    """(event, product_id, alias[, work]): users per item, as a table of its own."""
+    work = [F.sum("n_all").alias("work")] if "n_all" in e.columns and alias == "n_item" else []
+    return _keep(e.groupBy("event", "product_id").agg(F.count(F.lit(1)).alias(alias), *work), p, alias)
 
 
 def downsample(r: DataFrame, p: CcoParams) -> DataFrame:
@@ -124,17 +128,18 @@ def downsample(r: DataFrame, p: CcoParams) -> DataFrame:
 
 
 def with_item_counts(s: DataFrame, p: CcoParams) -> DataFrame:
-    """Attach users-per-item after sampling (``n_item``) to each edge."""
+    """Attach users-per-item after sampling (``n_item``) to each edge, and the
+    pairs the item takes part in (``work``) where the edges know ``n_all``."""
     return s.join(_item_counts(s, p, "n_item"), ["event", "product_id"])
 
 
 @dataclass(frozen=True)
 class Restricted:
-    """The edges of the primary users, the primary event and N."""
+    """The edges of the primary users, the primary event and the users."""
 
     edges: DataFrame
     primary: Column
-    n_users: Column
+    users: DataFrame
 
 
 def restrict(triples: DataFrame, p: CcoParams) -> Restricted:
@@ -143,7 +148,7 @@ def restrict(triples: DataFrame, p: CcoParams) -> Restricted:
     primary = primary_event(e, p)
     users = _keep(_primary_user_counts(e, primary, p), p, "cco_users")
     r = _keep(restricted(e, users), p, "cco_restricted")
-    return Restricted(r, primary, users.select(F.count(F.lit(1))).scalar())
+    return Restricted(r, primary, users)
 
 
 def sampled_edges(triples: DataFrame, p: CcoParams) -> DataFrame:
@@ -165,57 +170,115 @@ def _grid(length: Column, p: CcoParams) -> Column:
     return F.greatest(F.lit(1), F.ceil(length / F.lit(p.hot_user_items))).cast("int")
 
 
-def pair_rows(r: Restricted, p: CcoParams, only: str | None = None) -> DataFrame:
-    """(ev, x, y, a, b): one row per user and co-occurring pair, before counting.
+def _total(by_event: str) -> Column:
+    return F.aggregate(F.map_values(by_event), F.lit(0).cast("long"), lambda s, x: s + x)
 
-    ``only`` restricts the partner events to the ``primary`` or the ``cross`` ones.
-    Pairs of the primary event come once, with x < y.
+
+@dataclass(frozen=True)
+class Sides:
+    """Both matrices as edges, the number of users and of blocks, and whether
+    an item has more pairs than a block.
+
+    primary: user_id, x, a, parts, n_primary, n_all; partners: ev, user_id, y, b, own, n_primary, n_all.
     """
-    # Pair rows carry the event as its small integer position (cheaper to
-    # hash, sort and shuffle than the name); the name is restored at the end.
-    code = _by_event(F.col("event"), {name: i for i, name in enumerate(p.names)})
-    total = F.aggregate(F.map_values("n_by_event"), F.lit(0).cast("long"), lambda s, x: s + x)
-    s = downsample(r.edges.withColumn("n_all", total), p)
-    s = _keep(s, p, "cco_sampled")
+
+    primary: DataFrame
+    partners: DataFrame
+    n_users: int
+    blocks: int
+    split_items: bool
+
+    @property
+    def item(self):
+        return self.primary.schema["x"].dataType
+
+
+def sides(triples: DataFrame, p: CcoParams, only: str | None = None) -> Sides:
+    """The counted edges.  ``only`` restricts the partner events to the ``primary``
+    or the ``cross`` ones."""
+    r = restrict(triples, p)
+    # Edges carry the event as its small integer position (cheaper to move than the
+    # name); the name is restored at the end.
+    code = _by_event(F.col("event"), {name: i for i, name in enumerate(p.names)}, "tinyint")
+    s = _keep(downsample(r.edges.withColumn("n_all", _total("n_by_event")), p), p, "cco_sampled")
     s = _keep(with_item_counts(s, p).select(
-        code.alias("ev"), "user_id", "product_id", "n_item", "n_primary", "n_all",
-        (F.col("event") == r.primary).alias("is_primary")), p, "cco_counted")
+        code.alias("ev"), "user_id", "product_id", "n_item", "work", "n_primary", "n_all",
+        (F.col("event") == r.primary).alias("own")), p, "cco_counted")
+    n, work = r.users.agg(F.count(F.lit(1)), F.sum(F.col("n_primary") * _total("n_by_event"))).first()
+    parts = F.ceil(F.col("work") / p.block_pairs)
+    a = s.where("own").select("user_id", F.col("product_id").alias("x"), F.col("n_item").alias("a"),
+                              parts.alias("parts"), "n_primary", "n_all")
+    b = s if only is None else s.where("own" if only == "primary" else "not own")
+    b = b.select("ev", "user_id", F.col("product_id").alias("y"), F.col("n_item").alias("b"), "own",
+                 "n_primary", "n_all")
+    most = s.where("own").agg(F.max("work")).first()[0] or 0
+    return Sides(a, b, n, max(1, -(-(work or 0) // p.block_pairs)), most > p.block_pairs)
+
+
+def _product(s: Sides, primary: DataFrame, partners: DataFrame, p: CcoParams) -> DataFrame:
+    """Packed pair counts.  ``primary`` may carry ``floor``, a score per event."""
     # Both lists of a user are hashed into buckets of about hot_user_items;
     # each side is copied to the other side's buckets.
     na, nb = _grid(F.col("n_primary"), p), _grid(F.col("n_all"), p)
-    item = F.xxhash64("product_id")
-    a_side = s.where("is_primary").select(
-        "user_id", F.col("product_id").alias("x"), F.col("n_item").alias("a"),
-        F.pmod(item, na).cast("int").alias("ba"), F.explode(F.sequence(F.lit(0), nb - 1)).alias("bb"))
-    partners = s if only is None else s.where("is_primary" if only == "primary" else "not is_primary")
-    b_side = partners.select(
-        "ev", "user_id", F.col("product_id").alias("y"), F.col("n_item").alias("b"), "is_primary",
-        F.pmod(item, nb).cast("int").alias("bb"), F.explode(F.sequence(F.lit(0), na - 1)).alias("ba"))
-    return (a_side.join(b_side, ["user_id", "ba", "bb"])
-            .where(~F.col("is_primary") | (F.col("x") < F.col("y")))
-            .select("ev", "x", "y", "a", "b", "is_primary"))
-
-
-def _pairs(triples: DataFrame, p: CcoParams, only: str | None = None) -> DataFrame:
-    """(ev, x, y, a, b, n, k11) with ``ev`` the event's position in ``p.names``."""
-    r = restrict(triples, p)
-    k = (pair_rows(r, p, only).groupBy("ev", "x", "y", "a", "b", "is_primary")
-         .agg(F.count(F.lit(1)).alias("k11")))
-    there = F.struct("x", "y", "a", "b")
-    back = F.struct(F.col("y").alias("x"), F.col("x").alias("y"), F.col("b").alias("a"), F.col("a").alias("b"))
-    both = F.when(F.col("is_primary"), F.array(there, back)).otherwise(F.array(there))
-    return (k.select("ev", "k11", F.explode(both).alias("d"))
-            .select("ev", "d.*", "k11", r.n_users.alias("n")))
+    block = F.pmod(F.xxhash64("user_id", "ba", "bb"), F.lit(s.blocks)).cast("int")
+    floor = F.col("floor") if "floor" in primary.columns else F.lit(None).cast("array<double>")
+    a = primary.select("user_id", "x", "a", "parts", floor.alias("floor"),
+                       F.pmod(F.xxhash64("x"), na).cast("int").alias("ba"),
+                       F.explode(F.sequence(F.lit(0), nb - 1)).alias("bb")).withColumn("block", block)
+    # fresh attribute ids on one side: both come from one table
+    b = partners.select(F.col("user_id").alias("user_id"), "ev", "y", "b", "own",
+                        F.pmod(F.xxhash64("y"), nb).cast("int").alias("bb"),
+                        F.explode(F.sequence(F.lit(0), na - 1)).alias("ba")).withColumn("block", block)
+    return pairs.blocks_of(a, b, s.n_users, s.blocks, s.item)
+
+
+def _heads(s: Sides, p: CcoParams) -> dict[int, int]:
+    """Per event whose items differ much in their users: the users from which an item is
+    one of the partners counted first (a quarter of the partner edges)."""
+    if not p.prune:
+        return {}
+    q = s.partners.groupBy("ev").agg(F.percentile_approx("b", [0.25, 0.75]).alias("q"))
+    return {r.ev: r.q[1] for r in q.collect() if r.q[1] >= p.prune * r.q[0]}      # one row per event type
+
+
+def _ranked(scored: DataFrame, caps: dict[int, int]) -> DataFrame:
+    """The best partners of each event and item, over all of them."""
+    w = Window.partitionBy("ev", "x").orderBy(F.desc("llr"), F.asc("y"))
+    # The literal bound lets Spark insert a per-partition group limit before
+    # the shuffle; the per-event bound applies when caps differ.
+    top = scored.select("ev", "x", "y", "llr", F.row_number().over(w).alias("rank"))
+    top = top.where(F.col("rank") <= max(caps.values()))
+    return top if len(set(caps.values())) == 1 else top.where(F.col("rank") <= _by_event(F.col("ev"), caps))
+
+
+def _best(s: Sides, p: CcoParams) -> DataFrame:
+    """(ev, x, y, llr, rank): every item's best partners."""
+    caps = {i: ind.max_correlators for i, ind in enumerate(p.indicators)}
+
+    def scored(primary, partners):
+        return pairs.best(_product(s, primary, partners, p), s.n_users, s.blocks, caps, s.item)
+
+    heads = _heads(s, p)
+    if not heads:
+        top = scored(s.primary, s.partners)
+        if not s.split_items:
+            return top.drop("whole")
+        # only the items whose pairs are spread over buckets are ranked again
+        top = _keep(top, p, "cco_best")
+        return top.where("whole").drop("whole").unionByName(_ranked(top.where("not whole"), caps))
+    first = F.col("b") >= F.coalesce(_by_event(F.col("ev"), heads, "long"), F.lit(0))
+    top = _keep(_ranked(scored(s.primary, s.partners.where(first)), caps), p, "cco_heads")
+    # the score an item's last place has, where all its places are taken
+    floors = [F.max(F.when((F.col("ev") == i) & (F.col("rank") == k), F.col("llr"))) for i, k in caps.items()]
+    floors = _keep(top.groupBy("x").agg(F.array(*floors).alias("floor")), p, "cco_floors")
+    rest = scored(s.primary.join(floors, "x", "left"), s.partners.where(~first))
+    return _ranked(top.drop("rank").unionByName(rest.drop("rank", "whole")), caps)
 
 
 def _event_name(p: CcoParams) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in p.names]), F.col("ev") + 1)
 
 
-def _llr_col() -> Column:
-    return llr(F.col("k11"), F.col("a"), F.col("b"), F.col("n"))
-
-
 def cooccurrence_counts(triples: DataFrame, p: CcoParams) -> DataFrame:
     """(event, product_id, other_id, k11, a, b, n, llr) for every co-occurring pair.
 
@@ -223,10 +286,12 @@ def cooccurrence_counts(triples: DataFrame, p: CcoParams) -> DataFrame:
     The primary event's own diagonal (x = y) is excluded; cross events keep
     it.  ``llr`` is unrounded.
     """
-    return _pairs(triples, p).select(
+    s = sides(triples, p)
+    c = pairs.counts(_product(s, s.primary, s.partners, p), s.item).withColumn("n", F.lit(s.n_users).cast("long"))
+    return c.select(
         _event_name(p).alias("event"), F.col("x").alias("product_id"),
-        F.col("y").alias("other_id"), "k11", "a", "b", F.col("n").cast("long").alias("n"),
-        _llr_col().alias("llr"))
+        F.col("y").alias("other_id"), "k11", "a", "b", "n",
+        llr(F.col("k11"), F.col("a"), F.col("b"), F.col("n")).alias("llr"))
 
 
 def cross_occurrence(triples: DataFrame, p: CcoParams, only: str | None = None) -> DataFrame:
@@ -237,21 +302,5 @@ def cross_occurrence(triples: DataFrame, p: CcoParams, only: str | None = None)
     deterministic.  ``only`` = "primary" or "cross" computes just the primary
     event's own correlators or just the other events'.
     """
-    caps = {ind.name: ind.max_correlators for ind in p.indicators}
-    kmax = max(caps.values())
-    # The event name is restored before ranking: the ranking's partitioning
-    # (event, item) is then also the payload's grouping, so writing payloads
-    # needs no further shuffle.
-    scored = (_pairs(triples, p, only)
-              .where(~independent(F.col("k11"), F.col("a"), F.col("b"), F.col("n")))
-              .select(_event_name(p).alias("event"), "x", "y",
-                      round_half_away(_llr_col(), 5).alias("llr")))
-    w = Window.partitionBy("event", "x").orderBy(F.desc("llr"), F.asc("y"))
-    ranked = scored.withColumn("rank", F.row_number().over(w))
-    # The literal bound lets Spark insert a per-partition group limit before
-    # the shuffle; the per-event bound applies when caps differ.
-    ranked = ranked.where(F.col("rank") <= kmax)
-    if len(set(caps.values())) > 1:
-        ranked = ranked.where(F.col("rank") <= _by_event(F.col("event"), caps))
-    return ranked.select("event", F.col("x").alias("product_id"),
-                         F.col("y").alias("other_id"), "llr", "rank")
+    return _best(sides(triples, p, only), p).select(
+        _event_name(p).alias("event"), F.col("x").alias("product_id"), F.col("y").alias("other_id"), "llr", "rank")

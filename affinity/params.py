@@ -99,14 +99,19 @@ class CcoParams:
     ``min_events`` is the minimum number of distinct primary items a user
     needs; ``seed`` feeds the deterministic sampler; a user's item lists are
     dealt into buckets of ``hot_user_items``, and pair work is split by pair of
-    buckets; ``checkpoint`` writes the edge and count tables that several
-    branches of the plan read (see ``session.stored``).
+    buckets; ``block_pairs`` is the number of pairs a task multiplies or adds up;
+    ``prune``: an event's partners are counted in two passes if the third quartile of
+    their users is at least this many times the first (0: never); ``checkpoint`` writes the
+    edge and count tables that several branches of the plan read (see ``session.stored``).
+    None of the last four changes a result.
     """
 
     indicators: tuple[Indicator, ...] = field(default_factory=indicator_params)
     min_events: int = 1
     seed: int = CCO_SEED
     hot_user_items: int = 500
+    block_pairs: int = 1 << 20
+    prune: float = 3.0
     checkpoint: bool = True
 
     @property
