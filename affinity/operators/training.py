@@ -55,8 +55,11 @@ def item_event_uv(daily: DataFrame, start=None, end=None) -> DataFrame:
         F.sum("event_uv").cast("double").alias("event_uv"))
 
 
-def sql_read(spark: SparkSession, sql: str, views: dict[str, DataFrame]) -> DataFrame:
-    """Run SQL text over DataFrames registered as temporary views."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+def sql_read(spark: SparkSession, sql: str, tables: dict[str, DataFrame], values: dict | None = None) -> DataFrame:
+    """Run SQL text over DataFrames and values.
+
+    ``{name}`` in the text stands for a table of ``tables``, ``:name`` for a
+    value.  Values are bound, never pasted into the text, so a quote in one is
+    data; no view is left behind in the session.
+    """
+    return spark.sql(sql, args=values or {}, **tables)

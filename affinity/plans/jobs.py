@@ -26,7 +26,7 @@ from ..operators import etl, popularity, serving, similarity, training
 from ..operators.payload import corr_payload, similarity_payload
 from ..params import NEIGHBOURS, POPULARITY_DAYS, CcoParams, EtlParams, cco_default_params
 from ..session import CONF, apply_cluster_sizing, drop_stored, ensure_checkpoint_dir, ship_package
-from ..sources import sinks
+from ..sources import sinks, snapshots
 from ..sources.tables import read_catalogue, read_log_tables
 
 
@@ -40,6 +40,32 @@ def etl_job(spark: SparkSession, logs_root: str, out: str, p: EtlParams, day=Non
     drop_stored(spark)
 
 
+def etl_backfill(spark: SparkSession, logs_root: str, out: str, p: EtlParams, start, end, chunk_days: int = 7) -> int:
+    """Every day of a closed range, some days at a time; returns the days computed.
+
+    Each chunk's rows and the fact that its days are done (days without rows too)
+    are published together, so a run that broke goes on with the first day
+    that is not done, and a run over finished days reads no logs.
+    """
+    first, last = etl._as_date(start), etl._as_date(end)
+    table = snapshots.manifest(spark, out)
+    done = set(table["done"]) if table else set()
+    days = [d for d in (first + dt.timedelta(days=i) for i in range((last - first).days + 1)) if str(d) not in done]
+    logs, computed = None, 0
+    while days:
+        # a chunk is a run of consecutive days: one range for the scans
+        n = 1
+        while n < min(chunk_days, len(days)) and days[n] - days[n - 1] == dt.timedelta(days=1):
+            n += 1
+        chunk, days = days[:n], days[n:]
+        logs = logs or read_log_tables(spark, logs_root)
+        df = etl.daily_events(logs, p, None, chunk[0], chunk[-1])
+        sinks.write_daily_events(df, out, done=tuple(str(d) for d in chunk))
+        computed += n
+    drop_stored(spark)
+    return computed
+
+
 def cco_job(spark: SparkSession, daily_path: str, out: str, end, lookback_days: int,
             p: CcoParams | None = None) -> None:
     """Correlators of the ``lookback_days`` before ``end`` (both included).
@@ -47,7 +73,7 @@ def cco_job(spark: SparkSession, daily_path: str, out: str, end, lookback_days:
     Exact unless ``p`` sets caps; then the edges they drop are reported.
     """
     p = p or CcoParams()
-    daily = spark.read.parquet(daily_path)
+    daily = snapshots.read(spark, daily_path)
     triples = training.training_lookback(daily, end, lookback_days, p.names)
     sinks.write_corr(corr_payload(cco.cross_occurrence(triples, p)), out)
     if any(i.max_events is not None for i in p.indicators):
@@ -58,7 +84,7 @@ def cco_job(spark: SparkSession, daily_path: str, out: str, end, lookback_days:
 
 def popularity_job(spark: SparkSession, daily_path: str, out: str, end,
                    days: int = POPULARITY_DAYS) -> None:
-    daily = spark.read.parquet(daily_path)
+    daily = snapshots.read(spark, daily_path)
     sinks.write_popularity(popularity.popularity_table(daily, end, days), out)
 
 
@@ -72,11 +98,11 @@ def similarity_job(spark: SparkSession, catalogue_root: str, out: str,
 def serving_job(spark: SparkSession, catalogue_root: str, corr_path: str, pop_path: str,
                 sim_path: str, out: str, update_time: str) -> DataFrame:
     cat = read_catalogue(spark, catalogue_root)
-    corr = spark.read.parquet(corr_path).selectExpr(
+    corr = snapshots.read(spark, corr_path).selectExpr(
         "event", "CAST(product_id AS BIGINT) AS product_id", "corr_payload")
-    pop = spark.read.parquet(pop_path).selectExpr(
+    pop = snapshots.read(spark, pop_path).selectExpr(
         "CAST(product_id AS BIGINT) AS product_id", "* EXCEPT (product_id)")
-    sim = spark.read.parquet(sim_path).selectExpr(
+    sim = snapshots.read(spark, sim_path).selectExpr(
         "CAST(product_id AS BIGINT) AS product_id", "cat_path", "text_corr_payload")
     rows = serving.serving_table(serving.outcome(cat.products, corr, update_time), pop, sim)
     sinks.write_serving(rows, out)
@@ -105,6 +131,8 @@ def main(argv=None) -> None:
     e.add_argument("--end")
     e.add_argument("--sites", required=True, help="comma-separated site allow-list")
     e.add_argument("--append", action="store_true")
+    e.add_argument("--backfill", action="store_true",
+                   help="days from --start to --end that are not done yet, a week at a time")
     e.add_argument("--time-zone", default="UTC", help="zone of the logs' calendar days")
     c = sub.add_parser("cco")
     c.add_argument("--daily", required=True)
@@ -128,7 +156,11 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = _session()
     if a.job == "etl":
-        etl_job(spark, a.logs, a.out, EtlParams(sites=tuple(a.sites.split(",")), time_zone=a.time_zone), a.day,
+        p = EtlParams(sites=tuple(a.sites.split(",")), time_zone=a.time_zone)
+        if a.backfill:
+            print(f"{etl_backfill(spark, a.logs, a.out, p, a.start, a.end)} days computed")
+            return
+        etl_job(spark, a.logs, a.out, p, a.day,
                 a.start, a.end, "append" if a.append else "overwrite")
     elif a.job == "cco":
         cco_job(spark, a.daily, a.out, a.end, a.lookback,

@@ -23,7 +23,7 @@ from ..operators.payload import corr_payload, similarity_payload
 from ..params import CcoParams, EtlParams, Indicator, cco_default_params
 from ..session import materialize, remove_dir, shared_dir
 from ..sources import adapters as ad
-from ..sources import sinks
+from ..sources import sinks, snapshots
 
 # -- parameters of the checks -----------------------------------------------
 EVENTS_END = dt.date(2024, 1, 31)       # end of the popularity and lookback windows
@@ -42,7 +42,7 @@ ETL_PARAMS = EtlParams(sites=ad.ORDERS_SITES, position_regex=ad.ORDERS_POSITION_
                        order_status_deny=ad.ORDERS_STATUS_DENY)
 UV_SQL = (
     "SELECT event, product_id, CAST(sum(event_uv) AS DOUBLE) AS event_uv "
-    "FROM customer_daily_events WHERE event IS NOT NULL AND product_id IS NOT NULL "
+    "FROM {customer_daily_events} WHERE event IS NOT NULL AND product_id IS NOT NULL "
     "GROUP BY event, product_id")
 
 
@@ -95,7 +95,7 @@ def q_daily_events_backfill(spark, d):
 
 def _read_back(spark, path, *columns):
     """The sink's content as a checkpointed table; the sink's folder goes."""
-    back = materialize(spark.read.parquet(path).select(*columns))
+    back = materialize(snapshots.read(spark, path).select(*columns))
     remove_dir(spark, path)
     return back
 
@@ -160,8 +160,9 @@ def q_item_user_counts(spark, d):
     s = cco.sampled_edges(_triples(spark, d), CcoParams())
     per_user = s.groupBy("event", "user_id").agg(F.count(F.lit(1)).alias("n")).select(
         "event", F.lit("user").alias("axis"), F.col("user_id").alias("id"), "n")
-    per_item = s.groupBy("event", "product_id").agg(F.count(F.lit(1)).alias("n")).select(
-        "event", F.lit("item").alias("axis"), F.col("product_id").alias("id"), "n")
+    # the counts as they travel on the edges, one row per item
+    per_item = cco.with_item_counts(s, CcoParams()).select(
+        "event", F.lit("item").alias("axis"), F.col("product_id").alias("id"), F.col("n_item").alias("n")).distinct()
     return per_user.unionByName(per_item)
 
 

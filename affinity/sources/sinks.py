@@ -1,7 +1,8 @@
 """Table writers.
 
-Every table is Parquet.  Partitioned tables are written with dynamic
-partition overwrite, so a rerun replaces exactly the partitions present in
+Every table is a versioned Parquet table (``snapshots``): readers see the old
+rows until a write is complete, and a failed write leaves them.  In partitioned tables a
+rerun replaces exactly the partitions present in
 the batch and leaves the others (a rerun of one day does not duplicate it;
 ``mode="append"`` restores the original append behaviour).  Columns are
 selected in the declared order before each write.
@@ -15,41 +16,30 @@ from pyspark.sql import functions as F
 from ..operators.etl import DAILY_EVENT_COLUMNS, DAY
 from ..operators.serving import SERVING_COLUMNS
 from ..operators.popularity import POPULARITY_COLUMNS
+from .snapshots import publish
 
 
-def _write(df: DataFrame, path: str, mode: str, partition: str | None = None) -> None:
-    if partition is not None:
-        # Rebalance on the partition column: AQE cuts each partition value
-        # into evenly sized tasks (a large day is split, small ones merged),
-        # so each value gets a few well-sized files, not one per task.
-        df = df.hint("rebalance", partition)
-    w = df.write.mode(mode)
-    if partition is not None:
-        w = w.partitionBy(partition).option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
-
-
-def write_daily_events(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Daily events partitioned by day."""
-    _write(df.select(*DAILY_EVENT_COLUMNS), path, mode, DAY)
+def write_daily_events(df: DataFrame, path: str, mode: str = "overwrite", done: tuple[str, ...] = ()) -> None:
+    """Daily events partitioned by day; ``done``: the days a backfill has finished with it."""
+    publish(df.select(*DAILY_EVENT_COLUMNS), path, DAY, mode, done)
 
 
 def write_corr(payloads: DataFrame, path: str, mode: str = "overwrite") -> None:
     """(product_id string, corr_payload) partitioned by event."""
-    _write(payloads.select(F.col("product_id").cast("string").alias("product_id"),
-                           "corr_payload", "event"), path, mode, "event")
+    publish(payloads.select(F.col("product_id").cast("string").alias("product_id"),
+                            "corr_payload", "event"), path, "event", mode)
 
 
 def write_popularity(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     cols = [F.col("product_id").cast("string").alias("product_id")] + list(POPULARITY_COLUMNS[1:])
-    _write(df.select(*cols), path, mode)
+    publish(df.select(*cols), path, mode=mode)
 
 
 def write_similarity(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """(product_id string, cat_path, text_corr_payload)."""
-    _write(df.select(F.col("product_id").cast("string").alias("product_id"), "cat_path",
-                     "text_corr_payload"), path, mode)
+    publish(df.select(F.col("product_id").cast("string").alias("product_id"), "cat_path",
+                      "text_corr_payload"), path, mode=mode)
 
 
 def write_serving(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    _write(df.select(*SERVING_COLUMNS), path, mode)
+    publish(df.select(*SERVING_COLUMNS), path, mode=mode)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from affinity.operators import etl
 from affinity.params import EtlParams
 from affinity.session import shared_dir
-from affinity.sources import sinks
+from affinity.sources import sinks, snapshots
 from affinity.sources.tables import LogTables
 
 DAY = dt.date(2018, 11, 20)
@@ -62,12 +62,12 @@ def test_rerun_day_overwrite_and_append(spark):
     path = shared_dir(spark, "test-daily")
     sinks.write_daily_events(df, path)
     sinks.write_daily_events(df, path)
-    assert spark.read.parquet(path).count() == 10          # dynamic overwrite: unchanged
+    assert snapshots.read(spark, path).count() == 10          # dynamic overwrite: unchanged
     other = etl.daily_events(_logs(spark), P, day=DAY - dt.timedelta(1))
     sinks.write_daily_events(other, path)                  # another day is added, not replaced
-    assert spark.read.parquet(path).count() == 11
+    assert snapshots.read(spark, path).count() == 11
     sinks.write_daily_events(df, path, mode="append")
-    assert spark.read.parquet(path).count() == 21          # append doubles the day
+    assert snapshots.read(spark, path).count() == 21          # append doubles the day
 
 
 def test_order_day_bounds_reach_the_scan_in_any_zone(spark):
