@@ -1,6 +1,6 @@
 """Versioned Parquet tables: a write is seen whole or not at all.
 
-    path/data/[day=2024-01-01/]v=<id>/*.parquet    files of one write, never changed
+    path/data/v=<id>/[day=2024-01-01/]*.parquet    files of one write, never changed
     path/manifest/<number>.json                    the folders that make up the table
 
 A write adds folders under a new id and then one manifest, by a rename.  Until
@@ -19,7 +19,6 @@ import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Manifests kept, the newest included.
@@ -40,7 +39,7 @@ class _Folder:
         """Paths below the root that match, relative to it."""
         root = self.fs.makeQualified(self._path("")).toString().rstrip("/") + "/"
         found = self.fs.globStatus(self._path(pattern)) or []
-        return sorted(self.fs.makeQualified(s.getPath()).toString().removeprefix(root) for s in found)
+        return sorted(s.getPath().toString().removeprefix(root) for s in found)
 
     def read(self, name: str) -> str:
         stream = self.fs.open(self._path(name))
@@ -96,17 +95,12 @@ def publish(df: DataFrame, path: str, partition: str | None = None, mode: str =
         # AQE cuts each partition value into evenly sized tasks (a large day is split,
         # small ones merged), so each value gets a few well-sized files.
         df = df.hint("rebalance", partition)
-    (df.withColumn("v", F.lit(version[2:])).write.mode("append")
-     .partitionBy(*([partition] if partition else []), "v").parquet(f"{path}/data"))
-    if partition is None:
-        parts = {"": [version]} if folder.names(f"data/{version}") else {}
-        kept = old["parts"].get("", []) if mode == "append" else []
-        parts = {"": kept + parts.get("", [])}
-    else:
-        new = {n.split("/")[1]: version for n in folder.names(f"data/*/{version}")}
-        parts = dict(old["parts"])
-        for p, v in new.items():
-            parts[p] = (parts.get(p, []) if mode == "append" else []) + [v]
+    w = df.write.partitionBy(partition) if partition else df.write
+    w.parquet(f"{path}/data/{version}")
+    new = [n.split("/")[-1] for n in folder.names(f"data/{version}/{partition}=*")] if partition else [""]
+    parts = dict(old["parts"])
+    for p in new:
+        parts[p] = (parts.get(p, []) if mode == "append" else []) + [version]
     number = old["number"] + 1
     folder.create(f"manifest/{number:09d}.json", json.dumps(
         {"number": number, "partition": partition, "parts": parts, "done": sorted({*old["done"], *done}),
@@ -120,7 +114,7 @@ def _tidy(folder: _Folder, keep: int) -> None:
 
     def folders(names: list[str]) -> set[str]:
         tables = [json.loads(folder.read(n))["parts"] for n in names]
-        return {f"data/{p}/{v}" if p else f"data/{v}" for t in tables for p, vs in t.items() for v in vs}
+        return {f"data/{v}/{p}".rstrip("/") for t in tables for p, vs in t.items() for v in vs}
 
     # only what a dropped manifest named: another write's folders are not ours
     for name in folders(gone) - folders(kept):
@@ -135,7 +129,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     if m is None:
         return spark.read.parquet(path)
     schema = StructType.fromJson(m["schema"])
-    files = [f"{path}/data/{p}/{v}" if p else f"{path}/data/{v}" for p, vs in sorted(m["parts"].items()) for v in vs]
+    files = [f"{path}/data/{v}/{p}".rstrip("/") for p, vs in sorted(m["parts"].items()) for v in vs]
     if not files:
         return spark.createDataFrame([], schema)
     df = spark.read.schema(StructType(schema.fields).add("v", "string")).option("basePath", f"{path}/data").parquet(*files)
