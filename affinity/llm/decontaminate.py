@@ -17,6 +17,7 @@ every task of one scan over the whole documents.  Nothing else is collected.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -165,6 +166,15 @@ def score_bound(a: np.ndarray, b: np.ndarray, mismatch: float, gap: float) -> fl
     return float((total - np.minimum.accumulate(total)).max())
 
 
+def _slack(n: int, p: DecontamParams) -> int:
+    """Words an alignment of an item of n words may insert or leave out in all.
+
+    At most n words match, so beyond this many gaps the score is below the
+    threshold; seeds of one alignment differ by no more in where the item would begin.
+    """
+    return max(4, math.ceil((1 - p.threshold) * n / p.gap)) if p.gap > 0 else 1 << 40
+
+
 def align_block(items: Items, seeds: Items, rare: np.ndarray, bits: np.ndarray, h: np.ndarray, row: np.ndarray,
                 rows: int, p: DecontamParams):
     """Yield (row, item, score, end word) of every passage that reaches the threshold."""
@@ -183,7 +193,7 @@ def align_block(items: Items, seeds: Items, rare: np.ndarray, bits: np.ndarray,
     i = 0
     while i < len(r):
         w = items.words[item[i]]
-        slack = max(4, len(w) // 4)
+        slack = _slack(len(w), p)
         j = i + 1                                   # seeds of one passage lie close together
         while j < len(r) and r[j] == r[i] and item[j] == item[i] and start[j] - start[j - 1] <= slack:
             j += 1

@@ -6,15 +6,16 @@ from . import licenses, merkle
 
 OP9 = """
 WITH v AS (
-  SELECT DISTINCT vec_id,
+  SELECT vec_id,
          list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT DISTINCT * FROM v WHERE vec_id % 100 = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
          CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+  FROM q JOIN v c ON q.vec_id <> c.vec_id),
 r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rk FROM s)
 SELECT query_id, CAST(rk AS INTEGER) AS rank, vec_id, score FROM r WHERE rk <= 10

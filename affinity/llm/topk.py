@@ -33,15 +33,14 @@ def usable(df: DataFrame, id_col: str, vec_col: str, factor: int) -> DataFrame:
     """(vec_id, v) with v = floor(factor * x) as integers; unusable vectors go.
 
     A vector that is null, or holds a null or non-finite component, takes no
-    part; so does a row without an id.  Repeated equal rows count once.
+    part; nor does a row without an id, which no result could name.
     """
     x = F.col(vec_col)
     bad = F.exists(x, lambda e: e.isNull() | F.isnan(e.cast("double"))
                    | (F.abs(e.cast("double")) == F.lit(float("inf"))))
     return (df.where(F.col(id_col).isNotNull() & x.isNotNull() & ~F.coalesce(bad, F.lit(True)))
             .select(F.col(id_col).cast("long").alias("vec_id"),
-                    F.transform(x, lambda e: F.floor(e.cast("double") * factor).cast("long")).alias("v"))
-            .distinct())
+                    F.transform(x, lambda e: F.floor(e.cast("double") * factor).cast("long")).alias("v")))
 
 
 def _matrix(col, d: int) -> np.ndarray:
@@ -105,16 +104,17 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str
 
     ``queries`` and ``vectors`` have an id and a vector column; other columns
     are ignored.  Components become floor(factor * x), so scores are integers
-    and exact.  A query never meets rows with its own id.  Ties go to the
-    smaller id; fewer than k candidates give fewer rows; empty tables give no
+    and exact.  A query never meets rows with its own id; equal queries are
+    one; repeated vectors are candidates each.  Ties go to the smaller id; fewer than k candidates give fewer rows; empty tables give no
     rows.  A vector shorter than another counts as padded with zeros.
     """
     v = saved(usable(vectors, id_col, vec_col, factor), "topk_vectors")
-    q = saved(usable(queries, id_col, vec_col, factor), "topk_queries")
+    q = saved(usable(queries, id_col, vec_col, factor).distinct(), "topk_queries")
     nb = bucket_count(v.count(), block_rows)
     nq = bucket_count(q.count(), query_rows)
     qb = F.pmod(F.xxhash64("vec_id", "v"), F.lit(nq)).cast("int")
-    vb = F.pmod(F.xxhash64("v", "vec_id"), F.lit(nb)).cast("int")
+    # by row, so that repeated rows do not share a block
+    vb = F.pmod(F.xxhash64("v", "vec_id", F.monotonically_increasing_id()), F.lit(nb)).cast("int")
     # the stated query set meets all rows block by block
     left = v.select(vb.alias("vb"), F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("qb"),
                     "vec_id", "v")

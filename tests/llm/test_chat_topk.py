@@ -73,10 +73,10 @@ def test_rotation_uses_dataframe_functions_only(spark):
 
 
 def brute_topk(rows, k):
-    ok = {(i, tuple(math.floor(1024 * float(x)) for x in v)) for i, v in rows
-          if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    ok = [(i, tuple(math.floor(1024 * float(x)) for x in v)) for i, v in rows
+          if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for qi, q in ok:
+    for qi, q in set(ok):
         if qi % 100:
             continue
         s = sorted((-sum(a * b for a, b in zip(q, v)), i) for i, v in ok if i != qi)
@@ -91,6 +91,7 @@ def test_topk_equals_brute_force(spark, block):
     rows += [(500 + i, rows[3][1]) for i in range(60)]                                   # a hot vector: ties
     rows += [(700, None), (800, [1.0, None] + [0.0] * 6), (900, [float("nan")] + [0.0] * 7), (None, [1.0] * 8),
              (1000, [float("inf")] + [0.0] * 7), (1100, [0.0] * 8), (1200, rows[0][1]), (1200, rows[0][1])]
+    rows += [(3, rows[3][1])] * 40 + [(501, rows[3][1])] * 5                            # repeated rows: candidates each
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(1)).withColumn("rank", F.lit(1))
     got = sorted(tuple(x) for x in topk.exact_topk(df, df.where("vec_id % 100 = 0"), block_rows=block, query_rows=3).collect())
     assert got == brute_topk([(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v])

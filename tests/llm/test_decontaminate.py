@@ -73,6 +73,52 @@ def test_every_candidate_equals_a_full_alignment(spark):
                 assert (d, k) not in got
 
 
+def _seeded(item, text, n=3):
+    grams = lambda w: {tuple(w[i:i + n]) for i in range(len(w) - n + 1)}               # noqa: E731
+    return bool(grams(item) & grams(text))
+
+
+def test_insertions_deletions_and_replacements_from_the_threshold_up(spark):
+    """Whatever the edits, a passage with a seed is found with its full score."""
+    r = np.random.default_rng(12)
+    items = [(k, prose(800 + k, int(r.integers(20, 45)))) for k in range(8)]
+    rows = []
+    w = items[0][1].split(" ")
+    q = len(w) // 4                       # split in four, far apart but above the threshold
+    rows.append((0, " ".join([*w[:q], *prose(1, q // 2 + 1).split(" "), *w[q:2 * q], *prose(2, q // 2 + 1).split(" "),
+                              *w[2 * q:3 * q], *prose(3, q // 2 + 1).split(" "), *w[3 * q:]])))
+    for d in range(1, 120):
+        out, share = [], r.uniform(0.05, 0.5)
+        for x in items[d % 8][1].split(" "):
+            kind = r.integers(0, 3) if r.random() < share else 3
+            if kind == 0:                                       # words put in before it
+                out += prose(int(r.integers(0, 10**6)), int(r.integers(1, 9))).split(" ")
+            out += [] if kind == 1 else [prose(int(r.integers(0, 10**6)), 1)] if kind == 2 else [x]
+        rows.append((d, f"{prose(900 + d, 25)} {' '.join(out)} {prose(950 + d, 25)}"))
+    p = DecontamParams()
+    got = {(x.doc_id, x.item_id): x.score for x in dc.contaminated(documents(spark, rows), _items(spark, items)).collect()}
+    band = 0
+    for d, t in rows:
+        for k, text in items:
+            a, b = text.split(" "), t.split(" ")
+            full = sw(a, b, p.mismatch, p.gap) / len(a)
+            if full < p.threshold or not _seeded(a, b):
+                assert (d, k) not in got or full >= p.threshold
+            else:
+                assert abs(got[(d, k)] - full) < 1e-9, (d, k, full)
+                band += full < 0.65
+    assert band >= 10
+
+
+def test_an_item_of_everyday_words_in_many_documents(spark):
+    """Its n-grams are everywhere: common seeds alone, and clean documents stay."""
+    item = "it is one of the best and one of the first in all of the world"
+    rows = [(k, f"{prose(k, 15)} one of the {prose(50 + k, 15)} in all of {prose(90 + k, 5)}") for k in range(200)]
+    rows += [(500, f"{prose(1, 9)} it is one of the very best and one of the first in all of our world {prose(2, 9)}")]
+    kept = dc.drop_contaminated(documents(spark, rows), _items(spark, [(1, item)]))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(200))
+
+
 def test_blocks_of_items_empty_tables_and_seeds(spark):
     items = [(k, prose(500 + k, 30)) for k in range(12)]
     rows = [(k, f"{prose(k, 20)} {items[k][1]}") for k in range(12)]
