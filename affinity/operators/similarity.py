@@ -1,7 +1,7 @@
 """Item text vectors and exact in-category top-k cosine neighbours.
 
 ``item_desc``      catalogue -> (product_id, cat_path, cat4cat, text tokens)
-``text_vectors``   Word2Vec (pyspark.ml) mean word vectors per item row
+``text_vectors``   mean word vectors (``word2vec``) per item row
 ``vector_similarity``  top-k neighbours by cosine among rows of the same
                    category, excluding the item itself
 
@@ -32,6 +32,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,12 +41,13 @@ from ..functions.text import category_of_path, tokens
 from ..params import NEIGHBOURS, W2V_DIM, W2V_MIN_COUNT
 from ..session import stored
 from ..sources.tables import CatalogueTables
+from . import word2vec
 
 SIM_COLUMNS = ("product_id", "cat_path", "other_id", "score", "rank")
-#: Training parallelism of Word2Vec; fixed, so a result does not depend on the cluster.
-W2V_PARTITIONS = 8
-#: Bytes of word vectors Word2Vec may hold on the driver.
-W2V_MAX_BYTES = 2 << 30
+#: Bytes of word vectors up to which every task looks words up in a table of its own.
+LOOKUP_BYTES = 64 << 20
+#: Words of a block, and words of item rows that meet one, beyond that size.
+LOOKUP_WORDS, LOOKUP_TOKENS = 8192, 2_000_000
 _CAND_SCHEMA = "row_id long, product_id long, cat_path string, other_id long, score double"
 
 
@@ -58,57 +61,108 @@ def item_desc(cat: CatalogueTables) -> DataFrame:
         tokens(F.col("products_name")).alias("text"))
 
 
-def word_vectors(items: DataFrame, dim: int = W2V_DIM, min_count: int = W2V_MIN_COUNT,
-                 seed: int = 42, partitions: int = W2V_PARTITIONS,
-                 max_bytes: int = W2V_MAX_BYTES) -> DataFrame:
-    """(word, vec): Word2Vec trained on the item texts.
+def _word_sums(words: np.ndarray, m: np.ndarray, row: np.ndarray, token: np.ndarray):
+    """(rows, their sums) of the vectors of tokens, given sorted words; unknown tokens are left out."""
+    at = np.minimum(np.searchsorted(words, token), max(len(words) - 1, 0))
+    ok = words[at] == token if len(words) else np.zeros(len(token), bool)
+    order = np.lexsort((at[ok], row[ok]))                  # one order of summation, however rows arrive
+    at, row = at[ok][order], row[ok][order]
+    rows, starts = np.unique(row, return_index=True)
+    parts = []
+    for s in range(0, len(rows), 4096):                    # bounds the vectors gathered at a time
+        lo, hi = starts[s], starts[s + 4096] if s + 4096 < len(rows) else len(at)
+        parts.append(np.add.reduceat(m[at[lo:hi]], starts[s:s + 4096] - lo, axis=0))
+    return rows, np.concatenate(parts) if parts else np.zeros((0, m.shape[1]))
 
-    Spark's Word2Vec collects the vocabulary and holds it twice as float vectors
-    on the driver; a vocabulary beyond ``max_bytes`` is refused before
-    training.  Texts are put in a fixed order and number of partitions;
-    the trainer still shuffles them, so vectors of two runs agree only to
-    about three decimals.
-    """
-    from pyspark.ml.feature import Word2Vec
-    from pyspark.ml.functions import vector_to_array
-
-    vocabulary = (items.select(F.explode("text").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-                  .where(F.col("n") >= min_count).count())
-    if vocabulary * dim * 8 > max_bytes:
-        raise ValueError(f"{vocabulary} words of {dim} dimensions exceed {max_bytes} bytes on the driver; "
-                         "raise min_count or max_bytes")
-    texts = (items.select("product_id", "cat_path", "text")
-             .repartitionByRange(partitions, "product_id", "cat_path")
-             .sortWithinPartitions("product_id", "cat_path", "text"))
-    model = Word2Vec(vectorSize=dim, minCount=min_count, seed=seed, numPartitions=partitions,
-                     inputCol="text", outputCol="text_vec").fit(texts)
-    return model.getVectors().select("word", vector_to_array("vector").alias("vec"))
-
-
-def mean_word_vectors(items: DataFrame, words: DataFrame) -> DataFrame:
+
+def _packed(words: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted words and their vectors as a matrix."""
+    t = words.sort_by("word")
+    w = t.column("word").combine_chunks().to_numpy(zero_copy_only=False)
+    flat = t.column("vec").combine_chunks().flatten().to_numpy()
+    return w, flat.reshape(len(w), -1) if len(w) else np.zeros((0, 0))
+
+
+def _lists(m: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32()), pa.array(m.ravel()))
+
+
+def _tokens_of(b) -> tuple[np.ndarray, np.ndarray]:
+    """(row in the batch, token) of every non-null token of a batch's ``text``."""
+    text = b.column("text")
+    parent = pa.compute.list_parent_indices(text).to_numpy(zero_copy_only=False)
+    flat = pa.compute.list_flatten(text)
+    ok = pa.compute.is_valid(flat).to_numpy(zero_copy_only=False)
+    return parent[ok], flat.to_numpy(zero_copy_only=False)[ok]
+
+
+def mean_word_vectors(items: DataFrame, words: DataFrame, lookup_bytes: int = LOOKUP_BYTES,
+                      block_words: int = LOOKUP_WORDS, block_tokens: int = LOOKUP_TOKENS) -> DataFrame:
     """(product_id, cat_path, cat4cat, vec): the mean vector of each item row's words.
 
     ``words`` is (word, vec).  The sum runs over the known words and is
     divided by the number of all words, as Word2Vec's transform does; a row
     without a known word has no vector and is dropped.
-    """
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
 
-    rows = items.withColumn("row_id", F.monotonically_increasing_id())
-    w = words.select("word", array_to_vector("vec").alias("v"))
-    rows = stored(rows, "similarity_items")
-    keys = ["row_id", "product_id", "cat_path", "cat4cat"]
-    known = (rows.select(*keys, F.size("text").alias("n"), F.explode("text").alias("word")).join(w, "word")
-             .groupBy(*keys, "n").agg(Summarizer.sum(F.col("v")).alias("s")))
-    return known.select("product_id", "cat_path", "cat4cat",
-                        F.transform(vector_to_array("s"), lambda x: x / F.col("n")).alias("vec"))
+    Up to ``lookup_bytes`` of vectors every task has them all, and nothing is shuffled.
+    Beyond, words are dealt into blocks and item rows into as many blocks as
+    their words need; tokens meet vectors in (word block, row block) groups, which
+    return one sum per row, so no vector is ever copied per token.
+    """
+    spark = items.sparkSession
+    w = stored(words.select("word", F.col("vec").cast("array<double>").alias("vec")), "similarity_words")
+    n, size = w.agg(F.count(F.lit(1)), F.coalesce(F.sum(8 * F.size("vec") + F.length("word")), F.lit(0))).first()
+    out = "product_id bigint, cat_path string, cat4cat string, vec array<double>"
+    if size <= lookup_bytes:
+        shared = spark.sparkContext.broadcast(_packed(w.toArrow()))      # at most lookup_bytes, counted above
+
+        def look_up(batches):
+            known, m = shared.value
+            for b in batches:
+                row, token = _tokens_of(b)
+                rows, sums = _word_sums(known, m, row, token)
+                length = pa.compute.list_value_length(b.column("text")).to_numpy(zero_copy_only=False)
+                take = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*[b.column(c).take(take) for c in ("product_id", "cat_path", "cat4cat")],
+                     _lists(sums / length[rows][:, None])], ["product_id", "cat_path", "cat4cat", "vec"])
+
+        return items.select("product_id", "cat_path", "cat4cat", "text").mapInArrow(look_up, out)
+
+    rows = stored(items.select("product_id", "cat_path", "cat4cat", "text").withColumn(
+        "row_id", F.monotonically_increasing_id()), "similarity_items")
+    word_blocks = -(-n // block_words)
+    tokens = rows.agg(F.coalesce(F.sum(F.greatest(F.size("text"), F.lit(0))), F.lit(0))).first()[0]
+    row_blocks = max(1, -(-tokens // (word_blocks * block_tokens)))
+    wb = F.pmod(F.xxhash64("word"), F.lit(word_blocks)).cast("int")
+    left = (rows.select(F.pmod(F.xxhash64("row_id"), F.lit(row_blocks)).cast("int").alias("rb"), "row_id",
+                        F.explode("text").alias("word")).where("word IS NOT NULL").withColumn("wb", wb))
+    right = w.select("word", "vec", wb.alias("wb"), F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("rb"))
+    part = pa.schema([("row_id", pa.int64()), ("wb", pa.int32()), ("s", pa.list_(pa.float64()))])
+
+    def sums_of(tokens: pa.Table, known: pa.Table) -> pa.Table:
+        if not len(tokens) or not len(known):
+            return part.empty_table()
+        token, row = (tokens.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("word", "row_id"))
+        found, s = _word_sums(*_packed(known.select(["word", "vec"])), row, token)
+        block = np.full(len(found), known.column("wb")[0].as_py())
+        return pa.Table.from_arrays([pa.array(found), pa.array(block, pa.int32()), _lists(s)], schema=part)
+
+    sums = left.groupBy("wb", "rb").cogroup(right.groupBy("wb", "rb")).applyInArrow(
+        sums_of, "row_id bigint, wb int, s array<double>")
+    # a row has at most one sum per word block; added in the order of the blocks
+    add = F.aggregate(F.slice("l", 2, F.size("l")), F.col("l")[0]["s"],
+                      lambda a, x: F.zip_with(a, x["s"], lambda p, q: p + q))
+    total = sums.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("wb", "s"))).alias("l")).select(
+        "row_id", add.alias("s"))
+    return rows.join(total, "row_id").select(
+        "product_id", "cat_path", "cat4cat", F.transform("s", lambda x: x / F.size("text")).alias("vec"))
 
 
 def text_vectors(items: DataFrame, dim: int = W2V_DIM, min_count: int = W2V_MIN_COUNT,
-                 seed: int = 42, partitions: int = W2V_PARTITIONS) -> DataFrame:
-    """Word2Vec over the item texts; (product_id, cat_path, cat4cat, vec)."""
-    return mean_word_vectors(items, word_vectors(items, dim, min_count, seed, partitions))
+                 seed: int = 42) -> DataFrame:
+    """Word vectors trained on the item texts; (product_id, cat_path, cat4cat, vec)."""
+    return mean_word_vectors(items, word2vec.train(items, dim, min_count, seed))
 
 
 def round5(x: np.ndarray) -> np.ndarray:
@@ -221,8 +275,12 @@ def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int =
 
 
 def text_similarity(cat: CatalogueTables, k: int = NEIGHBOURS, dim: int = W2V_DIM,
-                    min_count: int = W2V_MIN_COUNT, seed: int = 42,
-                    partitions: int = W2V_PARTITIONS) -> DataFrame:
-    """Word2Vec item vectors, then ``vector_similarity`` within categories."""
+                    min_count: int = W2V_MIN_COUNT, seed: int = 42, words: DataFrame | None = None) -> DataFrame:
+    """Item vectors by word vectors, then ``vector_similarity`` within categories.
+
+    ``words`` (word, vec), from ``word2vec.train``, is applied where given; else
+    the vectors are trained on the catalogue itself.
+    """
     items = stored(item_desc(cat), "similarity_desc")
-    return vector_similarity(text_vectors(items, dim, min_count, seed, partitions), k)
+    vectors = text_vectors(items, dim, min_count, seed) if words is None else mean_word_vectors(items, words)
+    return vector_similarity(vectors, k)

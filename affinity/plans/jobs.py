@@ -6,7 +6,8 @@ plan ending in one write:
     etl         raw session logs      -> daily events (partitioned by day)
     cco         daily events          -> item-event correlations (by event)
     popularity  daily events          -> pop / trend / hot per product
-    similarity  catalogue             -> in-category text neighbours
+    words       catalogue             -> word vectors of the item texts
+    similarity  catalogue [+ words]   -> in-category text neighbours
     serving     catalogue + the above -> serving rows
 
 Paths are folders (Parquet).  Run as ``python -m affinity.plans.jobs <job>
@@ -17,14 +18,26 @@ settings of ``session.CONF`` are applied to it.
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cooccurrence as cco
-from ..operators import etl, popularity, serving, similarity, training
+from ..operators import etl, popularity, serving, similarity, training, word2vec
 from ..operators.payload import corr_payload, similarity_payload
-from ..params import NEIGHBOURS, POPULARITY_DAYS, CcoParams, EtlParams, cco_default_params
+from ..params import (
+    INDICATOR_MAX_CORRELATORS,
+    INDICATOR_MAX_EVENTS,
+    NEIGHBOURS,
+    POPULARITY_DAYS,
+    W2V_DIM,
+    W2V_MIN_COUNT,
+    CcoParams,
+    EtlParams,
+    Indicator,
+    cco_default_params,
+)
 from ..session import CONF, apply_cluster_sizing, drop_stored, ensure_checkpoint_dir, ship_package
 from ..sources import sinks, snapshots
 from ..sources.tables import read_catalogue, read_log_tables
@@ -88,9 +101,18 @@ def popularity_job(spark: SparkSession, daily_path: str, out: str, end,
     sinks.write_popularity(popularity.popularity_table(daily, end, days), out)
 
 
+def word_vectors_job(spark: SparkSession, catalogue_root: str, out: str) -> None:
+    """Train word vectors on the catalogue's texts and keep them as a table."""
+    items = similarity.item_desc(read_catalogue(spark, catalogue_root))
+    snapshots.publish(word2vec.train(items, W2V_DIM, W2V_MIN_COUNT), out)
+    drop_stored(spark)
+
+
 def similarity_job(spark: SparkSession, catalogue_root: str, out: str,
-                   k: int = NEIGHBOURS) -> None:
-    sim = similarity.text_similarity(read_catalogue(spark, catalogue_root), k)
+                   k: int = NEIGHBOURS, words: str | None = None) -> None:
+    """Text neighbours, by kept word vectors (``words``: their table) or newly trained ones."""
+    kept = None if words is None else snapshots.read(spark, words)
+    sim = similarity.text_similarity(read_catalogue(spark, catalogue_root), k, words=kept)
     sinks.write_similarity(similarity_payload(sim), out)
     drop_stored(spark)
 
@@ -120,6 +142,23 @@ def _session() -> SparkSession:
     return spark
 
 
+def _indicator(text: str) -> Indicator:
+    """``order``, ``order:3000`` or ``order:3000:300``."""
+    name, cap, k = (text.split(":") + ["", ""])[:3]
+    return Indicator(name, int(cap or 0) or None, int(k or INDICATOR_MAX_CORRELATORS))
+
+
+def cco_params(a) -> CcoParams:
+    """Parameters of the cco command: exact, the original's defaults, or a list of event types."""
+    p = cco_default_params() if a.default_params else CcoParams()
+    changes = {"min_events": a.min_events}
+    if a.indicator:
+        changes["indicators"] = tuple(_indicator(x) for x in a.indicator)
+    if a.seed is not None:
+        changes["seed"] = a.seed
+    return dataclasses.replace(p, **changes)
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="affinity.plans.jobs")
     sub = ap.add_subparsers(dest="job", required=True)
@@ -141,14 +180,23 @@ def main(argv=None) -> None:
     c.add_argument("--lookback", type=int, required=True)
     c.add_argument("--default-params", action="store_true",
                    help="cap events per user and item at 500 and report what that drops (default: exact)")
+    c.add_argument("--indicator", action="append", metavar="EVENT[:MAX_EVENTS[:MAX_CORRELATORS]]",
+                   help="an event type with its caps, in order of priority; MAX_EVENTS 0: exact; "
+                        f"e.g. order:{INDICATOR_MAX_EVENTS}:{INDICATOR_MAX_CORRELATORS}")
+    c.add_argument("--min-events", type=int, default=1, help="distinct primary items a user needs")
+    c.add_argument("--seed", type=int, help="of the sampler that applies the caps")
     p = sub.add_parser("popularity")
     p.add_argument("--daily", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--end", required=True)
     p.add_argument("--days", type=int, default=POPULARITY_DAYS)
+    wv = sub.add_parser("words")
+    wv.add_argument("--catalogue", required=True)
+    wv.add_argument("--out", required=True)
     s = sub.add_parser("similarity")
     s.add_argument("--catalogue", required=True)
     s.add_argument("--out", required=True)
+    s.add_argument("--words", help="word vectors kept by the words job (default: train)")
     v = sub.add_parser("serving")
     for a in ("--catalogue", "--corr", "--popularity", "--similarity", "--out",
               "--update-time"):
@@ -163,12 +211,13 @@ def main(argv=None) -> None:
         etl_job(spark, a.logs, a.out, p, a.day,
                 a.start, a.end, "append" if a.append else "overwrite")
     elif a.job == "cco":
-        cco_job(spark, a.daily, a.out, a.end, a.lookback,
-                cco_default_params() if a.default_params else None)
+        cco_job(spark, a.daily, a.out, a.end, a.lookback, cco_params(a))
     elif a.job == "popularity":
         popularity_job(spark, a.daily, a.out, a.end, a.days)
     elif a.job == "similarity":
-        similarity_job(spark, a.catalogue, a.out)
+        similarity_job(spark, a.catalogue, a.out, words=a.words)
+    elif a.job == "words":
+        word_vectors_job(spark, a.catalogue, a.out)
     else:
         serving_job(spark, a.catalogue, a.corr, a.popularity, a.similarity, a.out,
                     a.update_time)

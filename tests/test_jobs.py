@@ -5,7 +5,7 @@ import os
 import pytest
 
 from affinity.plans import jobs
-from affinity.params import EtlParams
+from affinity.params import EtlParams, Indicator
 from affinity.session import shared_dir
 from affinity.sources import adapters as ad
 from affinity.sources import sinks, snapshots
@@ -61,6 +61,27 @@ def test_cli_popularity_and_cco(spark):
     assert snapshots.read(spark, corr).select("event").distinct().count() == 4
 
 
+def test_cli_indicators_and_kept_word_vectors(spark):
+    root = shared_dir(spark, "test-cli2")
+    daily, corr, cat = (os.path.join(root, x) for x in ("daily", "corr", "catalogue"))
+    sinks.write_daily_events(ad.events_daily(spark, SF_SMALL), daily)
+    args = ["cco", "--daily", daily, "--out", corr, "--end", "2024-01-31", "--lookback", "30"]
+    jobs.main([*args, "--indicator", "cart:3000:2", "--indicator", "order:0:3", "--min-events", "2", "--seed", "5"])
+    sizes = {e: {len(r.corr_payload.split(" ")) for r in snapshots.read(spark, corr).where(f"event = '{e}'").collect()}
+             for e in ("cart", "order")}
+    assert max(sizes["cart"]) == 2 and max(sizes["order"]) == 3
+    assert jobs._indicator("wish:3000") == Indicator("wish", 3000, 300)
+    tables = ad.part_catalogue(spark, SF_SMALL)
+    for name in tables.__dataclass_fields__:
+        getattr(tables, name).write.parquet(os.path.join(cat, name))
+    words, a, b = (os.path.join(root, x) for x in ("words", "a", "b"))
+    jobs.main(["words", "--catalogue", cat, "--out", words])
+    jobs.main(["similarity", "--catalogue", cat, "--out", a, "--words", words])
+    jobs.main(["similarity", "--catalogue", cat, "--out", b])
+    x, y = (snapshots.read(spark, t) for t in (a, b))
+    assert x.count() == 200 and x.exceptAll(y).count() == 0
+
+
 def test_backfill_goes_on_where_it_broke(spark, monkeypatch):
     root = shared_dir(spark, "test-backfill")
     logs = ad.orders_logs(spark, SF_SMALL)
