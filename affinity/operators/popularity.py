@@ -114,6 +114,14 @@ def theme_long(daily: DataFrame, theme: str, end, days: int = POPULARITY_DAYS,
 POPULARITY_COLUMNS = ("product_id",) + tuple(f"{t}_{e}" for t in THEMES for e in EVENT_NAMES)
 
 
+def table_of(sums: DataFrame, names=EVENT_NAMES) -> DataFrame:
+    """The popularity table of window sums (``window_sums``, or ``rolling.advance``)."""
+    sc = _scores(names)
+    has = {t: _any_present([sc[f"{t}_{e}"] for e in names]) for t in THEMES}
+    out = [F.coalesce(sc[f"{t}_{e}"], F.lit(0.0)).alias(f"{t}_{e}") for t in THEMES for e in names]
+    return sums.where(has["pop"] & has["trend"] & has["hot"]).select("product_id", *out)
+
+
 def popularity_table(daily: DataFrame, end, days: int = POPULARITY_DAYS,
                      names=EVENT_NAMES) -> DataFrame:
     """product_id + pop/trend/hot x event (13 columns for the four events).
@@ -121,8 +129,4 @@ def popularity_table(daily: DataFrame, end, days: int = POPULARITY_DAYS,
     A product is listed when it has at least one trend and one hot score
     (pop ⋈ trend ⋈ hot, inner).  Missing scores are 0.
     """
-    sc = _scores(names)
-    raw = window_sums(daily, end, days, names)
-    has = {t: _any_present([sc[f"{t}_{e}"] for e in names]) for t in THEMES}
-    out = [F.coalesce(sc[f"{t}_{e}"], F.lit(0.0)).alias(f"{t}_{e}") for t in THEMES for e in names]
-    return raw.where(has["pop"] & has["trend"] & has["hot"]).select("product_id", *out)
+    return table_of(window_sums(daily, end, days, names), names)

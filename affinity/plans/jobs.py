@@ -24,7 +24,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cooccurrence as cco
-from ..operators import etl, popularity, serving, similarity, training, word2vec
+from ..operators import etl, popularity, rolling, serving, similarity, training, word2vec
 from ..operators.payload import corr_payload, similarity_payload
 from ..params import (
     INDICATOR_MAX_CORRELATORS,
@@ -96,9 +96,13 @@ def cco_job(spark: SparkSession, daily_path: str, out: str, end, lookback_days:
 
 
 def popularity_job(spark: SparkSession, daily_path: str, out: str, end,
-                   days: int = POPULARITY_DAYS) -> None:
-    daily = snapshots.read(spark, daily_path)
-    sinks.write_popularity(popularity.popularity_table(daily, end, days), out)
+                   days: int = POPULARITY_DAYS, state: str | None = None) -> None:
+    """The windows that end on ``end``; with ``state``, moved there from those of the last run."""
+    if state is None:
+        table = popularity.popularity_table(snapshots.read(spark, daily_path), end, days)
+    else:
+        table = popularity.table_of(rolling.advance(spark, daily_path, state, end, days))
+    sinks.write_popularity(table, out)
 
 
 def word_vectors_job(spark: SparkSession, catalogue_root: str, out: str) -> None:
@@ -190,6 +194,7 @@ def main(argv=None) -> None:
     p.add_argument("--out", required=True)
     p.add_argument("--end", required=True)
     p.add_argument("--days", type=int, default=POPULARITY_DAYS)
+    p.add_argument("--state", help="folder of the window sums: only days that enter or leave a window are read")
     wv = sub.add_parser("words")
     wv.add_argument("--catalogue", required=True)
     wv.add_argument("--out", required=True)
@@ -213,7 +218,7 @@ def main(argv=None) -> None:
     elif a.job == "cco":
         cco_job(spark, a.daily, a.out, a.end, a.lookback, cco_params(a))
     elif a.job == "popularity":
-        popularity_job(spark, a.daily, a.out, a.end, a.days)
+        popularity_job(spark, a.daily, a.out, a.end, a.days, a.state)
     elif a.job == "similarity":
         similarity_job(spark, a.catalogue, a.out, words=a.words)
     elif a.job == "words":

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rounding import round_half_away
 from ..operators import cooccurrence as cco
-from ..operators import etl, popularity, serving, similarity, training
+from ..operators import etl, popularity, rolling, serving, similarity, training
 from ..operators.payload import corr_payload, similarity_payload
 from ..params import CcoParams, EtlParams, Indicator, cco_default_params
 from ..session import materialize, remove_dir, shared_dir
@@ -258,6 +258,17 @@ def q_popularity_table(spark, d):
     return popularity.popularity_table(_daily(spark, d), EVENTS_END, POP_DAYS)
 
 
+def q_popularity_rolled(spark, d):
+    """The windows of three days before, moved to the end day by the days that differ."""
+    path = shared_dir(spark, "rolled")
+    sinks.write_daily_events(_daily(spark, d), f"{path}/daily")
+    for back in (3, 1, 0):
+        sums = rolling.advance(spark, f"{path}/daily", f"{path}/state", EVENTS_END - dt.timedelta(days=back), POP_DAYS)
+    back = materialize(popularity.table_of(sums))
+    remove_dir(spark, path)
+    return back
+
+
 def q_sink_popularity(spark, d):
     path = shared_dir(spark, "item_popularity")
     rows = materialize(q_popularity_table(spark, d))

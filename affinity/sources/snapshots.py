@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -71,7 +72,8 @@ def _manifests(folder: _Folder) -> list[str]:
 def manifest(spark: SparkSession, path: str) -> dict | None:
     """The newest manifest of a table, None where there is none.
 
-    parts: partition ("" if the table has none) -> its folders; done: marks of finished work; schema.
+    parts: partition ("" if the table has none) -> its folders; done: marks of finished work;
+    note: what the last writer that gave one wants to remember; schema.
     """
     folder = _Folder(spark, path)
     names = _manifests(folder)
@@ -79,11 +81,13 @@ def manifest(spark: SparkSession, path: str) -> dict | None:
 
 
 def publish(df: DataFrame, path: str, partition: str | None = None, mode: str = "overwrite",
-            done: tuple[str, ...] = (), keep: int = KEEP) -> None:
+            done: tuple[str, ...] = (), keep: int = KEEP, covers: tuple[str, ...] = (), note: dict | None = None) -> None:
     """Make ``df`` the table at ``path``, or the partitions it holds.
 
     ``mode="append"`` adds to what is there.  ``done`` marks are added to the
-    manifest with the rows they stand for (see ``etl_backfill``).
+    manifest with the rows they stand for (see ``etl_backfill``).  ``covers`` names
+    partitions (``day=2024-01-31``) replaced even where ``df`` has no row of them;
+    ``note`` becomes the manifest's note, which is kept where none is given.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode {mode}")
@@ -98,13 +102,13 @@ def publish(df: DataFrame, path: str, partition: str | None = None, mode: str =
     w = df.write.partitionBy(partition) if partition else df.write
     w.parquet(f"{path}/data/{version}")
     new = [n.split("/")[-1] for n in folder.names(f"data/{version}/{partition}=*")] if partition else [""]
-    parts = dict(old["parts"])
+    parts = {p: vs for p, vs in old["parts"].items() if p not in covers}
     for p in new:
         parts[p] = (parts.get(p, []) if mode == "append" else []) + [version]
     number = old["number"] + 1
     folder.create(f"manifest/{number:09d}.json", json.dumps(
         {"number": number, "partition": partition, "parts": parts, "done": sorted({*old["done"], *done}),
-         "schema": df.schema.jsonValue()}))
+         "note": old.get("note") if note is None else note, "schema": df.schema.jsonValue()}))
     _tidy(folder, keep)
 
 
@@ -123,13 +127,17 @@ def _tidy(folder: _Folder, keep: int) -> None:
         folder.delete(name)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """The table at ``path`` by its newest manifest; a plain Parquet folder without one."""
+def read(spark: SparkSession, path: str, parts: Collection[str] | None = None) -> DataFrame:
+    """The table at ``path`` by its newest manifest; a plain Parquet folder without one.
+
+    Given ``parts`` (of a table with a manifest), only the folders of those partitions are listed and read.
+    """
     m = manifest(spark, path)
     if m is None:
         return spark.read.parquet(path)
     schema = StructType.fromJson(m["schema"])
-    files = [f"{path}/data/{v}/{p}".rstrip("/") for p, vs in sorted(m["parts"].items()) for v in vs]
+    files = [f"{path}/data/{v}/{p}".rstrip("/") for p, vs in sorted(m["parts"].items())
+             if parts is None or p in parts for v in vs]
     if not files:
         return spark.createDataFrame([], schema)
     df = spark.read.schema(StructType(schema.fields).add("v", "string")).option("basePath", f"{path}/data").parquet(*files)
