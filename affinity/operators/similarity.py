@@ -24,6 +24,9 @@ computed as a blocked matrix product, the way a distributed GEMM is:
   id asc), so the union over strips holds every row's global top-k;
 * a row_number window keeps the k best per row over its strips.
 
+A category of more than ``CLUSTER_ROWS`` rows is clustered first, and only
+blocks that can hold a neighbour are multiplied (``clusters``).
+
 Work is spread over (#blocks x #strips) tasks per category; no item pair
 is ever materialised as a row, nothing goes through the driver.
 """
@@ -41,13 +44,15 @@ from ..functions.text import category_of_path, tokens
 from ..params import NEIGHBOURS, W2V_DIM, W2V_MIN_COUNT
 from ..session import stored
 from ..sources.tables import CatalogueTables
-from . import word2vec
+from . import clusters, word2vec
 
 SIM_COLUMNS = ("product_id", "cat_path", "other_id", "score", "rank")
 #: Bytes of word vectors up to which every task looks words up in a table of its own.
 LOOKUP_BYTES = 64 << 20
 #: Words of a block, and words of item rows that meet one, beyond that size.
 LOOKUP_WORDS, LOOKUP_TOKENS = 8192, 2_000_000
+#: Rows of a category from which it is clustered before rows are compared.
+CLUSTER_ROWS = 32768
 _CAND_SCHEMA = "row_id long, product_id long, cat_path string, other_id long, score double"
 
 
@@ -227,7 +232,7 @@ def _strip_topk(k: int, chunk: int):
 
 
 def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int = 4096,
-                      strip_size: int = 32768, chunk: int = 2048) -> DataFrame:
+                      strip_size: int = 32768, chunk: int = 2048, cluster_rows: int = CLUSTER_ROWS) -> DataFrame:
     """(product_id, cat_path, other_id, score, rank, row_id) within ``cat4cat``.
 
     ``vectors``: product_id, cat_path, cat4cat, vec (array<double>).  The
@@ -242,7 +247,25 @@ def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int =
     running exact top-k per left row.  Task input is bounded by
     block_size + strip_size rows, and each row sends at most
     ceil(n/strip_size) * k candidates to the final ranking.
+
+    A category of more than ``cluster_rows`` rows is clustered first, and
+    pairs of rows that cannot be neighbours are not compared (``clusters``).
     """
+    return _neighbours(vectors, k, block_size, strip_size, chunk, cluster_rows)[0]
+
+
+def skipped_pairs(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int = 4096, strip_size: int = 32768,
+                  chunk: int = 2048, cluster_rows: int = CLUSTER_ROWS) -> DataFrame:
+    """(cat4cat, rows, clusters, pairs, compared) of the categories ``vector_similarity`` clusters."""
+    visits = _neighbours(vectors, k, block_size, strip_size, chunk, cluster_rows)[1]
+    if visits is None:
+        return vectors.sparkSession.createDataFrame(
+            [], "cat4cat string, rows long, clusters long, pairs long, compared long")
+    return clusters.pruning_report(visits)
+
+
+def _neighbours(vectors, k, block_size, strip_size, chunk, cluster_rows):
+    """(neighbours, visits of the clustered categories or None)."""
     v = (vectors.where(F.col("vec").isNotNull() & F.col("cat4cat").isNotNull()
                        & F.col("product_id").isNotNull())
          .select("product_id", "cat_path", "cat4cat", "vec",
@@ -252,8 +275,11 @@ def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int =
     v = stored(v, "similarity_vectors")
     cnt = F.count(F.lit(1))
     sizes = stored(v.groupBy("cat4cat").agg(
-        F.ceil(cnt / F.lit(block_size)).cast("int").alias("nl"),
+        cnt.alias("n"), F.ceil(cnt / F.lit(block_size)).cast("int").alias("nl"),
         F.ceil(cnt / F.lit(strip_size)).cast("int").alias("nr")), "similarity_sizes")
+    large, visits = sizes.where(F.col("n") > cluster_rows), None
+    clustered = not large.isEmpty()
+    sizes = sizes.where(F.col("n") <= cluster_rows)
     h = F.xxhash64("row_id")
     vb = stored(v.join(sizes, "cat4cat")
                 .withColumn("bl", F.pmod(h, F.col("nl")).cast("int"))
@@ -268,10 +294,15 @@ def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int =
     keys = ["cat4cat", "bi", "bj"]
     cand = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
             .applyInPandas(_strip_topk(k, chunk), _CAND_SCHEMA))
+    if clustered:
+        more, visits = clusters.neighbours(v, large, k, block_size, strip_size, cluster_rows,
+                                           _strip_topk(k, chunk), _CAND_SCHEMA)
+        cand = cand.unionByName(more)
     w = Window.partitionBy("row_id").orderBy(F.desc("score"), F.asc("other_id"))
-    return (cand.withColumn("rank", F.row_number().over(w))
+    best = (cand.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
             .select(*SIM_COLUMNS, "row_id"))
+    return best, visits
 
 
 def text_similarity(cat: CatalogueTables, k: int = NEIGHBOURS, dim: int = W2V_DIM,

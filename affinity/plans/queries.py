@@ -32,6 +32,7 @@ LOOKBACK_DAYS = 10
 UPDATE_TIME = "2024-01-31"
 MIN_EVENTS = 10                         # binds: users have ~12 items per event
 ORDER_ZONE = "Etc/GMT+5"                # five hours behind UTC: orders fall on the day before
+CLUSTER_ROWS = 8                        # categories of the embeddings are small: make them cluster
 DEFAULT_CAP = 8                         # binds, so the default sampler's seed takes effect
 # The backfill operator takes an explicit day range; a calendar year of the
 # orders data is that range (the whole tables are still scanned).
@@ -286,6 +287,11 @@ def q_vector_similarity(spark, d):
     return similarity.vector_similarity(ad.embedding_vectors(spark, d)).drop("row_id")
 
 
+def q_vector_similarity_clustered(spark, d):
+    """Every category clustered, whatever its size: the same neighbours."""
+    return similarity.vector_similarity(ad.embedding_vectors(spark, d), cluster_rows=CLUSTER_ROWS).drop("row_id")
+
+
 def q_vector_similarity_repeats(spark, d):
     """Items with several vectors per category path: a list for each."""
     return similarity.vector_similarity(ad.repeated_vectors(spark, d)).drop("row_id")
