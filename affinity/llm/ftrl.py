@@ -157,10 +157,10 @@ def ftrl(examples, dim: int, p: FtrlParams) -> np.ndarray:
     return weights(np.arange(dim + 1)).astype(np.float32)
 
 
-def bounded_sample(rows: DataFrame, id_col: str, max_rows: int, seed: int) -> DataFrame:
-    """At most ``max_rows`` rows, those of the smallest hash of the id."""
+def bounded_sample(rows: DataFrame, id_col: str, max_rows: int, seed: int, *then: str) -> DataFrame:
+    """At most ``max_rows`` rows, those of the smallest hash of the id (then in the order of ``then``)."""
     return (rows.withColumn("_o", F.xxhash64(F.col(id_col), F.lit(seed)))
-            .orderBy("_o", id_col).limit(max_rows).drop("_o"))
+            .orderBy("_o", id_col, *then).limit(max_rows).drop("_o"))
 
 
 def train(sample: DataFrame, fm: FeatureMap, p: FtrlParams) -> np.ndarray:

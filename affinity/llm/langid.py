@@ -8,8 +8,8 @@ languages; a document's language is the one with the largest mean posterior.
 A chain is a sentence (words up to ``.``, ``!``, ``?`` or a line break) of any
 length.  Training chains join sentences of different documents, so that
 the switch from one language to another is seen and learned.
-The model is fitted in one task on a bounded sample (``per_lang`` documents
-for each of at most ``max_langs`` languages); labelling is one scan.
+The model is fitted in one task on a bounded sample (``per_lang`` rows of
+each language, of which there may be ``max_langs``); labelling is one scan.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, saved
 from .ftrl import LETTER, Tokens
 from .textcore import BASE, mix, text_blocks
 
@@ -33,7 +33,7 @@ UNDETERMINED = "und"
 class CrfParams:
     dim: int = 1 << 17
     per_lang: int = 300
-    max_langs: int = 64
+    max_langs: int = 128       # more are an error
     epochs: int = 3
     batch: int = 512
     rate: float = 0.3
@@ -182,17 +182,26 @@ def fit_crf(batch: pa.RecordBatch, langs: np.ndarray, labels: int, p: CrfParams)
 
 
 def training_rows(documents: DataFrame, p: CrfParams) -> DataFrame:
-    """(lang, doc_id, text): ``per_lang`` documents of each of the ``max_langs`` largest languages."""
+    """(lang, doc_id, text): at most ``per_lang`` rows of every language.
+
+    Those of the ids of smallest hash; equal rows count once.  More than
+    ``max_langs`` languages are an error: the weights of all must fit the training task.
+    """
     ids = documents.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
-                          & ~held_out(F.col("doc_id"))).select("lang", "doc_id")
-    top = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(p.max_langs)
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(p.seed)), "doc_id")
-    pick = (ids.join(F.broadcast(top.select("lang")), "lang")          # max_langs rows
-            .withColumn("r", F.row_number().over(w)).where(F.col("r") <= p.per_lang)
-            .select("lang", "doc_id").distinct())
+                          & ~held_out(F.col("doc_id"))).select("lang", "doc_id").distinct()
+    order = [F.xxhash64("doc_id", F.lit(p.seed)), F.col("doc_id")]
+    pick = saved(ids.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+                 .where(F.col("r") <= p.per_lang).select("lang", "doc_id"), "lang_ids")
+    langs = pick.select("lang").distinct().limit(p.max_langs + 1).count()
+    if langs > p.max_langs:
+        raise ValueError(f"more than {p.max_langs} languages: set CrfParams.max_langs "
+                         f"(training takes about {40 * p.dim >> 20} MB for each)")
     # per_lang * max_langs rows at most
-    return documents.select("lang", "doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
-        F.broadcast(pick), ["lang", "doc_id"])
+    rows = documents.select("lang", "doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
+        F.broadcast(pick), ["lang", "doc_id"]).distinct()
+    # an id may have many texts: the bound holds for rows too
+    w = Window.partitionBy("lang").orderBy(*order, F.xxhash64("text"), "text")
+    return rows.withColumn("r", F.row_number().over(w)).where(F.col("r") <= p.per_lang).drop("r")
 
 
 def fit_langid(documents: DataFrame, p: CrfParams):
@@ -203,13 +212,13 @@ def fit_langid(documents: DataFrame, p: CrfParams):
         y = pdf["lang"].map({v: i for i, v in enumerate(names)}).to_numpy()
         b = pa.RecordBatch.from_pydict({"text": pa.array(pdf["text"].tolist(), pa.string())})
         w, tr = fit_crf(b, y, len(names), p)
-        return pd.DataFrame({"langs": ["\n".join(names)], "w": [w.tobytes()], "t": [tr.tobytes()]})
+        return pd.DataFrame({"langs": [names], "w": [w.tobytes()], "t": [tr.tobytes()]})
 
     got = (training_rows(documents, p).withColumn("one", F.lit(0)).groupBy("one")
-           .applyInPandas(fit, "langs string, w binary, t binary").collect())
+           .applyInPandas(fit, "langs array<string>, w binary, t binary").collect())
     if not got:
         return None
-    names = got[0].langs.split("\n")
+    names = list(got[0].langs)
     w = np.frombuffer(got[0].w, np.float32).reshape(p.dim, len(names))
     return names, w, np.frombuffer(got[0].t).reshape(len(names), len(names))
 

@@ -1,8 +1,8 @@
 """Quality classifier: hashed word n-gram logistic regression trained with FTRL.
 
 The labels table is joined only for the training sample: at most
-``max_rows`` labelled ids outside the held-out fold (those of the smallest
-hash), a documented bound under which the ids are broadcast.  Scoring is one
+``max_rows`` labelled rows outside the held-out fold (those of the ids of
+smallest hash; equal rows count once), a documented bound.  Scoring is one
 map-only scan of all documents.
 """
 
@@ -25,18 +25,22 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str, p: Ftrl
     """(doc_id, text, y): at most ``p.max_rows`` labelled rows outside the held-out fold.
 
     Labels that are null or not 0/1 are skipped; of several labels of one id
-    the smallest counts.
+    the smallest counts.  Rows of one id with equal texts are one row, so an
+    id that is repeated does not make the sample larger.
     """
     ids = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
            .groupBy("doc_id").agg(F.min(label).alias("y")))
     ids = bounded_sample(ids, "doc_id", p.max_rows, p.seed)
     # max_rows ids at most: a proven size
-    return (documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-            .join(F.broadcast(ids), "doc_id"))
+    rows = saved(documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+                 .join(F.broadcast(ids), "doc_id").distinct().withColumn("part", F.xxhash64("text")), label + "_rows")
+    # an id may have many texts: the bound holds for rows too
+    keep = bounded_sample(rows.select("doc_id", "part").distinct(), "doc_id", p.max_rows, p.seed, "part")
+    return rows.join(F.broadcast(keep), ["doc_id", "part"]).select("doc_id", "text", "y")
 
 
 def fit_quality(documents: DataFrame, labels: DataFrame, p: FtrlParams = PARAMS) -> np.ndarray:
-    return train(saved(training_sample(documents, labels, "quality", p), "quality_sample"), FEATURES, p)
+    return train(training_sample(documents, labels, "quality", p), FEATURES, p)
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame, p: FtrlParams = PARAMS,

@@ -177,7 +177,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, p: ToxicityParams) ->
                 v = votes_of(data, offsets, lexicon)
                 yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in v], pa.binary())], ["v"])
 
-    # max_rows vote rows at most
+    # training_sample holds max_rows rows at most, whatever repeats
     rows = sample.select("text").mapInArrow(votes, "v binary").collect()
     width = len(lexicon) + PATTERNS + 1
     matrix = np.frombuffer(b"".join(r.v for r in rows), np.uint8).reshape(-1, width)

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from affinity.llm import ftrl, langid, quality, toxicity
 from affinity.llm.ftrl import FtrlParams
@@ -96,6 +97,32 @@ def test_awkward_rows_and_empty_tables(spark):
     assert {r.predicted for r in toxicity.toxicity_scores(df, _labels(spark, labels).where("false")).collect()} <= {0, 1}
 
 
+def test_a_repeated_id_does_not_make_the_sample_larger(spark):
+    rows, labels = _corpus(60, 6)
+    same = [(1, "one text, many rows")] * 500
+    other = [(1, f"text {i} of one id") for i in range(300)]
+    df, p = documents(spark, rows + same + other), FtrlParams(max_rows=100)
+    for label in ("quality", "toxic"):
+        got = quality.training_sample(df, _labels(spark, labels), label, p).collect()
+        assert len(got) == len({(r.doc_id, r.text) for r in got}) <= 100
+        assert not any(out_fold(r.doc_id) for r in got)
+    wide = quality.training_sample(df, _labels(spark, labels), "toxic", FtrlParams()).collect()
+    assert sum(r.doc_id == 1 for r in wide) == 302         # its own, the repeated one, 300 others
+    langs = [(i, f"{t} {i}", "aa" if i % 2 else "bb", "s") for i, t in rows] + [(1, t, "aa", "s") for _, t in same + other]
+    got = langid.training_rows(documents(spark, langs), CrfParams(per_lang=20)).collect()
+    assert [sum(r.lang == x for r in got) for x in ("aa", "bb")] == [20, 20]
+    assert len(got) == len({tuple(r) for r in got})
+
+
+def test_every_language_is_learned_whatever_its_name_or_it_is_an_error(spark):
+    rows = [(k * 10 + j, " ".join([f"{chr(97 + k % 26)}{chr(97 + k // 26)}{v}" for v in ("oku", "ile", "ana")] * 5),
+             f"l{k}\nx", "s") for k in range(70) for j in range(6)]
+    out = langid.identify(documents(spark, rows), CrfParams(epochs=8, batch=64, dim=1 << 14)).collect()
+    assert {r.lang_pred for r in out} == {f"l{k}\nx" for k in range(70)}
+    with pytest.raises(ValueError):
+        langid.identify(documents(spark, rows), CrfParams(max_langs=69))
+
+
 def test_ftrl_learns_a_separable_rule():
     r = np.random.default_rng(1)
     ex = []
