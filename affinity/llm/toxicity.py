@@ -2,8 +2,10 @@
 
 1. Voters.  The lexicon is induced from the labelled sample outside the
    held-out fold: the words and word beginnings most associated with the toxic
-   label (distributed counts, smoothed log-odds, at most ``voters`` of them).
-   Each is one voter; pattern voters (shouting, exclamation runs, symbol runs,
+   label (distributed counts, smoothed log-odds, an exact test).  The strongest
+   first, an entry becomes a voter if it passes the test on the toxic rows that no
+   voter before it explains, so there are as many voters as the vocabulary needs
+   and the words of copied texts do not all vote.  Pattern voters (shouting, exclamation runs, symbol runs,
    repeated words) join them.
 2. Label model.  A latent class explains the votes: EM estimates the class
    prior and each voter's firing rate per class without the labels; a voter
@@ -13,11 +15,13 @@
 3. Classifier.  A hashed linear model (FTRL) is trained on the posteriors and
    scores every document in one scan.
 
-The driver only sees the vote matrix of the bounded sample and the model.
+The driver only sees the toxic rows of the entries and the distinct vote vectors
+of the bounded sample, and the model.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,18 +39,20 @@ STEM_BYTES = 4
 PATTERNS = 4
 #: Correlation inside the classes from which voters count as dependent.
 DEPENDENT = 0.5
+#: Voters whose correlations with all others are held at a time.
+VOTER_BLOCK = 512
 THRESHOLD = 0.5
 
 
 @dataclass(frozen=True)
 class ToxicityParams:
-    """voters: lexicon size; support: least number of toxic sample rows of an
-    entry; its log-odds must exceed least_odds by ``sure`` standard errors."""
+    """support: least number of toxic sample rows of an entry, whose log-odds
+    must exceed least_odds; chance: most probable its toxic share may be by
+    chance (binomial tail at the sample's share of toxic rows)."""
 
-    voters: int = 120
     support: int = 4
     least_odds: float = 1.5
-    sure: float = 1.64
+    chance: float = 0.001
     rounds: int = 30
     ftrl: FtrlParams = FtrlParams(alpha=0.3, l1=7.5, l2=0.0, epochs=6, shard_rows=6_000)
 
@@ -101,29 +107,54 @@ def votes_of(data, offsets, lexicon: np.ndarray) -> np.ndarray:
     return v
 
 
+def _tail(a: int, n: int, share: float) -> float:
+    """Probability of ``a`` or more successes in ``n`` trials."""
+    k = np.arange(a, n + 1)
+    log_choose = np.array([math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) for i in k])
+    return float(np.exp(log_choose + k * math.log(share) + (n - k) * math.log1p(-share)).sum())
+
+
 def induce_lexicon(sample: DataFrame, p: ToxicityParams) -> np.ndarray:
-    """Sorted hashes of the terms most associated with the toxic label."""
+    """Sorted hashes of the voters among the terms associated with the toxic label."""
     def terms(batches):
         for b in batches:
-            y = b.column(b.schema.get_field_index("y")).to_numpy(zero_copy_only=False)
+            y, key = (b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("y", "row"))
             for i, j, data, offsets in text_blocks(b):
                 row, h = _terms(Tokens(data, offsets))
-                key = np.unique(np.stack([row.astype(np.uint64), h]), axis=1)
+                pair = np.unique(np.stack([row.astype(np.uint64), h]), axis=1)
+                at = pair[0].astype(np.int64) + i
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[1].view(np.int64)), pa.array(y[i:j][key[0].astype(np.int64)].astype(np.int64))],
-                    ["term", "y"])
+                    [pa.array(pair[1].view(np.int64)), pa.array(y[at].astype(np.int64)), pa.array(key[at])],
+                    ["term", "y", "row"])
 
     n1, n0 = (sample.agg(F.sum(F.when(F.col("y") == v, 1).otherwise(0))).first()[0] or 0 for v in (1, 0))
     if not n1 or not n0:
         return np.zeros(0, np.uint64)
-    c = (sample.select("y", "text").mapInArrow(terms, "term long, y long").groupBy("term")
-         .agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")))
+    found = sample.select("y", "text", F.xxhash64("doc_id", "text").alias("row")).mapInArrow(
+        terms, "term long, y long, row long")
+    c = found.groupBy("term").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+
+    def sure(a: int, b: int) -> bool:
+        odds = math.log((a + 0.5) / (n1 + 1.0)) - math.log((b + 0.5) / (n0 + 1.0))
+        return a >= p.support and odds > p.least_odds and _tail(a, a + b, n1 / (n1 + n0)) < p.chance
+
     odds = F.log((F.col("a") + 0.5) / (n1 + 1.0)) - F.log((F.col("b") + 0.5) / (n0 + 1.0))
-    spread = F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    best = (c.where(F.col("a") >= p.support).withColumn("odds", F.round(odds, 9))
-            .where(odds - p.sure * spread > p.least_odds)
-            .orderBy(F.desc(F.col("odds") * F.sqrt("a")), "term").limit(p.voters).collect())
-    return np.sort(np.array([r.term for r in best], np.int64).view(np.uint64))
+    c = c.where((F.col("a") >= p.support) & (odds > p.least_odds))
+    pairs = [(r.a, r.b) for r in c.select("a", "b").distinct().collect() if sure(r.a, r.b)]
+    if not pairs:
+        return np.zeros(0, np.uint64)
+    pairs = F.broadcast(sample.sparkSession.createDataFrame(pairs, "a long, b long"))
+    strong = c.join(pairs, ["a", "b"]).select("term", "b", F.round(odds * F.sqrt("a"), 9).alias("strength"))
+    # toxic rows of strong terms, of the bounded sample
+    rows = (found.where("y = 1").join(strong, "term").groupBy("term", "b", "strength")
+            .agg(F.collect_list("row").alias("rows")).collect())
+    explained, voters = set(), []
+    for r in sorted(rows, key=lambda r: (-r.strength, r.term)):
+        new = [x for x in r.rows if x not in explained]
+        if sure(len(new), r.b):
+            voters.append(r.term)
+            explained.update(new)
+    return np.sort(np.array(voters, np.int64).view(np.uint64))
 
 
 @dataclass
@@ -140,26 +171,35 @@ class LabelModel:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -35, 35)))
 
 
-def fit_label_model(votes: np.ndarray, lexicon: int, rounds: int) -> LabelModel:
-    """EM over the vote matrix; a row starts toxic if a lexicon voter fires."""
-    v = votes.astype(float)
-    n, m = v.shape
+def _dependence(v: np.ndarray, w: np.ndarray, mass: np.ndarray, rate: np.ndarray) -> np.ndarray:
+    """Sum of each voter's strong correlations inside the classes, a block of voters at a time."""
+    n, share = mass.sum(), mass / mass.sum()
+    sd = np.sqrt(np.maximum(share @ (rate - rate ** 2), 1e-9))
+    out = np.zeros(v.shape[1])
+    for i in range(0, v.shape[1], VOTER_BLOCK):
+        part = slice(i, i + VOTER_BLOCK)
+        together = (v[:, part] * (w.sum(axis=0) / n)[:, None]).T @ v
+        rho = np.clip((together - (rate[:, part] * share[:, None]).T @ rate) / np.outer(sd[part], sd), 0, 1)
+        rho[np.arange(rho.shape[0]), np.arange(i, i + rho.shape[0])] = 0
+        out[part] = np.where(rho < DEPENDENT, 0, rho).sum(axis=1)
+    return out
+
+
+def fit_label_model(votes: np.ndarray, lexicon: int, rounds: int, counts: np.ndarray | None = None) -> LabelModel:
+    """EM over vote vectors (rows of ``counts`` copies); a row starts toxic if a lexicon voter fires."""
+    v = votes.astype(np.float32)
+    m = v.shape[1]
+    counts = np.ones(len(v)) if counts is None else counts.astype(float)
     model = LabelModel(0.1, np.full((2, m), 0.5), np.ones(m))
-    if not n or not lexicon:
+    if not len(v) or not lexicon:
         return LabelModel(1e-6, model.rate, model.keep)
     post = np.where(v[:, :lexicon].sum(axis=1) > 0, 0.9, 0.02)
     for _ in range(rounds):
-        w = np.stack([1 - post, post])
+        w = np.stack([1 - post, post]) * counts
         mass = w.sum(axis=1)
         rate = np.clip((w @ v + 0.1) / (mass[:, None] + 1.0), 1e-5, 1 - 1e-5)
-        # correlation of voters inside the classes, weighted by their mass
-        cov = sum((v * w[y][:, None]).T @ v / max(mass[y], 1e-9) * (mass[y] / n)
-                  - np.outer(rate[y], rate[y]) * (mass[y] / n) for y in (0, 1))
-        sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-        rho = np.clip(cov / np.outer(sd, sd), 0, 1)
-        np.fill_diagonal(rho, 0)
-        rho[rho < DEPENDENT] = 0
-        model = LabelModel(float(np.clip(mass[1] / n, 1e-4, 0.9)), rate, 1.0 / (1.0 + rho.sum(axis=1)))
+        model = LabelModel(float(np.clip(mass[1] / mass.sum(), 1e-4, 0.9)), rate,
+                           1.0 / (1.0 + _dependence(v, w, mass, rate)))
         new = model.posterior(v)
         if np.abs(new - post).max() < 1e-4:
             break
@@ -175,13 +215,15 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, p: ToxicityParams) ->
         for b in batches:
             for i, j, data, offsets in text_blocks(b):
                 v = votes_of(data, offsets, lexicon)
+                v = np.packbits(v, axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in v], pa.binary())], ["v"])
 
-    # training_sample holds max_rows rows at most, whatever repeats
-    rows = sample.select("text").mapInArrow(votes, "v binary").collect()
+    # training_sample holds max_rows rows at most, whatever repeats; one bit a vote, equal vectors once
+    rows = sample.select("text").mapInArrow(votes, "v binary").groupBy("v").count().orderBy("v").collect()
     width = len(lexicon) + PATTERNS + 1
-    matrix = np.frombuffer(b"".join(r.v for r in rows), np.uint8).reshape(-1, width)
-    model = fit_label_model(matrix, len(lexicon), p.rounds)
+    packed = np.frombuffer(b"".join(r.v for r in rows), np.uint8).reshape(len(rows), -(-width // 8))
+    matrix = np.unpackbits(packed, axis=1, count=width)
+    model = fit_label_model(matrix, len(lexicon), p.rounds, np.array([r["count"] for r in rows]))
 
     def labelled(batches):
         for b in batches:

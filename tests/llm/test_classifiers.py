@@ -65,6 +65,36 @@ def test_toxicity_generalises_to_the_held_out_fold(spark):
     assert all(r.predicted == (r.score >= 0.5) for r in out.collect())
 
 
+def test_toxicity_learns_a_wide_vocabulary(spark):
+    r = random.Random(8)
+    bad = [f"x{''.join(r.choice('bdgklmnprst') + r.choice('aeiou') for _ in range(3))}k" for _ in range(100)]
+    rows, labels = [], []
+    for k in range(7000):
+        w = prose(k, r.randrange(10, 40)).split(" ")
+        if k % 2:
+            w.insert(r.randrange(len(w)), r.choice(bad))
+        rows.append((k, " ".join(w)))
+        labels.append((k, 1, k % 2))
+    out = [x for x in toxicity.toxicity_scores(documents(spark, rows), _labels(spark, labels)).collect() if x.held_out]
+    assert np.mean([x.predicted for x in out if x.doc_id % 2]) > 0.8
+    assert np.mean([x.predicted for x in out if x.doc_id % 2 == 0]) < 0.01
+
+
+def test_words_of_a_copied_text_do_not_all_vote(spark):
+    rows, labels = _corpus(600, 2)
+    copied = prose(99, 60) + " " + " ".join(f"copied{j}" for j in range(40)) + " grobian"
+    rows += [(5000 + k, f"{copied} {k}") for k in range(60)]
+    labels += [(5000 + k, 1, 1) for k in range(60)]
+    sample = quality.training_sample(documents(spark, rows), _labels(spark, labels), "toxic", FtrlParams())
+    lexicon = toxicity.induce_lexicon(sample, toxicity.ToxicityParams())
+    assert 1 <= len(lexicon) <= 8
+
+
+def test_binomial_tail():
+    assert abs(toxicity._tail(3, 3, 0.5) - 0.125) < 1e-12 and abs(toxicity._tail(0, 5, 0.3) - 1) < 1e-12
+    assert abs(toxicity._tail(2, 3, 0.25) - (3 * 0.0625 * 0.75 + 0.015625)) < 1e-12
+
+
 def test_held_out_labels_never_matter(spark):
     rows, labels = _corpus(150, 3)
     flipped = [(i, 1 - q, 1 - t) if out_fold(i) else (i, q, t) for i, q, t in labels]
@@ -147,6 +177,9 @@ def test_label_model_recovers_accuracies_and_shares_weight_of_copies():
     assert m.keep[0] < 0.7 and m.keep[3] < 0.7 and m.keep[1] > 0.8 and m.keep[2] > 0.8
     p = m.posterior(v.astype(float))
     assert np.mean((p > 0.5) == y) > 0.9
+    once, n = np.unique(v, axis=0, return_counts=True)                      # equal vectors once
+    c = toxicity.fit_label_model(once, 4, 60, n)
+    assert abs(c.prior - m.prior) < 1e-6 and np.allclose(c.rate, m.rate) and np.allclose(c.keep, m.keep)
 
 
 LANGS = {"aa": ["baku", "lomi", "tera", "suno", "vika"], "bb": ["schnor", "grecht", "pflong", "wurst", "ding"],
