@@ -10,6 +10,7 @@ the union of per-day runs: sessions are joined on (day, sess_id).
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from zoneinfo import ZoneInfo
 
@@ -136,3 +137,36 @@ def daily_events(logs: LogTables, p: EtlParams, day=None, start=None, end=None)
             .select("sess_id", "user_id", "product_id", "event",
                     F.lit(1).alias("event_uv"), DAY))
 
+
+def daily_events_bucketed(logs, p: EtlParams, day=None, start=None, end=None) -> DataFrame:
+    """``daily_events`` over ``bucketed.BucketedLogs``: the rows of ``daily_events``.
+
+    Only the partitions that hold selected days are read, and the bucketed
+    sessions meet their actions without an exchange.  An order's day is the one
+    it was written under, so the zone of ``p`` plays no part.
+    """
+    lo, hi = (day, day) if day is not None else (start, end)
+    days = _day_filter(F.col("dctime"), day, start, end)
+    if lo is not None:
+        days = days & (F.col("log_period") >= F.date_trunc(logs.period, F.lit(_as_date(lo))).cast("date"))
+    if hi is not None:
+        days = days & (F.col("log_period") <= F.lit(_as_date(hi)))
+    cold, hot = (LogTables(*(getattr(t, n).where(days) for n in LogTables.__dataclass_fields__))
+                 for t in (logs.cold, logs.hot))
+    scans = (("click", cold.rec_session_action, F.col("com") == p.click_com),
+             ("wish", cold.rec_session_operate, F.col("operating").isin(list(p.wish_operating))),
+             ("cart", cold.rec_session_basket, F.col("operating").isin(list(p.cart_operating))),
+             ("order", cold.rec_order_products, ~F.col("orders_status").isin(list(p.order_status_deny))))
+    users = (cold.rec_session.where(F.col("customers_id") > 0)
+             .select("log_day", "sess_id", F.col("customers_id").alias("user_id")).distinct())
+    # hot sessions: the same days, by the ordinary join
+    noon = F.unix_date("dctime").cast("bigint") * 86400 + 43200
+    hot = dataclasses.replace(hot, rec_order_products=hot.rec_order_products.withColumn("add_time", noon))
+    out = daily_events(hot, dataclasses.replace(p, time_zone="UTC"), day, start, end)
+    for name, table, action in scans:
+        actions = (table.where(action & _guards(p))
+                   .select("log_day", "sess_id", F.col("products_id").alias("product_id")).distinct())
+        out = out.unionByName(users.join(actions, ["log_day", "sess_id"])
+                              .select("sess_id", "user_id", "product_id", F.lit(name).alias("event"),
+                                      F.lit(1).alias("event_uv"), F.date_from_unix_date("log_day").alias(DAY)))
+    return out

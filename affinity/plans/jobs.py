@@ -4,6 +4,7 @@ The pipeline's four batch jobs and the serving assembly, each one Spark
 plan ending in one write:
 
     etl         raw session logs      -> daily events (partitioned by day)
+    bucket      raw session logs      -> log tables bucketed by (day, session), for etl
     cco         daily events          -> item-event correlations (by event)
     popularity  daily events          -> pop / trend / hot per product
     words       catalogue             -> word vectors of the item texts
@@ -39,20 +40,35 @@ from ..params import (
     cco_default_params,
 )
 from ..session import CONF, apply_cluster_sizing, drop_stored, ensure_checkpoint_dir, ship_package
-from ..sources import sinks, snapshots
+from ..sources import bucketed, sinks, snapshots
 from ..sources.tables import read_catalogue, read_log_tables
 
 
 def etl_job(spark: SparkSession, logs_root: str, out: str, p: EtlParams, day=None,
-            start=None, end=None, mode: str = "overwrite") -> None:
-    """One day (default: yesterday), or a closed day range in one run."""
+            start=None, end=None, mode: str = "overwrite", bucketed_logs: bool = False) -> None:
+    """One day (default: yesterday), or a closed day range in one run.
+
+    ``bucketed_logs``: ``logs_root`` holds what ``bucket_job`` wrote.
+    """
     if day is None and start is None and end is None:
         day = dt.date.today() - dt.timedelta(days=1)
-    df = etl.daily_events(read_log_tables(spark, logs_root), p, day, start, end)
+    if bucketed_logs:
+        df = etl.daily_events_bucketed(bucketed.read_logs(spark, logs_root), p, day, start, end)
+    else:
+        df = etl.daily_events(read_log_tables(spark, logs_root), p, day, start, end)
     sinks.write_daily_events(df, out, mode)
     drop_stored(spark)
 
 
+def bucket_job(spark: SparkSession, logs_root: str, out: str, buckets: int = bucketed.BUCKETS,
+               hot_rows: int = bucketed.HOT_ROWS, time_zone: str = "UTC", period: str = "day") -> None:
+    """Add the days of the logs to the bucketed tables at ``out``."""
+    try:
+        bucketed.write_logs(read_log_tables(spark, logs_root), out, buckets, hot_rows, time_zone, period)
+    finally:
+        drop_stored(spark)
+
+
 def etl_backfill(spark: SparkSession, logs_root: str, out: str, p: EtlParams, start, end, chunk_days: int = 7) -> int:
     """Every day of a closed range, some days at a time; returns the days computed.
 
@@ -177,6 +193,14 @@ def main(argv=None) -> None:
     e.add_argument("--backfill", action="store_true",
                    help="days from --start to --end that are not done yet, a week at a time")
     e.add_argument("--time-zone", default="UTC", help="zone of the logs' calendar days")
+    e.add_argument("--bucketed", action="store_true", help="--logs holds tables of the bucket job")
+    b = sub.add_parser("bucket")
+    b.add_argument("--logs", required=True)
+    b.add_argument("--out", required=True)
+    b.add_argument("--buckets", type=int, default=bucketed.BUCKETS)
+    b.add_argument("--hot-rows", type=int, default=bucketed.HOT_ROWS, help="rows of a day from which a session is kept apart")
+    b.add_argument("--period", choices=bucketed.PERIODS, default="day", help="days of one partition")
+    b.add_argument("--time-zone", default="UTC", help="zone of the orders' calendar days")
     c = sub.add_parser("cco")
     c.add_argument("--daily", required=True)
     c.add_argument("--out", required=True)
@@ -210,11 +234,15 @@ def main(argv=None) -> None:
     spark = _session()
     if a.job == "etl":
         p = EtlParams(sites=tuple(a.sites.split(",")), time_zone=a.time_zone)
+        if a.backfill and a.bucketed:
+            raise SystemExit("--backfill reads plain logs")
         if a.backfill:
             print(f"{etl_backfill(spark, a.logs, a.out, p, a.start, a.end)} days computed")
             return
         etl_job(spark, a.logs, a.out, p, a.day,
-                a.start, a.end, "append" if a.append else "overwrite")
+                a.start, a.end, "append" if a.append else "overwrite", a.bucketed)
+    elif a.job == "bucket":
+        bucket_job(spark, a.logs, a.out, a.buckets, a.hot_rows, a.time_zone, a.period)
     elif a.job == "cco":
         cco_job(spark, a.daily, a.out, a.end, a.lookback, cco_params(a))
     elif a.job == "popularity":

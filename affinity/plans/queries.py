@@ -23,7 +23,7 @@ from ..operators.payload import corr_payload, similarity_payload
 from ..params import CcoParams, EtlParams, Indicator, cco_default_params
 from ..session import materialize, remove_dir, shared_dir
 from ..sources import adapters as ad
-from ..sources import sinks, snapshots
+from ..sources import bucketed, sinks, snapshots
 
 # -- parameters of the checks -----------------------------------------------
 EVENTS_END = dt.date(2024, 1, 31)       # end of the popularity and lookback windows
@@ -34,6 +34,8 @@ MIN_EVENTS = 10                         # binds: users have ~12 items per event
 ORDER_ZONE = "Etc/GMT+5"                # five hours behind UTC: orders fall on the day before
 CLUSTER_ROWS = 8                        # categories of the embeddings are small: make them cluster
 DEFAULT_CAP = 8                         # binds, so the default sampler's seed takes effect
+LOG_BUCKETS = 4                         # small tables
+HOT_LINES = 5                           # binds: an order has up to seven lines
 # The backfill operator takes an explicit day range; a calendar year of the
 # orders data is that range (the whole tables are still scanned).
 BACKFILL = (dt.date(1996, 1, 1), dt.date(1996, 12, 31))
@@ -94,6 +96,15 @@ def q_daily_events_backfill(spark, d):
     return etl.daily_events(_logs(spark, d), ETL_PARAMS, start=BACKFILL[0], end=BACKFILL[1])
 
 
+def q_daily_events_bucketed(spark, d):
+    """The logs written as bucketed tables, sessions above a few lines as hot ones, then joined."""
+    root = shared_dir(spark, "bucketed_logs")
+    bucketed.write_logs(_logs(spark, d), root, LOG_BUCKETS, HOT_LINES, period="year")
+    out = materialize(etl.daily_events_bucketed(bucketed.read_logs(spark, root), ETL_PARAMS))
+    bucketed.drop_logs(spark, root)
+    return out
+
+
 def _read_back(spark, path, *columns):
     """The sink's content as a checkpointed table; the sink's folder goes."""
     back = materialize(snapshots.read(spark, path).select(*columns))
