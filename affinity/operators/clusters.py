@@ -7,16 +7,18 @@ cluster than
 
     cos(max(0, angle(x, centre) - radius))
 
-as angles are a metric on the sphere.  So each row is first compared with
-its own cluster, which gives it a floor, the k-th score; then it visits
-the clusters whose bound reaches that floor, and no others.  A row with fewer than k
-partners at home has no floor and visits all.  Ties at the floor are visited: the bound is
+as angles are a metric on the sphere.  Whole clusters are dealt into blocks of rows
+(a larger cluster into several).  Each block is first compared with its own
+clusters, which gives its rows a floor, the k-th score; the clusters whose
+bound reaches the floor of a row are those the block has to meet, and no others are sent to
+it.  There a row is multiplied with a cluster only if its bound reaches the
+floor it has by then.  Ties at the floor are met: the bound is
 rounded as scores are, with a margin for the arithmetic.
 
 How much is skipped depends on the data: most of it where rows lie in groups,
 little where they are spread evenly over many dimensions; the result is the same
-(``pruning_report`` counts it).  Rows visit as ids of clusters, so a row moves only to strips it is
-compared with.
+(``pruning_report`` counts it).  However little is skipped, a row is sent to each block
+at most once, and what the first pass keeps is one row per block and cluster.
 """
 
 from __future__ import annotations
@@ -27,14 +29,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
+from . import nearest
 
 #: Pivots of a category at most; more rows make larger clusters, cut into strips.
 MOST_PIVOTS = 1024
-#: Added to every angle's bound: more than the error of float32 angles and of arccos near 1.
-MARGIN = 1e-5
 _ROW = ["row_id", "product_id", "cat_path", "vec"]
 _ASSIGNED = ("cat4cat string, row_id long, product_id long, cat_path string, vec array<double>, "
-             "cluster int, angles array<float>")
+             "cluster int, angle double")
 _CLUSTER = ["cat4cat", "cluster"]
 
 
@@ -44,13 +45,13 @@ def _unit(vec: pd.Series) -> np.ndarray:
 
 
 def _assign(key, rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
-    """Nearest pivot of every row, and the angles to all of them."""
+    """Nearest pivot of every row, and the angle to it."""
     if rows.empty:
         return pd.DataFrame({c.split(" ")[0]: [] for c in _ASSIGNED.split(", ")})
     pivots = pivots.sort_values("cluster", ignore_index=True)
-    angle = np.arccos(np.clip(_unit(rows["vec"]) @ _unit(pivots["pivot"]).T, -1, 1)).astype(np.float32)
+    angle = np.arccos(np.clip(_unit(rows["vec"]) @ _unit(pivots["pivot"]).T, -1, 1))
     return pd.DataFrame({"cat4cat": rows["cat4cat"], **{c: rows[c] for c in _ROW},
-                         "cluster": angle.argmin(axis=1).astype(np.int32), "angles": list(angle)})
+                         "cluster": angle.argmin(axis=1).astype(np.int32), "angle": angle.min(axis=1)})
 
 
 def _pivots(rows: DataFrame, sizes: DataFrame, cluster_rows: int) -> DataFrame:
@@ -65,8 +66,8 @@ def _pivots(rows: DataFrame, sizes: DataFrame, cluster_rows: int) -> DataFrame:
     return top.where(F.col("cluster") < F.col("m")).select("cat4cat", "cluster", "pivot")
 
 
-def assigned(rows: DataFrame, sizes: DataFrame, cluster_rows: int, block_size: int) -> DataFrame:
-    """Rows with their cluster and their angles to all pivots of the category.
+def assigned(rows: DataFrame, sizes: DataFrame, cluster_rows: int, block_size: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their cluster and the angle to its pivot.
 
     ``sizes``: (cat4cat, n) of the categories to cluster.  Vectors without a direction are dropped.
     """
@@ -84,64 +85,49 @@ def assigned(rows: DataFrame, sizes: DataFrame, cluster_rows: int, block_size: i
             .select(key, "cat4cat", *_ROW))
     right = (pivots.join(held, "cat4cat").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
              .select(key, "cluster", "pivot"))
-    return stored(left.groupBy("key").cogroup(right.groupBy("key")).applyInPandas(_assign, _ASSIGNED), "clustered")
+    rows = left.groupBy("key").cogroup(right.groupBy("key")).applyInPandas(_assign, _ASSIGNED)
+    return stored(rows, "clustered"), pivots
 
 
-def _cells(left: DataFrame, right: DataFrame, sizes: DataFrame, kernel, schema: str) -> DataFrame:
-    """Every left row of a cluster against every right row of it, by (block, strip) cells."""
-    h = F.xxhash64("row_id")
-    key = F.concat_ws("/", "cat4cat", "cluster", "bi", "bj").alias("key")
+def neighbours(rows: DataFrame, sizes: DataFrame, k: int, block: Column, block_size: int, cluster_rows: int,
+               chunk: int, tasks: int) -> tuple[DataFrame, DataFrame]:
+    """(lists, visits): every row's k best partners of its category, ranked.
 
-    def side(rows, own: Column, other: str, i: str, j: str):
-        return (rows.join(sizes, _CLUSTER).withColumn(i, F.pmod(h, own).cast("int"))
-                .withColumn(j, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-                .select(key, *[F.col(c).alias(c) for c in _ROW]))     # fresh ids: both sides may be one table
-
-    a = side(left, F.col("nl"), "nr", "bi", "bj")
-    b = side(right, F.col("nr"), "nl", "bj", "bi")
-    return a.groupBy("key").cogroup(b.groupBy("key")).applyInPandas(kernel, schema)
-
-
-def _counts(n: Column, size: int) -> Column:
-    return F.ceil(n / F.lit(size)).cast("int")
-
-
-def neighbours(rows: DataFrame, sizes: DataFrame, k: int, block_size: int, strip_size: int, cluster_rows: int,
-               kernel, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(candidates, visits): candidates hold every row's k best partners of its category.
-
-    visits: (cat4cat, cluster, row_id, visit), the clusters each row is compared with besides its own.
+    ``block``: rows of a block, given ``n``.  visits: (key, cat4cat, cluster, z, guests), the clusters of ``z`` rows a block meets, and
+    its rows whose first floor the cluster's bound reaches.
     """
-    a = assigned(rows, sizes, cluster_rows, block_size)
-    n = F.count(F.lit(1))
-    clusters = stored(a.groupBy(*_CLUSTER).agg(
-        _counts(n, block_size).alias("nl"), _counts(n, strip_size).alias("nr"),
-        F.max(F.element_at("angles", F.col("cluster") + 1)).alias("radius")), "clusters")
-    home = stored(_cells(a, a, clusters.select(*_CLUSTER, "nl", "nr"), kernel, schema), "home_candidates")
-
-    w = Window.partitionBy("row_id").orderBy(F.desc("score"), F.asc("other_id"))
-    floor = (home.withColumn("r", F.row_number().over(w)).where(F.col("r") == k)
-             .select("row_id", F.col("score").alias("floor")))
-    # at most MOST_PIVOTS entries per category; a pivot no row chose is no cluster
-    radii = clusters.groupBy("cat4cat").agg(F.collect_list(F.struct("cluster", "radius")).alias("radii"))
-    reach = F.expr(
-        "transform(filter(radii, c -> c.cluster != cluster AND (floor IS NULL OR "
-        "cos(greatest(0D, CAST(element_at(angles, c.cluster + 1) AS DOUBLE) - c.radius - {0}D)) "
-        ">= floor - 0.5e-5 - 1e-9)), c -> c.cluster)".format(format(MARGIN, ".10f")))
-    visits = stored(a.join(floor, "row_id", "left").join(radii, "cat4cat").select(
-        *_CLUSTER, "row_id", "product_id", "cat_path", "vec", reach.alias("visit")), "cluster_visits")
-    guests = visits.select("cat4cat", F.explode("visit").alias("cluster"), *_ROW)
-    cells = stored(guests.groupBy(*_CLUSTER).agg(_counts(n, block_size).alias("nl")).join(
-        clusters.select(*_CLUSTER, "nr"), _CLUSTER), "visit_cells")
-    away = _cells(guests, a, cells, kernel, schema)
-    return home.unionByName(away), visits.select(*_CLUSTER, "row_id", "visit")
+    a, pivots = assigned(rows, sizes, cluster_rows, block_size)
+    # at most MOST_PIVOTS clusters of a category, laid end to end and cut into blocks
+    z = a.groupBy(*_CLUSTER).agg(F.count(F.lit(1)).alias("z"), F.max("angle").alias("radius"))
+    w = Window.partitionBy("cat4cat")
+    before = w.orderBy("cluster").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    clusters = stored(z.select(*_CLUSTER, "z", "radius", (F.sum("z").over(before) - F.col("z")).alias("start"),
+                               F.sum("z").over(w).alias("n")).withColumn("l", block), "clusters")
+    key = F.concat_ws("/", "cat4cat", "blk")
+    place = F.col("start") + F.pmod(F.xxhash64("row_id"), F.col("z"))
+    cut = clusters.select(*_CLUSTER, "z", "start", "l")
+    left = nearest.stream(a.join(cut, _CLUSTER).withColumn("blk", F.floor(place / F.col("l"))), nearest.LEFT, key)
+    last = F.floor((F.col("start") + F.col("z") - 1) / F.col("l"))
+    own = stored(clusters.withColumn("blk", F.explode(F.sequence(F.floor(F.col("start") / F.col("l")), last)))
+                 .select(key.alias("key"), *_CLUSTER), "cluster_blocks")
+    # a pivot no row chose is no cluster
+    centre = nearest.stream(
+        own.select("key", "cat4cat").distinct().join(pivots.join(clusters, _CLUSTER), "cat4cat")
+        .withColumnRenamed("pivot", "vec"), nearest.PIVOT, F.col("key"))
+    partners = a.select(*_CLUSTER, "product_id", "vec")
+    home = nearest.stream(partners.join(own, _CLUSTER), nearest.HOME, F.col("key"))
+    got = nearest.reach([left, centre, home], tasks, k, chunk)
+    of = own.select("key", "cat4cat").distinct()
+    visits = stored(got.join(of, "key").join(clusters.select(*_CLUSTER, "z"), _CLUSTER)
+                    .select("key", *_CLUSTER, "home", "z", "guests"), "cluster_visits")
+    side = F.when(F.col("home"), nearest.HOME).otherwise(nearest.AWAY)
+    met = nearest.stream(partners.join(visits.select("key", *_CLUSTER, "home"), _CLUSTER), side, F.col("key"))
+    return nearest.lists([left, centre, met], tasks, k, chunk), visits
 
 
 def pruning_report(visits: DataFrame) -> DataFrame:
     """(cat4cat, rows, clusters, pairs, compared): row pairs of a category, and those not skipped."""
-    size = visits.groupBy(*_CLUSTER).agg(F.count(F.lit(1)).alias("n"))
-    made = (visits.select("cat4cat", F.explode(F.concat(F.array("cluster"), "visit")).alias("cluster"))
-            .groupBy(*_CLUSTER).agg(F.count(F.lit(1)).alias("guests")))
-    return size.join(made, _CLUSTER).groupBy("cat4cat").agg(
-        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("clusters"),
-        (F.sum("n") * F.sum("n")).alias("pairs"), F.sum(F.col("n") * F.col("guests")).alias("compared"))
+    made = visits.groupBy(*_CLUSTER).agg(F.first("z").alias("z"), F.sum(F.col("z") * F.col("guests")).alias("met"))
+    return made.groupBy("cat4cat").agg(
+        F.sum("z").alias("rows"), F.count(F.lit(1)).alias("clusters"),
+        (F.sum("z") * F.sum("z")).alias("pairs"), F.sum("met").alias("compared"))

@@ -10,41 +10,36 @@ with different texts.
 
 The all-pairs product inside a category grows as n_c^2, and one category
 may hold a large share of all items: exact neighbours cost n_c^2 * dim
-multiplications, and each vector is copied n_c/block_size + n_c/strip_size
-times (about 2,700 copies for 10 million items in one category).  It is
-computed as a blocked matrix product, the way a distributed GEMM is:
-
-* each category is hashed into ``ceil(n_c / block_size)`` left blocks and
-  ``ceil(n_c / strip_size)`` right strips, so no group ever exceeds about
-  block_size + strip_size rows;
-* every (left block, right strip) pair of a category is one cogroup task:
-  numpy normalises the rows (dropping zero vectors), streams the strip in
-  column chunks (BLAS dot products, rounded to 5 places) and keeps a
-  running exact top-k per left row in the final order (score desc, partner
-  id asc), so the union over strips holds every row's global top-k;
-* a row_number window keeps the k best per row over its strips.
-
-A category of more than ``CLUSTER_ROWS`` rows is clustered first, and only
-blocks that can hold a neighbour are multiplied (``clusters``).
-
-Work is spread over (#blocks x #strips) tasks per category; no item pair
-is ever materialised as a row, nothing goes through the driver.
+multiplications.  It is computed as a blocked matrix product:
+
+* each category is hashed into left blocks of at least ``block_size`` and at
+  most ``strip_size`` rows, about eight up to that size, and every row of the
+  category is sent to each of its blocks once;
+* one task per block holds the block's unit vectors and lists and reads
+  the partners as a sorted stream (``nearest``), so its memory does not grow with the
+  category; it keeps a running exact top-k per row in the final order (score
+  desc, partner id asc), and a row's list leaves it once, ranked.
+
+A category of more than ``CLUSTER_ROWS`` rows is clustered first, and a block
+is only sent the clusters that can hold a neighbour (``clusters``).
+
+No item pair is ever a row, candidates are not shuffled, nothing goes through the driver.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import category_of_path, tokens
 from ..params import NEIGHBOURS, W2V_DIM, W2V_MIN_COUNT
 from ..session import stored
 from ..sources.tables import CatalogueTables
-from . import clusters, word2vec
+from . import clusters, nearest, word2vec
+from .nearest import round5  # noqa: F401
 
 SIM_COLUMNS = ("product_id", "cat_path", "other_id", "score", "rank")
 #: Bytes of word vectors up to which every task looks words up in a table of its own.
@@ -53,7 +48,8 @@ LOOKUP_BYTES = 64 << 20
 LOOKUP_WORDS, LOOKUP_TOKENS = 8192, 2_000_000
 #: Rows of a category from which it is clustered before rows are compared.
 CLUSTER_ROWS = 32768
-_CAND_SCHEMA = "row_id long, product_id long, cat_path string, other_id long, score double"
+#: Blocks of a category until they reach ``strip_size`` rows; pairs and rows a task is sized for.
+BLOCKS, TASK_PAIRS, TASK_ROWS = 8, 1 << 28, 1 << 20
 
 
 def item_desc(cat: CatalogueTables) -> DataFrame:
@@ -170,67 +166,6 @@ def text_vectors(items: DataFrame, dim: int = W2V_DIM, min_count: int = W2V_MIN_
     return mean_word_vectors(items, word2vec.train(items, dim, min_count, seed))
 
 
-def round5(x: np.ndarray) -> np.ndarray:
-    """Round half away from zero to 5 places (as ``functions.round_half_away``)."""
-    return np.sign(x) * np.floor(np.abs(x) * 1e5 + 0.5) / 1e5
-
-
-_EMPTY = pd.DataFrame({"row_id": pd.Series([], dtype="int64"),
-                       "product_id": pd.Series([], dtype="int64"),
-                       "cat_path": pd.Series([], dtype=object),
-                       "other_id": pd.Series([], dtype="int64"),
-                       "score": pd.Series([], dtype="float64")})
-#: Scores as integers: cosine * SCALE, shifted to be positive.
-_SCALE = 100_000
-_SHIFT = _SCALE + 1
-
-
-def _unit_rows(block: pd.DataFrame):
-    """Rows sorted by id, as unit vectors; zero (or non-finite) vectors dropped."""
-    block = block.sort_values("product_id", kind="stable", ignore_index=True)
-    m = np.stack(block["vec"].to_numpy()).astype(np.float64, copy=False)
-    norm = np.linalg.norm(m, axis=1)
-    ok = np.isfinite(norm) & (norm > 0)
-    if not ok.all():
-        block, m, norm = block[ok].reset_index(drop=True), m[ok], norm[ok]
-    return block, m / norm[:, None]
-
-
-def _strip_topk(k: int, chunk: int):
-    """Cogroup kernel: every left row against a right strip, exact top-k.
-
-    A score and its column become one integer that orders by score, then by
-    smaller id (columns are sorted by id); the k largest are then a partial
-    sort per row.
-    """
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return _EMPTY.copy()
-        left, lm = _unit_rows(left)
-        right, rm = _unit_rows(right)
-        if left.empty or right.empty:
-            return _EMPTY.copy()
-        lid = left["product_id"].to_numpy()
-        rid = right["product_id"].to_numpy()
-        n = len(rid)
-        best = np.empty((len(lid), 0), np.int64)
-        for c0 in range(0, n, chunk):
-            ids = rid[c0:c0 + chunk]
-            s = np.rint(round5(lm @ rm[c0:c0 + chunk].T) * _SCALE).astype(np.int64) + _SHIFT
-            s = s * n + (n - 1 - np.arange(c0, c0 + len(ids)))
-            s[lid[:, None] == ids[None, :]] = -1            # never the item itself
-            best = np.concatenate([best, s], axis=1)
-            if best.shape[1] > k:
-                best = np.partition(best, best.shape[1] - k, axis=1)[:, -k:]
-        r, c = np.nonzero(best >= 0)
-        got = best[r, c]
-        return pd.DataFrame({"row_id": left["row_id"].to_numpy()[r], "product_id": lid[r],
-                             "cat_path": left["cat_path"].to_numpy()[r],
-                             "other_id": rid[n - 1 - got % n],
-                             "score": (got // n - _SHIFT) / _SCALE})
-    return run
-
-
 def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int = 4096,
                       strip_size: int = 32768, chunk: int = 2048, cluster_rows: int = CLUSTER_ROWS) -> DataFrame:
     """(product_id, cat_path, other_id, score, rank, row_id) within ``cat4cat``.
@@ -241,12 +176,10 @@ def vector_similarity(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int =
     vector row gets its own list (``row_id``), and repeated items are
     partners once per row, never of themselves.
 
-    A category of n rows is hashed twice: into ceil(n/block_size) left
-    blocks and ceil(n/strip_size) right strips; each (block, strip) pair is
-    one task that streams the strip in ``chunk``-column slices and keeps a
-    running exact top-k per left row.  Task input is bounded by
-    block_size + strip_size rows, and each row sends at most
-    ceil(n/strip_size) * k candidates to the final ranking.
+    A category of n rows is hashed into blocks of n / BLOCKS rows, at least
+    ``block_size`` and at most ``strip_size``; each is one task that streams
+    the category in ``chunk``-row slices and keeps a running exact top-k
+    per row.  Every row is sent to each block of its category once.
 
     A category of more than ``cluster_rows`` rows is clustered first, and
     pairs of rows that cannot be neighbours are not compared (``clusters``).
@@ -266,6 +199,7 @@ def skipped_pairs(vectors: DataFrame, k: int = NEIGHBOURS, block_size: int = 409
 
 def _neighbours(vectors, k, block_size, strip_size, chunk, cluster_rows):
     """(neighbours, visits of the clustered categories or None)."""
+    spark = vectors.sparkSession
     v = (vectors.where(F.col("vec").isNotNull() & F.col("cat4cat").isNotNull()
                        & F.col("product_id").isNotNull())
          .select("product_id", "cat_path", "cat4cat", "vec",
@@ -273,36 +207,26 @@ def _neighbours(vectors, k, block_size, strip_size, chunk, cluster_rows):
     # written tables: row ids are fixed, and the size join is a plain exchange
     # that AQE can split on a large category
     v = stored(v, "similarity_vectors")
-    cnt = F.count(F.lit(1))
-    sizes = stored(v.groupBy("cat4cat").agg(
-        cnt.alias("n"), F.ceil(cnt / F.lit(block_size)).cast("int").alias("nl"),
-        F.ceil(cnt / F.lit(strip_size)).cast("int").alias("nr")), "similarity_sizes")
-    large, visits = sizes.where(F.col("n") > cluster_rows), None
-    clustered = not large.isEmpty()
-    sizes = sizes.where(F.col("n") <= cluster_rows)
-    h = F.xxhash64("row_id")
-    vb = stored(v.join(sizes, "cat4cat")
-                .withColumn("bl", F.pmod(h, F.col("nl")).cast("int"))
-                .withColumn("br", F.pmod(h, F.col("nr")).cast("int")), "similarity_blocks")
-    cols = ["row_id", "product_id", "cat_path", "vec"]
-    left = vb.select("cat4cat", F.col("bl").alias("bi"),
-                     F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("bj"), *cols)
-    # Fresh attribute ids on one side: both sides derive from `vb`.
-    right = vb.select(F.col("cat4cat").alias("cat4cat"),
-                      F.explode(F.sequence(F.lit(0), F.col("nl") - 1)).alias("bi"),
-                      F.col("br").alias("bj"), *[F.col(c).alias(c) for c in cols])
-    keys = ["cat4cat", "bi", "bj"]
-    cand = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
-            .applyInPandas(_strip_topk(k, chunk), _CAND_SCHEMA))
+    block = F.least(F.lit(strip_size), F.greatest(F.lit(block_size), F.ceil(F.col("n") / F.lit(BLOCKS)))).cast("long")
+    sizes = stored(v.groupBy("cat4cat").agg(F.count(F.lit(1)).alias("n")).withColumn("l", block)
+                   .withColumn("nl", F.ceil(F.col("n") / F.col("l"))), "similarity_sizes")
+    pairs, copies, blocks, most = sizes.agg(F.sum(F.col("n").cast("double") * F.col("n")), F.sum(F.col("n") * F.col("nl")),
+                                            F.sum("nl"), F.max("n")).first()
+    tasks = int(min(blocks or 1, max(int(spark.conf.get("spark.sql.shuffle.partitions")), (pairs or 0) // TASK_PAIRS,
+                                     (copies or 0) // TASK_ROWS)))
+    clustered = (most or 0) > cluster_rows
+    small = v.join(sizes.where(F.col("n") <= cluster_rows), "cat4cat")
+    key = F.concat_ws("/", "cat4cat", "blk")
+    left = nearest.stream(small.withColumn("blk", F.floor(F.pmod(F.xxhash64("row_id"), F.col("n")) / F.col("l")))
+                          .drop("n"), nearest.LEFT, key)
+    right = nearest.stream(small.select("cat4cat", "product_id", "vec", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.col("nl") - 1)).alias("blk")), nearest.HOME, key)
+    found, visits = nearest.lists([left, right], tasks, k, chunk), None
     if clustered:
-        more, visits = clusters.neighbours(v, large, k, block_size, strip_size, cluster_rows,
-                                           _strip_topk(k, chunk), _CAND_SCHEMA)
-        cand = cand.unionByName(more)
-    w = Window.partitionBy("row_id").orderBy(F.desc("score"), F.asc("other_id"))
-    best = (cand.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= k)
-            .select(*SIM_COLUMNS, "row_id"))
-    return best, visits
+        large = sizes.where(F.col("n") > cluster_rows).select("cat4cat", "n")
+        more, visits = clusters.neighbours(v, large, k, block, block_size, cluster_rows, chunk, tasks)
+        found = found.unionByName(more)
+    return found.select(*SIM_COLUMNS, "row_id"), visits
 
 
 def text_similarity(cat: CatalogueTables, k: int = NEIGHBOURS, dim: int = W2V_DIM,
