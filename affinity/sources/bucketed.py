@@ -22,7 +22,7 @@ import hashlib
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,6 +34,8 @@ from .tables import LogTables
 DAY, LOG_DAY, SESSION, PERIOD = "dctime", "log_day", "sess_id", "log_period"
 PERIODS = ("day", "week", "month", "year")
 LAYOUT = "layout.json"
+#: Marks the rows of hot sessions while a batch is written.
+HOT = "log_hot"
 BUCKETS = 1024
 HOT_ROWS = 1_000_000
 NAMES = tuple(LogTables.__dataclass_fields__)
@@ -82,7 +84,7 @@ def write_logs(logs: LogTables, root: str, buckets: int = BUCKETS, hot_rows: int
         df = df.where(F.col(DAY).isNotNull() & F.col(SESSION).isNotNull())
         rest = [c for c in df.columns if c not in (LOG_DAY, SESSION, PERIOD)]
         tables[name] = df.select(F.unix_date(DAY).alias(LOG_DAY), SESSION, *rest,
-                                 F.date_trunc(period, DAY).cast("date").alias(PERIOD))
+                                 _period(period).alias(PERIOD))
     folder = _Folder(spark, root)
     if not folder.names(LAYOUT):
         folder.create(LAYOUT, json.dumps(
@@ -99,21 +101,33 @@ def write_logs(logs: LogTables, root: str, buckets: int = BUCKETS, hot_rows: int
     again = [str(r[0]) for r in there.join(new, [PERIOD, DAY], "left_semi").select(DAY).distinct().collect()]   # days
     if again:
         raise ValueError(f"{root} already has {', '.join(sorted(again))}")
+    same: dict[int, list[str]] = {}                        # a log table may be given under two names
+    for name in NAMES:
+        same.setdefault(id(getattr(logs, name)), []).append(name)
     hot = None
-    for df in tables.values():
-        n = df.groupBy(LOG_DAY, SESSION).count().where(F.col("count") > hot_rows).select(LOG_DAY, SESSION)
+    for names in same.values():
+        n = (tables[names[0]].groupBy(LOG_DAY, SESSION).count().where(F.col("count") > hot_rows)
+             .select(LOG_DAY, SESSION))
         hot = n if hot is None else hot.union(n)
     hot = stored(hot.distinct(), "hot_sessions")           # at most rows / hot_rows sessions of a table
-    for name in (*NAMES[1:], NAMES[0]):
-        _add(tables[name], hot, _table(root, name), buckets)
+    for names in reversed(same.values()):
+        df = tables[names[0]]
+        # told apart once, by a join that AQE can split, and written: neither the logs nor the join run again
+        apart = stored(df.drop(PERIOD).join(hot.withColumn(HOT, F.lit(True)), [LOG_DAY, SESSION], "left"), "log_rows")
+        apart = apart.withColumn(PERIOD, _period(period))
+        for name in reversed(names):
+            _add(apart, df.columns, _table(root, name), buckets)
+
+
+def _period(period: str) -> Column:
+    return F.date_trunc(period, DAY).cast("date")
 
 
-def _add(df: DataFrame, hot: DataFrame, table: str, buckets: int) -> None:
-    apart = df.join(hot, [LOG_DAY, SESSION], "left_semi").hint("rebalance", PERIOD)
-    apart.select(*df.columns).write.insertInto(f"{table}_hot")
+def _add(rows: DataFrame, columns: list[str], table: str, buckets: int) -> None:
+    rows.where(HOT).hint("rebalance", PERIOD).select(*columns).write.insertInto(f"{table}_hot")
     # the exchange places rows as the buckets do: a file per bucket and period
-    rest = df.join(hot, [LOG_DAY, SESSION], "left_anti").repartition(buckets, LOG_DAY, SESSION)
-    rest.select(*df.columns).write.insertInto(table)
+    rest = rows.where(F.col(HOT).isNull()).select(*columns).repartition(buckets, LOG_DAY, SESSION)
+    rest.write.insertInto(table)
 
 
 def read_logs(spark: SparkSession, root: str) -> BucketedLogs:

@@ -126,3 +126,19 @@ def test_jobs_write_buckets_and_join_them(spark, root):
     jobs.etl_job(spark, root, f"{work}/daily", P, start=D1, end=D2, bucketed_logs=True)
     assert _rows(snapshots.read(spark, f"{work}/daily")) == _rows(etl.daily_events(logs, P))
     remove_dir(spark, work)
+
+
+def test_a_log_table_is_told_apart_once_and_joined_lines_can_be_kept(spark, root):
+    from affinity import session
+    from affinity.sources import adapters as ad
+
+    logs = ad.orders_logs(spark, "/root/testdata/sf0.001", keep=True)
+    assert sum("/log_lines-" in p for p in session._STORED) == 1
+    before = len(session._STORED)
+    bucketed.write_logs(logs, root, 2, hot_rows=5, period="year")         # operate and basket are one table
+    assert sum("/log_rows-" in p for p in session._STORED[before:]) == 4
+    b = bucketed.read_logs(spark, root)
+    for n in LogTables.__dataclass_fields__:
+        parts = getattr(b.cold, n).drop("log_day", "log_period").unionByName(getattr(b.hot, n).drop("log_day", "log_period"))
+        want = getattr(logs, n)
+        assert parts.select(want.columns).exceptAll(want).isEmpty() and parts.count() == want.count() > 0
