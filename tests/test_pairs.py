@@ -183,3 +183,26 @@ def test_no_edges(spark):
     df = spark.createDataFrame([], "event string, user_id long, product_id long, event_uvs long")
     assert cco.cross_occurrence(df, CcoParams()).collect() == []
     assert cco.cooccurrence_counts(df, CcoParams()).collect() == []
+
+
+def test_packed_pairs_take_few_bytes_and_come_back_whole():
+    import pyarrow as pa
+
+    r = np.random.default_rng(8)
+    for item, far in ((pa.int64(), 1), (pa.int64(), (1 << 62) // 2500), (pa.string(), 1)):
+        def ids(v):
+            return pa.array((v - 2500) * far, item) if item == pa.int64() else pa.array([f"i{k}" for k in v], item)
+
+        user, x, y = np.repeat(np.arange(60), 15), r.integers(0, 5000, 900), r.integers(0, 5000, 900)
+        zero = pa.array(np.zeros(900, np.int32))
+        left = pa.table({"user_id": user, "ba": zero, "bb": zero, "x": ids(x), "a": r.integers(1, 90, 900),
+                         "parts": np.ones(900, np.int64), "floor": pa.nulls(900, pa.list_(pa.float64()))})
+        right = pa.table({"user_id": user, "ba": zero, "bb": zero, "ev": pa.array(np.zeros(900, np.int8)), "y": ids(y),
+                          "b": r.integers(1, 90, 900), "own": pa.array(np.zeros(900, bool))})
+        items, _, ev, px, py, a, b, c = pairs.multiply(left, right, 60)
+        packed = pairs._packer(60, 3, item)(left, right)
+        got = [v for k in range(3) for v in zip(*pairs._unpacked(packed.filter(pa.compute.equal(packed["bucket"], k)))[:6],
+                                                strict=True)]
+        assert sorted(got) == sorted(zip(ev, items[px], items[py], a, b, c, strict=True)) and len(got) > 13_000
+        if item == pa.int64() and far == 1:
+            assert packed.nbytes < 12 * len(got), packed.nbytes / len(got)
