@@ -6,8 +6,9 @@ task once, whole and ranked; neither the partners' rows nor candidates are ever
 task's memory is that of its block (rows, lists) and one product of ``PART`` rows by ``chunk`` partners.
 
 A stream is a sorted partition of rows (key, side, cluster, ...): the block's rows
-(``LEFT``), the pivots of its category with their clusters' radii (``PIVOT``, where it is clustered), then
-partners, those of the block's own clusters first (``HOME``, ``AWAY``).
+(``LEFT``), the pivots of its category with their clusters' radii and sizes (``PIVOT``, where it is clustered), then
+partners: those of the block's clusters that only their own rows, and rows of clusters too small to
+fill a list, have to meet (``HOME``), its other clusters (``NEAR``), and those of other blocks (``AWAY``).
 """
 
 from __future__ import annotations
@@ -20,10 +21,10 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEFT, PIVOT, HOME, AWAY = range(4)
-STREAM = ("key", "side", "cluster", "product_id", "row_id", "cat_path", "radius", "vec")
+LEFT, PIVOT, HOME, NEAR, AWAY = range(5)
+STREAM = ("key", "side", "cluster", "product_id", "row_id", "cat_path", "radius", "size", "vec")
 LISTS = "row_id long, product_id long, cat_path string, other_id long, score double, rank int"
-REACH = "key string, cluster int, home boolean, guests long"
+REACH = "key string, cluster int, side int, guests long"
 #: Rows of a block multiplied at a time.
 PART = 1024
 #: Scores as integers: cosine * SCALE, shifted to be positive.
@@ -86,7 +87,7 @@ class Block:
         self.score, self.other = np.full((n, k), -1, np.int32), np.zeros((n, k), np.int64)
         self.low, self.last = np.full(n, -1, np.int64), np.zeros(n, np.int64)     # score and id in the last place
         self.floor = np.full(n, -np.inf)                                         # what a score must reach
-        self.seen, self.bound, self.clusters = 0, None, None
+        self.seen, self.bound, self.clusters, self.own, self.small, self.home = 0, None, None, None, None, None
         self.waiting: list[list] = [[] for _ in range(0, n, PART)]
         self.width, self.held = [0] * len(self.waiting), [0] * len(self.waiting)
 
@@ -100,30 +101,41 @@ class Block:
         for s in range(0, len(self.id), PART):
             angle = np.arccos(np.clip(self.m[s:s + PART] @ p, -1, 1)) - radius - MARGIN
             self.bound[s:s + PART] = np.cos(np.maximum(0, angle)) + 1e-6
+        self.own = np.searchsorted(self.clusters, _column(self.rows, "cluster").to_numpy())
+        # a row may be its own cluster's, so a cluster of k rows leaves a place empty
+        self.small = (_column(rows, "size").to_numpy() <= self.k)[self.own]
+        self.home = np.zeros(len(self.clusters), bool)
+        self.home[self.own] = True
 
-    def meet(self, b: pa.RecordBatch) -> None:
+    def meet(self, b: pa.RecordBatch, side: int = AWAY) -> None:
         """Partners; rows whose bound does not reach their k-th score are left out."""
         ok, m = unit_rows(b.column("vec"))
-        ids, cluster = b.column("product_id").to_numpy()[ok], b.column("cluster").take(pa.array(ok))
-        s = 0
-        while s < len(ids):
-            e = min(len(ids), s + min(self.chunk, max(self.k, self.seen)))
-            at = None if self.bound is None else np.searchsorted(
-                self.clusters, np.unique(cluster.slice(s, e - s).to_numpy()))
-            for part in range(len(self.waiting)):
-                self._multiply(part, m[s:e], ids[s:e], at)
-            self.seen += e - s
-            s = e
-
-    def _multiply(self, part: int, m: np.ndarray, ids: np.ndarray, at) -> None:
+        ids, s, edge = b.column("product_id").to_numpy()[ok], 0, [len(ok)]
+        if self.bound is not None:                                               # one cluster at a time
+            at = np.searchsorted(self.clusters, b.column("cluster").to_numpy()[ok])
+            edge = [*(np.flatnonzero(np.diff(at)) + 1), len(ok)]
+        for end in edge:
+            while s < end:
+                e = min(end, s + min(self.chunk, max(self.k, self.seen)))
+                for part in range(len(self.waiting)):
+                    self._multiply(part, m[s:e], ids[s:e], None if self.bound is None else int(at[s]), side)
+                self.seen += e - s
+                s = e
+
+    def _multiply(self, part: int, m: np.ndarray, ids: np.ndarray, at: int | None, side: int) -> None:
         lo, hi = part * PART, min((part + 1) * PART, len(self.id))
+        # partners of larger ids than the last place's need a better score than its
+        floor = self.floor[lo:hi] + np.where(self.last[lo:hi] <= ids.min(), 1 / _SCALE, 0)
         act = np.arange(lo, hi)
         if at is not None:
-            act = act[self.bound[lo:hi, at].max(axis=1) >= self.floor[lo:hi]]
+            ok = self.bound[lo:hi, at] >= floor
+            if side == HOME:
+                ok &= (self.own[lo:hi] == at) | self.small[lo:hi]
+            act = act[ok]
             if not len(act):
                 return
         s = self.m[act] @ m.T
-        x, y = np.nonzero(s >= self.floor[act, None])
+        x, y = np.nonzero(s >= floor[act - lo, None])
         q = np.rint(round5(s[x, y]) * _SCALE).astype(np.int32) + _SHIFT
         x, other = act[x], ids[y]
         keep = (other != self.id[x]) & ((q > self.low[x]) | ((q == self.low[x]) & (other < self.last[x])))
@@ -165,15 +177,24 @@ class Block:
                 ["row_id", "product_id", "cat_path", "other_id", "score", "rank"])
 
     def reach(self) -> Iterator[pa.RecordBatch]:
-        """The clusters that may hold partners better than a row's k-th so far, with the number of such rows."""
+        """The block's clusters, and those that may hold partners better than the k-th so far of a row that
+        has not met them, with the number of such rows."""
+        key = self.rows.column("key")[0].as_py()
+        away = np.zeros(len(self.clusters), np.int64)
         for part in range(len(self.waiting)):
             self._merge(part)
-        guests = (self.bound >= self.floor[:, None]).sum(axis=0)
-        got = np.flatnonzero(guests)
-        home = np.isin(self.clusters[got], _column(self.rows, "cluster").to_numpy())
-        key = pa.array([self.rows.column("key")[0].as_py()] * len(got), pa.string())
-        yield pa.RecordBatch.from_arrays([key, pa.array(self.clusters[got], pa.int32()), pa.array(home),
-                                          pa.array(guests[got], pa.int64())], ["key", "cluster", "home", "guests"])
+            lo, hi = part * PART, min((part + 1) * PART, len(self.id))
+            want = self.bound[lo:hi] >= self.floor[lo:hi, None]
+            want[self.small[lo:hi, None] & self.home] = False
+            want[np.arange(hi - lo), self.own[lo:hi]] = False
+            away += want.sum(axis=0)
+        met = np.where(self.home, np.bincount(self.own[~self.small], minlength=len(away)) + self.small.sum(), 0)
+        side = np.where(~self.home, AWAY, np.where(away > 0, NEAR, HOME))
+        got = np.flatnonzero(met + away)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([key] * len(got), pa.string()), pa.array(self.clusters[got], pa.int32()),
+             pa.array(side[got], pa.int32()), pa.array((met + away)[got], pa.int64())],
+            ["key", "cluster", "side", "guests"])
 
 
 def _column(t: pa.Table, name: str) -> pa.Array:
@@ -203,7 +224,7 @@ def _blocks(batches, k: int, chunk: int) -> Iterator[Block]:
                     block.pivots(pa.Table.from_batches(rows[PIVOT]))
                 rows = {LEFT: [], PIVOT: []}
             if block is not None and len(block.id):
-                block.meet(piece)
+                block.meet(piece, int(side[s]))
     if block is not None:
         yield block
 
@@ -233,7 +254,7 @@ def lists(sides: list[DataFrame], tasks: int, k: int, chunk: int) -> DataFrame:
 
 
 def reach(sides: list[DataFrame], tasks: int, k: int, chunk: int) -> DataFrame:
-    """(key, cluster, home, guests): the clusters each block has to meet, after those it met."""
+    """(key, cluster, side, guests): the clusters each block has to meet, after those it met."""
     def run(batches):
         for block in _blocks(batches, k, chunk):
             if len(block.id):

@@ -101,3 +101,12 @@ def test_lists_of_a_stream_need_the_block_only_and_take_any_ids():
         want = np.lexsort((np.broadcast_to(ids, score.shape), -score), axis=1)[:, :20]
         assert (lists.other_id.to_numpy().reshape(600, 20) == ids[want]).all()
         assert np.allclose(lists.score.to_numpy().reshape(600, 20), np.take_along_axis(score, want, axis=1))
+
+
+def test_a_category_just_over_the_limit_has_clusters_enough_to_skip_most_pairs(spark):
+    rows = _grouped(n=600)
+    df = spark.createDataFrame(rows, SCHEMA)
+    args = dict(k=5, block_size=50, strip_size=100, chunk=16, cluster_rows=500)      # one cluster per 500 rows: two
+    assert _lists(sim.vector_similarity(df, **args)) == _brute(rows, 5)
+    (r,) = sim.skipped_pairs(df, **args).collect()
+    assert r.clusters > 10 and r.compared < 0.5 * r.pairs, r
