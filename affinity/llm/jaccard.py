@@ -45,6 +45,8 @@ from .textcore import BASE, mix, ngrams, text_blocks, words
 SKETCH_BITS = 18
 #: Slots in which a task remembers the shingles it has met.
 _SEEN_BITS = 26
+#: Slots in which a task remembers the classes whose text it has sent.
+_SENT = 1 << 16
 _CHUNKS = 64
 _DEALS = 256
 
@@ -216,10 +218,8 @@ def _fits(n1, p1, n2, p2, percent: int):
 def shared_runs(postings: DataFrame) -> DataFrame:
     """(h, gid, n, pos): the prefix rows whose shingle occurs more than once."""
     w = Window.partitionBy("h").orderBy("n", "gid")
-    return (postings.withColumn("r", F.row_number().over(w)).withColumn("next", F.lead("gid").over(w))
-            .withColumn("before", F.lag("gid").over(w))
-            .where((F.col("r") > 1) | F.col("next").isNotNull())
-            .where(F.col("before").isNull() | (F.col("before") != F.col("gid")))
+    return (postings.withColumn("next", F.lead("gid").over(w)).withColumn("before", F.lag("gid").over(w))
+            .where(F.when(F.col("before").isNull(), F.col("next").isNotNull()).otherwise(F.col("before") != F.col("gid")))
             .select("h", "gid", "n", "pos"))
 
 
@@ -295,28 +295,29 @@ def verified(pairs: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
 
 
 def class_texts(documents: DataFrame, involved: DataFrame, p: JaccardParams) -> DataFrame:
-    """(cid, z): the compressed text of one document of every involved class."""
-    kind = documents.schema["doc_id"].dataType.simpleString()
+    """(cid, z): the compressed text of one document of every involved class (cid).
 
+    A task leaves out classes it has just sent (a table of ``_SENT`` slots), so a text
+    with very many copies is not shuffled with all of them.
+    """
     def squeeze(batches):
+        sent, any_sent = np.zeros(_SENT, np.int64), np.zeros(_SENT, bool)
         for b in batches:
-            z = [zlib.compress(v.as_py().encode(), 1) for v in b.column(1).fill_null("")]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(z, pa.binary())], ["doc_id", "z"])
-
-    def check(batches):          # a repeated doc_id may carry another text
-        for b in batches:
-            texts = pa.array([zlib.decompress(v.as_py()) for v in b.column(1)], pa.binary()).cast(pa.string())
-            ok = np.zeros(b.num_rows, bool)
-            want = b.column(0).to_numpy()
-            for i, j, data, offsets in text_blocks(pa.RecordBatch.from_arrays([texts], ["text"])):
+            text = b.column(0).fill_null("")
+            for i, j, data, offsets in text_blocks(b):
                 g, r = shingle_sets(data, offsets, p.shingle)
-                ok[i:j] = set_ids(g, r, j - i)[1].view(np.int64) == want[i:j]
-            yield b.filter(pa.array(ok))
+                n, cid = set_ids(g, r, j - i)
+                cid, first = np.unique(cid.view(np.int64)[n > 0], return_index=True)
+                first = np.flatnonzero(n > 0)[first]
+                slot = cid & (_SENT - 1)
+                new = ~any_sent[slot] | (sent[slot] != cid)
+                cid, first, slot = cid[new], first[new], slot[new]
+                sent[slot], any_sent[slot] = cid, True
+                z = [zlib.compress(text[int(k) + i].as_py().encode(), 1) for k in first]
+                yield pa.RecordBatch.from_arrays([pa.array(cid), pa.array(z, pa.binary())], ["cid", "z"])
 
-    z = documents.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(
-        squeeze, f"doc_id {kind}, z binary")
-    return (z.join(involved.select("cid", "doc_id"), "doc_id").select("cid", "z")
-            .mapInArrow(check, "cid long, z binary"))
+    z = documents.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(squeeze, "cid long, z binary")
+    return z.join(involved, "cid", "left_semi").dropDuplicates(["cid"])
 
 
 def _verified_pairs(pairs: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
@@ -420,7 +421,7 @@ def class_links(comp: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFram
              .withColumn("deal", F.when(blocks > 1, F.col("c")).otherwise(F.pmod(F.xxhash64("c"), F.lit(deals))))
              .withColumn("big", blocks > 1).withColumn("t", F.explode(tasks))
              .select("cid", "c", "deal", "big", "mine", "t.i", "t.j"))
-    return (dealt.join(texts.dropDuplicates(["cid"]), "cid").groupBy("deal", "big", "i", "j")
+    return (dealt.join(texts, "cid").groupBy("deal", "big", "i", "j")
             .applyInArrow(count, "cid long, n long").groupBy("cid").agg(F.sum("n").alias("n_links")))
 
 
@@ -448,9 +449,9 @@ def near_duplicates(documents: DataFrame, p: JaccardParams | None = None, links:
 
     runs = saved(shared_runs(postings(known)), "jaccard_runs")
     member = classes.select("gid", "cid")
-    touched = (runs.select("gid").distinct().join(member, "gid").select("cid")
-               .unionByName(inside.join(member, "gid").select("cid")).distinct())
-    texts = saved(class_texts(documents, classes.join(touched, "cid"), p), "jaccard_texts")
+    touched = saved(runs.select("gid").distinct().join(member, "gid").select("cid")
+                    .unionByName(inside.join(member, "gid").select("cid")).distinct(), "jaccard_touched")
+    texts = saved(class_texts(documents, touched, p), "jaccard_texts")
 
     # pivots: every class with the first class of a pivot group and of its own group
     of = member.withColumn("c", F.col("cid"))

@@ -145,3 +145,17 @@ def test_common_counts_equal_plain_intersections():
         g, row = np.concatenate(sets), np.repeat(np.arange(40), [len(s) for s in sets])
         want = [[len(np.intersect1d(x, y)) for y in sets[15:]] for x in sets[:15]]
         assert jaccard.common_counts(g, row, 15, 25).tolist() == want
+
+
+def test_a_class_has_one_text_however_often_its_id_is_repeated(spark):
+    p = jaccard.JaccardParams()
+    near = " ".join([*prose(1, 60).split(), "x"])
+    rows = [(1, prose(1, 60))] * 30 + [(2, near)] * 20 + [(3, "")]
+    docs = documents(spark, rows).select("doc_id", "text").repartition(4)
+    sketch = spark.sparkContext.broadcast(jaccard.count_sketch(docs, p))
+    known = jaccard.document_sets(docs, sketch, p).where("n > 0")
+    texts = jaccard.class_texts(docs, known.select("doc_id", "cid").distinct(), p)
+    assert texts.count() == 2
+    a, b = sorted(r.cid for r in texts.select("cid").collect())
+    pairs = spark.createDataFrame([(a, b)], "a long, b long")
+    assert jaccard.verified(pairs, texts, p).collect() == [(a, b)]
