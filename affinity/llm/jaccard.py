@@ -8,7 +8,7 @@ occur, rarest first, so frequent lines and passages sit outside prefixes.
 1. A fixed-size count sketch over the shingles of all documents gives the
    order (it ranks only; results do not depend on it).
 2. One scan gives every document its class (hash of the set), its group
-   (equal prefix and size) and its prefix.
+   (equal prefix and size), its prefix and its compressed text.
 3. Groups are joined on prefix shingles; a shingle of one group is dropped.
    In a few turns every group is paired with pivot groups of its runs (size
    and position filters), the pairs are expanded to members, verified on
@@ -38,15 +38,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_count, saved
+from .common import bucket_count, saved, scratch
 from .components import components
 from .textcore import BASE, mix, ngrams, text_blocks, words
 
 SKETCH_BITS = 18
 #: Slots in which a task remembers the shingles it has met.
 _SEEN_BITS = 26
-#: Slots in which a task remembers the classes whose text it has sent.
-_SENT = 1 << 16
+#: Prefix rows of a bucket, and prefix rows a task holds to deal them.
+_BUCKET, _DEALT = 1 << 18, 1 << 21
 _CHUNKS = 64
 _DEALS = 256
 
@@ -132,15 +132,19 @@ def count_sketch(documents: DataFrame, p: JaccardParams) -> np.ndarray:
     size = 1 << SKETCH_BITS
 
     def count(batches):
-        c, seen = np.zeros(size, np.int64), np.zeros(1 << _SEEN_BITS, bool)
+        c, seen, held = np.zeros(size, np.int64), np.zeros(1 << _SEEN_BITS, bool), []
         for b in batches:
             for _, _, data, offsets in text_blocks(b):
                 _, _, row, h = words(data, offsets)
                 g, _ = ngrams(h, row, p.shingle)
                 slot = (g & np.uint64((1 << _SEEN_BITS) - 1)).astype(np.int64)
-                again = g[seen[slot]]
+                held.append((g[seen[slot]] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
                 seen[slot] = True
-                c += np.bincount((again >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
+                if sum(map(len, held)) > size:
+                    c += np.bincount(np.concatenate(held), minlength=size)
+                    held = []
+        for x in held:
+            c += np.bincount(x, minlength=size)
         parts = np.minimum(c, 2**31 - 1).astype(np.int32).reshape(_CHUNKS, -1)
         deal = TaskContext.get().partitionId() % _DEALS
         yield pa.RecordBatch.from_arrays(
@@ -163,16 +167,17 @@ def count_sketch(documents: DataFrame, p: JaccardParams) -> np.ndarray:
 
 
 def document_sets(documents: DataFrame, sketch, p: JaccardParams) -> DataFrame:
-    """(doc_id, cid, gid, n, prefix) per row: class, group, set size, prefix hashes in order."""
+    """(doc_id, cid, gid, n, prefix, z) per row: class, group, set size, prefix hashes in order
+    (without a sketch in that of the hashes) and the compressed text."""
     def scan(batches):
-        counts = np.minimum(sketch.value, (1 << 20) - 1)
+        counts = None if sketch is None else np.minimum(sketch.value, (1 << 20) - 1)
 
         def often(g):
             return counts[(g >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
 
         for b in batches:
             for i, j, data, offsets in text_blocks(b):
-                g, r = shingle_sets(data, offsets, p.shingle, often)
+                g, r = shingle_sets(data, offsets, p.shingle, None if sketch is None else often)
                 n, cid = set_ids(g, r, j - i)
                 pos = np.arange(len(g)) - (np.cumsum(n) - n)[r]
                 size = np.where(n > 0, n - p.needed(n) + 1, 0)
@@ -181,31 +186,124 @@ def document_sets(documents: DataFrame, sketch, p: JaccardParams) -> DataFrame:
                 gid = mix(_row_sums(mix(g * BASE + BASE), r, j - i) + n.astype(np.uint64) * BASE)
                 cut = np.concatenate([[0], np.cumsum(size)]).astype(np.int32) * 8
                 prefix = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(cut), pa.py_buffer(g.tobytes())])
+                z = [zlib.compress(data[s:e], 1) if k else b"" for s, e, k in zip(offsets[:-1], offsets[1:], n)]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.array(cid.view(np.int64)), pa.array(gid.view(np.int64)),
-                     pa.array(n), prefix], ["doc_id", "cid", "gid", "n", "prefix"])
+                     pa.array(n), prefix, pa.array(z, pa.binary())], ["doc_id", "cid", "gid", "n", "prefix", "z"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(
-        scan, f"doc_id {kind}, cid long, gid long, n long, prefix binary")
+        scan, f"doc_id {kind}, cid long, gid long, n long, prefix binary, z binary")
 
 
-def postings(rows: DataFrame) -> DataFrame:
-    """(h, gid, n, pos): the prefix rows, each group once per batch."""
-    def explode(batches):
+def postings(rows: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, h, gid, n, pos): the prefix rows dealt into buckets by shingle, packed.
+
+    A row holds what a task has for a bucket, as arrays: the lower half of the shingle's
+    hash, group, size and position.  A task sends a group once in ``_DEALT`` prefix rows.
+    """
+    def deal(batches):
+        held, size = [], 0
         for b in batches:
             gid, n = b.column(0).to_numpy(), b.column(1).to_numpy()
             _, first = np.unique(gid, return_index=True)
-            parts = [np.frombuffer(b.column(2)[int(k)].as_py(), np.int64) for k in first]
-            size = np.array([len(x) for x in parts], np.int64)
-            own = np.repeat(first, size)
-            pos = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
-            h = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(gid[own]), pa.array(n[own].astype(np.int32)), pa.array(pos.astype(np.int32))],
-                ["h", "gid", "n", "pos"])
-
-    return rows.select("gid", "n", "prefix").mapInArrow(explode, "h long, gid long, n int, pos int")
+            parts = [np.frombuffer(b.column(2)[int(k)].as_py(), np.uint64) for k in first]
+            held.append((gid[first], n[first], parts))
+            size += sum(len(x) for x in parts)
+            if size >= _DEALT:
+                yield packed(held)
+                held, size = [], 0
+        if size:
+            yield packed(held)
+
+    def packed(held):
+        gid, n = (np.concatenate([x[k] for x in held]) for k in (0, 1))
+        parts = [x for _, _, some in held for x in some]
+        gid, first = np.unique(gid, return_index=True)
+        n, parts = n[first], [parts[k] for k in first]
+        size = np.array([len(x) for x in parts], np.int64)
+        own = np.repeat(np.arange(len(gid)), size)
+        pos = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
+        h = np.concatenate(parts)
+        bucket = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cut = np.r_[np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order)]
+        small = np.uint16 if n.max() < 1 << 16 else np.int32
+        own, pos = own[order], pos[order]
+        columns = [x.tobytes() for x in (h[order].astype(np.uint32), gid[own], n[own].astype(small), pos.astype(small))]
+        wide = (4, 8, np.dtype(small).itemsize, np.dtype(small).itemsize)
+        blobs = [pa.Array.from_buffers(pa.binary(), len(cut) - 1, [
+            None, pa.py_buffer((cut * w).astype(np.int32)), pa.py_buffer(x)]) for x, w in zip(columns, wide)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[order][cut[:-1]].astype(np.int32)), *blobs],
+                                          ["bucket", "h", "gid", "n", "pos"])
+
+    return rows.select("gid", "n", "prefix").mapInArrow(
+        deal, "bucket int, h binary, gid binary, n binary, pos binary")
+
+
+def _runs_of(h, gid, n, pos):
+    """The rows of each shingle that occurs in several groups, one a group, by shingle."""
+    order = np.argsort(h)
+    x = h[order]
+    same = x[1:] == x[:-1]
+    k = order[np.r_[False, same] | np.r_[same, False]] if len(x) else order
+    k = k[np.lexsort((gid[k], h[k]))]
+    new = np.r_[True, (h[k][1:] != h[k][:-1]) | (gid[k][1:] != gid[k][:-1])] if len(k) else np.zeros(0, bool)
+    k = k[new]
+    same = h[k][1:] == h[k][:-1]
+    k = k[np.r_[False, same] | np.r_[same, False]] if len(k) else k
+    return h[k], gid[k], n[k], pos[k]
+
+
+def _first_pairs(h, gid, n, pos, p: JaccardParams):
+    """(g1, g2, shared shingles) of the pivot pairs of the first turn in whole runs (``pivot_pairs``)."""
+    size = np.floor(np.log(n) / math.log(100 / p.percent)).astype(np.int64)
+    order = np.lexsort((gid, mix(gid.view(np.uint64)), size, h))
+    h, gid, n, pos, size = (x[order] for x in (h, gid, n, pos, size))
+    at = np.arange(len(h))
+    new = np.r_[True, (h[1:] != h[:-1]) | (size[1:] != size[:-1])] if len(h) else np.zeros(0, bool)
+    start = np.maximum.accumulate(np.where(new, at, 0)) if len(h) else at
+    far = at - start > p.neighbours
+    one, two = [at[far]], [start[far]]
+    for k in range(1, p.neighbours + 1):
+        near = at - start >= k
+        one.append(at[near])
+        two.append(at[near] - k)
+    one, two = np.concatenate(one), np.concatenate(two)
+    n1, n2, left = n[one], n[two], np.minimum(n[one] - pos[one], n[two] - pos[two])
+    need = np.ceil((n1 + n2) * p.percent / (100 + p.percent) - 1e-9)
+    ok = (n1 * 100 >= n2 * p.percent) & (n2 * 100 >= n1 * p.percent) & (left >= need)
+    g1, g2 = gid[one[ok]], gid[two[ok]]
+    order = np.lexsort((g2, g1))
+    g1, g2 = g1[order], g2[order]
+    first = np.flatnonzero(np.r_[True, (g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1])]) if len(g1) else np.zeros(0, np.int64)
+    return g1[first], g2[first], np.diff(np.r_[first, len(g1)])
+
+
+def shared_runs(postings: DataFrame, p: JaccardParams) -> DataFrame:
+    """(pair, h, gid, n, pos): the prefix rows whose shingle occurs in several groups, and,
+    where ``pair``, the groups (h, gid) that meet n times in the first turn.
+
+    A bucket has all rows of its shingles.  Two shingles that agree in bucket and half
+    their hash make one run, which is a few pairs more to verify.
+    """
+    def gather(table: pa.Table) -> pa.Table:
+        h, gid, n, pos = [], [], [], []
+        for k in range(table.num_rows):
+            blob = [table[c][k].as_py() for c in ("h", "gid", "n", "pos")]
+            small = np.uint16 if len(blob[2]) < len(blob[0]) else np.int32
+            for out, x, kind in zip((h, gid, n, pos), blob, (np.uint32, np.int64, small, small)):
+                x = np.frombuffer(x, kind)
+                out.append(x if kind in (np.uint32, np.int64) else x.astype(np.int64))
+        h, gid, n, pos = _runs_of(*(np.concatenate(x) for x in (h, gid, n, pos)))
+        g1, g2, k = _first_pairs(h, gid, n, pos, p) if p.turns else (gid[:0], gid[:0], n[:0])
+        h = h.astype(np.int64) | table["bucket"][0].as_py() << 32
+        return pa.table({"pair": pa.array(np.repeat([False, True], [len(h), len(g1)])),
+                         "h": pa.array(np.r_[h, g1]), "gid": pa.array(np.r_[gid, g2]),
+                         "n": pa.array(np.r_[n, k].astype(np.int32)),
+                         "pos": pa.array(np.r_[pos, np.zeros(len(g1), np.int64)].astype(np.int32))})
+
+    return postings.groupBy("bucket").applyInArrow(gather, "pair boolean, h long, gid long, n int, pos int")
 
 
 def _fits(n1, p1, n2, p2, percent: int):
@@ -215,14 +313,6 @@ def _fits(n1, p1, n2, p2, percent: int):
             & (F.least(n1 - p1, n2 - p2) >= need))
 
 
-def shared_runs(postings: DataFrame) -> DataFrame:
-    """(h, gid, n, pos): the prefix rows whose shingle occurs more than once."""
-    w = Window.partitionBy("h").orderBy("n", "gid")
-    return (postings.withColumn("next", F.lead("gid").over(w)).withColumn("before", F.lag("gid").over(w))
-            .where(F.when(F.col("before").isNull(), F.col("next").isNotNull()).otherwise(F.col("before") != F.col("gid")))
-            .select("h", "gid", "n", "pos"))
-
-
 def pivot_pairs(runs: DataFrame, turn: int, p: JaccardParams) -> DataFrame:
     """(g1, g2): every group with a few others of the runs it is in.
 
@@ -241,6 +331,11 @@ def pivot_pairs(runs: DataFrame, turn: int, p: JaccardParams) -> DataFrame:
          .where((F.col("l.gid") != F.col("gid")) & _apart("lo", "hi", "l.lo", "l.hi")
                 & _fits(F.col("n"), F.col("pos"), F.col("l.n"), F.col("l.pos"), p.percent))
          .groupBy(F.col("gid").alias("g1"), F.col("l.gid").alias("g2")).agg(F.count(F.lit(1)).alias("k")))
+    return _closest(t, p)
+
+
+def _closest(t: DataFrame, p: JaccardParams) -> DataFrame:
+    """(g1, g2): the ``pivots`` of each g1 with the largest k."""
     best = Window.partitionBy("g1").orderBy(F.desc("k"), "g2")
     return t.withColumn("r", F.row_number().over(best)).where(F.col("r") <= p.pivots).select("g1", "g2")
 
@@ -263,61 +358,48 @@ def open_pairs(runs: DataFrame, p: JaccardParams) -> DataFrame:
             .select(F.least("gid", "gid2").alias("g1"), F.greatest("gid", "gid2").alias("g2")).distinct())
 
 
+def _sets(blobs: list[bytes], p: JaccardParams) -> list[np.ndarray]:
+    """The shingle sets of compressed texts."""
+    texts = pa.array([zlib.decompress(z) for z in blobs], pa.binary()).cast(pa.string())
+    sets: list[np.ndarray] = []
+    for i, j, data, offsets in text_blocks(pa.RecordBatch.from_arrays([texts], ["text"])):
+        g, r = shingle_sets(data, offsets, p.shingle)
+        sets += np.split(g, np.searchsorted(r, np.arange(1, j - i)))
+    return sets
+
+
 def verified(pairs: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
     """(a, b) of the pairs whose whole texts have the required similarity."""
     def test(batches):
         for b in batches:
-            a, c, za, zc = (b.column(k) for k in range(4))
+            a, c = b.column(0).to_pylist(), b.column(1).to_pylist()
             ids, blobs = {}, []
-            for col, z in ((a, za), (c, zc)):
-                for key, v in zip(col.to_pylist(), z):
+            for col, z in ((a, b.column(2)), (c, b.column(3))):
+                for key, v in zip(col, z):
                     if key not in ids:
                         ids[key] = len(blobs)
-                        blobs.append(zlib.decompress(v.as_py()))
-            sets: list[np.ndarray] = []
-            one = pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary()).cast(pa.string())], ["text"])
-            for i, j, data, offsets in text_blocks(one):
-                g, r = shingle_sets(data, offsets, p.shingle)
-                sets += np.split(g, np.searchsorted(r, np.arange(1, j - i)))
+                        blobs.append(v.as_py())
+            sets = _sets(blobs, p)
             ok = np.zeros(b.num_rows, bool)
-            for k, (x, y) in enumerate(zip(a.to_pylist(), c.to_pylist())):
+            for k, (x, y) in enumerate(zip(a, c)):
                 u, v = sets[ids[x]], sets[ids[y]]
                 if len(u) and len(v):
                     both = len(np.intersect1d(u, v, assume_unique=True))
                     ok[k] = 100 * both >= p.percent * (len(u) + len(v) - both)
             keep = pa.array(ok)
-            yield pa.RecordBatch.from_arrays([a.filter(keep), c.filter(keep)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["a", "b"])
 
     ta = texts.select(F.col("cid").alias("a"), F.col("z").alias("za"))
-    tb = texts.select(F.col("cid").alias("b"), F.col("z").alias("zb"))
-    return (pairs.join(ta, "a").join(tb, "b").select("a", "b", "za", "zb")
-            .mapInArrow(test, "a long, b long"))
+    # only texts of classes in pairs are sent on
+    tb = texts.join(pairs.select(F.col("b").alias("cid")).distinct(), "cid", "left_semi")
+    return (pairs.join(ta, "a").join(tb.select(F.col("cid").alias("b"), F.col("z").alias("zb")), "b")
+            .select("a", "b", "za", "zb").mapInArrow(test, "a long, b long"))
 
 
 def class_texts(documents: DataFrame, involved: DataFrame, p: JaccardParams) -> DataFrame:
-    """(cid, z): the compressed text of one document of every involved class (cid).
-
-    A task leaves out classes it has just sent (a table of ``_SENT`` slots), so a text
-    with very many copies is not shuffled with all of them.
-    """
-    def squeeze(batches):
-        sent, any_sent = np.zeros(_SENT, np.int64), np.zeros(_SENT, bool)
-        for b in batches:
-            text = b.column(0).fill_null("")
-            for i, j, data, offsets in text_blocks(b):
-                g, r = shingle_sets(data, offsets, p.shingle)
-                n, cid = set_ids(g, r, j - i)
-                cid, first = np.unique(cid.view(np.int64)[n > 0], return_index=True)
-                first = np.flatnonzero(n > 0)[first]
-                slot = cid & (_SENT - 1)
-                new = ~any_sent[slot] | (sent[slot] != cid)
-                cid, first, slot = cid[new], first[new], slot[new]
-                sent[slot], any_sent[slot] = cid, True
-                z = [zlib.compress(text[int(k) + i].as_py().encode(), 1) for k in first]
-                yield pa.RecordBatch.from_arrays([pa.array(cid), pa.array(z, pa.binary())], ["cid", "z"])
-
-    z = documents.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(squeeze, "cid long, z binary")
-    return z.join(involved, "cid", "left_semi").dropDuplicates(["cid"])
+    """(cid, z): the compressed text of one document of every involved class (cid)."""
+    sets = document_sets(documents.where(F.col("doc_id").isNotNull()), None, p).where("n > 0")
+    return sets.join(involved, "cid", "left_semi").select("cid", "z").dropDuplicates(["cid"])
 
 
 def _verified_pairs(pairs: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
@@ -395,11 +477,7 @@ def class_links(comp: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFram
         table = table.combine_chunks()
         cid, c = table["cid"].to_numpy(), table["c"].to_numpy()
         mine, i, j = table["mine"].to_numpy(), table["i"][0].as_py(), table["j"][0].as_py()
-        blobs = pa.array([zlib.decompress(v.as_py()) for v in table["z"]], pa.binary()).cast(pa.string())
-        sets: list[np.ndarray] = []
-        for x, y, data, offsets in text_blocks(pa.RecordBatch.from_arrays([blobs], ["text"])):
-            g, r = shingle_sets(data, offsets, p.shingle)
-            sets += np.split(g, np.searchsorted(r, np.arange(1, y - x)))
+        sets = _sets([v.as_py() for v in table["z"]], p)
         n = np.zeros(len(cid), np.int64)
         if i == j:                                   # whole components, or one block with itself
             order = np.argsort(c, kind="stable")
@@ -437,30 +515,42 @@ def near_duplicates(documents: DataFrame, p: JaccardParams | None = None, links:
     are returned with a null component and take no part; repeated rows are
     returned each; an empty table gives no rows; extra columns are ignored.
     """
-    p = p or JaccardParams()
+    with scratch(documents.sparkSession):
+        rows, final = _classes(documents.select("doc_id", "text"), p or JaccardParams(), links)
+    out = (rows.join(final, "cid", "left")
+           .select("doc_id", F.col("n").alias("n_shingles"),
+                   F.when(F.col("n") == 0, F.col("doc_id")).otherwise(
+                       F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).alias("component_id"),
+                   F.col("cid").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")))
+    return out if links else out.drop("n_links")
+
+
+def _classes(documents: DataFrame, p: JaccardParams, links: bool) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, cid, n) and the linked classes (cid, component_id, n_links), both kept."""
     spark = documents.sparkSession
-    documents = documents.select("doc_id", "text")
     sketch = spark.sparkContext.broadcast(count_sketch(documents, p))      # fixed size
-    rows = saved(document_sets(documents, sketch, p), "jaccard_rows")
+    rows = saved(document_sets(documents, sketch, p).withColumn("row", F.monotonically_increasing_id()), "jaccard_rows")
     known = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    classes = saved(known.groupBy("cid", "gid").agg(F.min("doc_id").alias("doc_id")), "jaccard_classes")
+    # inside, a class goes by one of its rows, whose text is read where a pair is verified
+    classes = saved(known.groupBy(F.col("cid").alias("class_id"), "gid").agg(
+        F.min("doc_id").alias("doc_id"), F.min("row").alias("cid")), "jaccard_classes")
     groups = classes.groupBy("gid").agg(F.min("cid").alias("lead"), F.max("cid").alias("other"))
     inside = groups.where("lead <> other").select("gid", "lead")
 
-    runs = saved(shared_runs(postings(known)), "jaccard_runs")
+    total = known.agg(F.coalesce(F.sum(F.col("n") * (100 - p.percent) / 100 + 1), F.lit(0.0))).first()[0]
+    gathered = saved(shared_runs(postings(known, bucket_count(int(total), _BUCKET)), p), "jaccard_runs")
+    runs = gathered.where(~F.col("pair")).drop("pair")
+    met = (gathered.where("pair").groupBy(F.col("h").alias("g1"), F.col("gid").alias("g2"))
+           .agg(F.sum("n").alias("k")))
     member = classes.select("gid", "cid")
-    touched = saved(runs.select("gid").distinct().join(member, "gid").select("cid")
-                    .unionByName(inside.join(member, "gid").select("cid")).distinct(), "jaccard_touched")
-    texts = saved(class_texts(documents, touched, p), "jaccard_texts")
+    texts = rows.select(F.col("row").alias("cid"), "z")
 
-    # pivots: every class with the first class of a pivot group and of its own group
     of = member.withColumn("c", F.col("cid"))
     lead = groups.select(F.col("gid").alias("g2"), F.col("lead").alias("b"))
     own = member.join(inside, "gid").select(F.col("cid").alias("a"), F.col("lead").alias("b"))
-    left = runs.withColumn("lo", F.col("gid")).withColumn("hi", F.col("gid"))
     found = None
     for turn in range(p.turns):
-        pairs = (pivot_pairs(left, turn, p)
+        pairs = ((pivot_pairs(left, turn, p) if turn else _closest(met, p))
                  .join(of.select(F.col("gid").alias("g1"), F.col("cid").alias("a")), "g1")
                  .join(lead, "g2").select("a", "b"))
         if turn == 0:
@@ -480,12 +570,8 @@ def near_duplicates(documents: DataFrame, p: JaccardParams | None = None, links:
              .withColumn("c", F.coalesce("c", "cid")))
     smallest = named.groupBy("c").agg(F.min("doc_id").alias("component_id"))
     # written, so that a class with very many copies is an ordinary skewed join
-    final = saved(named.select("cid", "c").join(smallest, "c").join(n_links, "cid", "left")
-                  .select("cid", "component_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")),
-                  "jaccard_classes_out")
-    out = (rows.join(final, "cid", "left")
-           .select("doc_id", F.col("n").alias("n_shingles"),
-                   F.when(F.col("n") == 0, F.col("doc_id")).otherwise(
-                       F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).alias("component_id"),
-                   F.col("cid").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")))
-    return out if links else out.drop("n_links")
+    final = saved(named.select("class_id", "cid", "c").join(smallest, "c").join(n_links, "cid", "left")
+                  .select(F.col("class_id").alias("cid"), "component_id",
+                          F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")),
+                  "jaccard_classes_out", keep=True)
+    return saved(rows.select("doc_id", "cid", "n"), "jaccard_sizes_out", keep=True), final

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import jaccard
 from .common import bucket_count, saved
-from .textcore import counts_of, text_blocks, words
+from .textcore import text_blocks, word_counts
 
 
 @dataclass(frozen=True)
@@ -77,8 +77,7 @@ def pieces(documents: DataFrame, capacity: int) -> DataFrame:
     def cut(batches):
         for b in batches:
             for i, j, data, offsets in text_blocks(b):
-                _, _, row, _ = words(data, offsets)
-                n = counts_of(row, j - i)
+                n = word_counts(data, offsets)
                 k = np.maximum(1, -(-n // room))
                 own = np.repeat(np.arange(j - i), k)
                 piece = np.arange(len(own)) - np.repeat(np.cumsum(k) - k, k)

@@ -1,5 +1,6 @@
 """Jaccard join against all pairs."""
 
+import os
 import random
 import re
 from collections import Counter
@@ -9,6 +10,7 @@ import pytest
 
 from affinity.llm import jaccard
 from affinity.llm.components import components
+from affinity.llm.textcore import word_counts
 
 from .helpers import WORDS, awkward, documents, prose
 
@@ -159,3 +161,68 @@ def test_a_class_has_one_text_however_often_its_id_is_repeated(spark):
     a, b = sorted(r.cid for r in texts.select("cid").collect())
     pairs = spark.createDataFrame([(a, b)], "a long, b long")
     assert jaccard.verified(pairs, texts, p).collect() == [(a, b)]
+
+
+def test_runs_hold_the_shingles_of_several_groups_and_first_pairs_fit(spark):
+    """Shingles of one group only are no runs, however many copies or buckets it has."""
+    p = jaccard.JaccardParams()
+    base = prose(5, 80).split(" ")
+    r = random.Random(2)
+    rows = [(k, " ".join(base)) for k in range(30)] + [(50 + k, _edited(r, base, 1 + k % 4)) for k in range(20)]
+    rows += [(90 + k, prose(500 + k, 40)) for k in range(4)] * 3
+    docs = documents(spark, rows).select("doc_id", "text").repartition(4)
+    sketch = spark.sparkContext.broadcast(jaccard.count_sketch(docs, p))
+    known = jaccard.document_sets(docs, sketch, p).where("n > 0").cache()
+    sets = {}
+    for x in known.collect():
+        sets[x.gid] = (x.n, np.frombuffer(x.prefix, np.uint64).tolist())
+    where = {}
+    for gid, (n, prefix) in sets.items():
+        for pos, h in enumerate(prefix):
+            where.setdefault(h, set()).add((gid, n, pos))
+    want = Counter(frozenset(x) for x in where.values() if len(x) > 1)
+    for buckets in (1, 5):
+        got = jaccard.shared_runs(jaccard.postings(known, buckets), p).collect()
+        runs = {}
+        for x in got:
+            if not x.pair:
+                runs.setdefault(x.h, set()).add((x.gid, x.n, x.pos))
+        assert Counter(frozenset(x) for x in runs.values()) == want and len(want) > 20
+        pairs = Counter()
+        for x in got:
+            if x.pair:
+                pairs[x.h, x.gid] += x.n
+        assert pairs
+        for (g1, g2), k in pairs.items():
+            assert g1 != g2 and 0 < k <= len(set(sets[g1][1]) & set(sets[g2][1]))
+    known.unpersist()
+
+
+def test_the_tables_of_the_join_are_removed(spark):
+    """Texts, prefixes and runs do not stay on disk; rows and classes do, and are read again."""
+    base = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(base))
+    rows = [(1, prose(1, 60)), (2, prose(1, 60) + " x"), (3, "")]
+    found = jaccard.near_duplicates(documents(spark, rows))
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(base)) - before}
+    assert left == {"jaccard_classes_out", "jaccard_sizes_out"}
+    assert got(found) == got(found) == brute(rows)
+
+
+def test_only_texts_of_classes_in_pairs_are_sent(spark):
+    """The partners' texts meet the pairs' ids before they are dealt out."""
+    p = jaccard.JaccardParams()
+    docs = documents(spark, [(k, prose(k, 30)) for k in range(40)]).select("doc_id", "text")
+    texts = jaccard.class_texts(docs, jaccard.document_sets(docs, None, p).select("cid"), p).cache()
+    a, b, c = sorted(x.cid for x in texts.collect())[:3]
+    pairs = spark.createDataFrame([(a, b), (b, c)], "a long, b long")
+    plan = jaccard.verified(pairs, texts, p)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and not jaccard.verified(pairs, texts, p).collect()
+    texts.unpersist()
+
+
+def test_word_counts_equal_words():
+    texts = ["", " a  b\tc ", "é ü\n", "x" * 99, " \r\x0b "]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0] + [len(t.encode()) for t in texts])
+    assert word_counts(data, offsets).tolist() == [len(_WORD.findall(t)) for t in texts]
