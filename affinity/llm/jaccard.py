@@ -33,6 +33,7 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -47,6 +48,8 @@ SKETCH_BITS = 18
 _SEEN_BITS = 26
 #: Prefix rows of a bucket, and prefix rows a task holds to deal them.
 _BUCKET, _DEALT = 1 << 18, 1 << 21
+#: Bits of the table that marks classes in pairs.
+_NEED_BITS = 24
 _CHUNKS = 64
 _DEALS = 256
 
@@ -390,10 +393,31 @@ def verified(pairs: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["a", "b"])
 
     ta = texts.select(F.col("cid").alias("a"), F.col("z").alias("za"))
-    # only texts of classes in pairs are sent on
-    tb = texts.join(pairs.select(F.col("b").alias("cid")).distinct(), "cid", "left_semi")
-    return (pairs.join(ta, "a").join(tb.select(F.col("cid").alias("b"), F.col("z").alias("zb")), "b")
-            .select("a", "b", "za", "zb").mapInArrow(test, "a long, b long"))
+    tb = texts.select(F.col("cid").alias("b"), F.col("z").alias("zb"))
+    return (pairs.join(ta, "a").join(tb, "b").select("a", "b", "za", "zb")
+            .mapInArrow(test, "a long, b long"))
+
+
+def in_pairs(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose ``cid`` is in a pair, before they are shuffled to meet it.
+
+    A table of ``2**_NEED_BITS`` bits (a fixed size) marks the classes in pairs; rows
+    that only share a bit with one are a few more to send.
+    """
+    slot = F.pmod(F.xxhash64("v"), F.lit(1 << _NEED_BITS))
+    marked = (pairs.select(F.explode(F.array("a", "b")).alias("v")).select(slot.alias("s"))
+              .groupBy(F.shiftright("s", 5).cast("int").alias("w"))
+              .agg(F.expr("bit_or(shiftleft(1L, cast(s & 31 AS int)))").alias("m")).toArrow())
+    table = np.zeros(1 << (_NEED_BITS - 5), np.uint32)
+    table[marked["w"].to_numpy()] = marked["m"].to_numpy().astype(np.uint32)
+    shared = texts.sparkSession.sparkContext.broadcast(table)              # fixed size
+
+    @F.pandas_udf("boolean")
+    def marked_slot(s: pd.Series) -> pd.Series:
+        x = s.to_numpy()
+        return pd.Series(shared.value[x >> 5] >> (x & 31).astype(np.uint32) & np.uint32(1) == 1)
+
+    return texts.where(marked_slot(F.pmod(F.xxhash64("cid"), F.lit(1 << _NEED_BITS))))
 
 
 def class_texts(documents: DataFrame, involved: DataFrame, p: JaccardParams) -> DataFrame:
@@ -406,7 +430,7 @@ def _verified_pairs(pairs: DataFrame, texts: DataFrame, p: JaccardParams) -> Dat
     """(a, b), a < b: the verified ones of the distinct class pairs, written."""
     d = saved(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
               "jaccard_pairs")
-    return saved(verified(d, texts, p), "jaccard_links")
+    return saved(verified(d, in_pairs(texts, d), p), "jaccard_links")
 
 
 def _open(member: DataFrame, runs: DataFrame, comp: DataFrame):
