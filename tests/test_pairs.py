@@ -1,5 +1,6 @@
 """The blocked product, its bound and its paths against brute force."""
 
+import dataclasses
 import math
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from affinity.operators import cooccurrence as cco
 from affinity.operators import pairs
-from affinity.params import CcoParams, Indicator
+from affinity.params import CcoParams, Indicator, cco_default_params
 
 from .conftest import SF_SMALL
 from .test_cco_bruteforce import _llr, brute
@@ -206,3 +207,25 @@ def test_packed_pairs_take_few_bytes_and_come_back_whole():
         assert sorted(got) == sorted(zip(ev, items[px], items[py], a, b, c, strict=True)) and len(got) > 13_000
         if item == pa.int64() and far == 1:
             assert packed.nbytes < 12 * len(got), packed.nbytes / len(got)
+
+
+def test_a_block_whose_items_meet_only_themselves_is_empty():
+    user, zero, one = np.arange(20), np.zeros(20, np.int32), np.ones(20, np.int64)
+    left = pa.table({"user_id": user, "ba": zero, "bb": zero, "x": user, "a": one, "parts": one,
+                     "floor": pa.nulls(20, pa.list_(pa.float64()))})
+    right = pa.table({"user_id": user, "ba": zero, "bb": zero, "ev": pa.array(zero, pa.int8()), "y": user, "b": one,
+                      "own": pa.array(np.ones(20, bool))})
+    for chunk in (1, 7, 1 << 20):
+        assert pairs.multiply(left, right, 20, chunk) is None
+    packed = pairs._packer(20, 3, pa.int64())(left, right)
+    assert len(packed) == 0 and packed.schema.names == ["bucket", "ev", "x", "a", "m", "y", "b", "c"]
+
+
+def test_default_caps_may_leave_users_with_one_item(spark):
+    """Few of an item's many users stay, so whole blocks have no pair."""
+    edges = sorted({(ev, u, (u * s + k) % 5) for u in range(300) for k in range(2)
+                    for ev, s in (("order", 1), ("cart", 3))})
+    df = spark.createDataFrame([(*e, 1) for e in edges], "event string, user_id long, product_id long, event_uvs long")
+    p = dataclasses.replace(cco_default_params(max_events=40), block_pairs=30)
+    assert cco.sides(df, p).blocks >= 30
+    assert _rows(cco.cross_occurrence(df, p)) == [x[:3] + x[4:] for x in brute(edges, p)]
