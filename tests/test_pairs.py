@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from affinity.operators import cooccurrence as cco
 from affinity.operators import pairs
 from affinity.params import CcoParams, Indicator, cco_default_params
+from affinity.plans.queries import SAMPLED
 
 from .conftest import SF_SMALL
 from .test_cco_bruteforce import _llr, brute
@@ -229,3 +230,14 @@ def test_default_caps_may_leave_users_with_one_item(spark):
     p = dataclasses.replace(cco_default_params(max_events=40), block_pairs=30)
     assert cco.sides(df, p).blocks >= 30
     assert _rows(cco.cross_occurrence(df, p)) == [x[:3] + x[4:] for x in brute(edges, p)]
+
+
+def test_small_caps_per_event_may_leave_users_with_one_item(spark):
+    """The caps of ``cco_sampled`` on items of many users, with and without the bound."""
+    edges = sorted({(ev, u, (u * s + k) % 6) for u in range(400) for k in range(3)
+                    for ev, s in (("order", 1), ("cart", 2), ("wish", 4), ("click", 5))})
+    df = spark.createDataFrame([(*e, 1) for e in edges], "event string, user_id long, product_id long, event_uvs long")
+    for prune in (0.0, 1.0):
+        p = dataclasses.replace(SAMPLED, block_pairs=200, prune=prune)
+        want = [x[:3] + x[4:] for x in brute(edges, p)]
+        assert _rows(cco.cross_occurrence(df, p)) == want and len(want) > 4
